@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import MATCHERS, padded_or_suffix, strip_ws, word_prefix
 from ..sources.packs import Rule, RulePack
 from . import rules as R
-from .tables import small_table
+from .tables import found, probe, small_table
 
 DELETED = "rule_deleted"
+_FLAG = "rule_flag"
 
 
 def _groups(rule: Rule) -> list[R.Group]:
@@ -21,20 +22,38 @@ def _groups(rule: Rule) -> list[R.Group]:
     ]
 
 
-def _scope(rule: Rule, levels: R.Levels) -> Column:
-    """Conjunction of the rule's value lists, true when it names none."""
-    limits = {
-        levels.parent: rule.scope_category,
-        levels.child: rule.scope_subcategory,
-        levels.item: rule.scope_item,
-    }
-    tests = [R.member_of(c, v) for c, v in limits.items() if v]
+def _limits(rule: Rule, lv: R.Levels) -> list[tuple[str, list[str]]]:
+    """The value lists that scope a rule, narrowest level first."""
+    lists = [
+        (lv.item, rule.scope_item),
+        (lv.child, rule.scope_subcategory),
+        (lv.parent, rule.scope_category),
+    ]
+    return [(column, names) for column, names in lists if names]
+
+
+def _all(tests: list[Column]) -> Column:
     return reduce(and_, tests) if tests else F.lit(True)
 
 
+def _flagged(df: DataFrame, column: str, names: list[str]) -> tuple[DataFrame, Column]:
+    """Membership as a broadcast flag join instead of ``IN``.
+
+    A filter placed after the cascade is pushed down and rewritten through every
+    projection, and its text multiplies at each one; a condition that needs a
+    joined flag stops it at that join, so plans stay linear in the rules.
+    """
+    table = small_table(df.sparkSession, ["key"], [[n] for n in names])
+    return probe(df, table, {"key": F.col(column)}, _FLAG), found(_FLAG)
+
+
 def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str | None):
     spark = df.sparkSession
-    scope = _scope(rule, lv)
+    limits, tests = _limits(rule, lv), []
+    if limits and rule.kind in ("set_move", "split", "reassign"):
+        df, flag = _flagged(df, *limits.pop(0))
+        tests = [flag]
+    scope = _all(tests + [R.member_of(c, names) for c, names in limits])
 
     def keyed(rows, columns=("key", "value")):
         return small_table(spark, columns, rows)
@@ -85,10 +104,13 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
                 df, word_prefix(lv.child, rule.keywords), fallback(), lv, mark=mark
             )
         case "keyword_move":
+            open_rows = ~F.col(DELETED)
+            if rule.exclude_category:
+                df, excluded = _flagged(df, lv.parent, rule.exclude_category)
+                open_rows = open_rows & ~excluded
             return R.keyword_move(
-                df, rule.keywords, rule.exclude_category or [], rule.set_category,
-                _groups(rule), rule.default_value, ~F.col(DELETED),
-                rule.match or "substring", lv, mark,
+                df, rule.keywords, [], rule.set_category, _groups(rule),
+                rule.default_value, open_rows, rule.match or "substring", lv, mark,
             )
         case "set_move":
             values = {DELETED: F.lit(True)} if rule.delete else {}
@@ -139,6 +161,7 @@ def _run(df: DataFrame, pack: RulePack, levels: R.Levels, strip: bool, trace: bo
     )
     for rule in pack.rules:
         out = _apply(out, rule, pack, levels, f"rule_hit_{rule.seq}" if trace else None)
+        out = out.drop(_FLAG)
     return out
 
 

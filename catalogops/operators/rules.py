@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import MATCHERS, any_substring, col, folded
+from ..functions.text import MATCHERS, any_substring, folded
 from .tables import found, probe, small_table
 
 # Fixed value: the child name used where a parent has no fallback of its own.
@@ -62,8 +62,12 @@ def first_match(arms: Sequence[tuple[Column, Column]], default: Column) -> Colum
     return out
 
 
-def member_of(c: Column | str, names: Sequence[str]) -> Column:
-    return F.coalesce(col(c).isin(*names), F.lit(False))
+def member_of(column: str, names: Sequence[str]) -> Column:
+    """``column IN (names)``, false for NULL; one expression however long the list."""
+    quoted = ", ".join(
+        "'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names
+    )
+    return F.expr(f"coalesce(`{column}` IN ({quoted}), false)")
 
 
 def replace_value(
@@ -242,7 +246,9 @@ def keyword_move(
     mark: str | None = None,
 ) -> DataFrame:
     """Items hitting the gate leave their parent, unless it is excluded."""
-    hit = MATCHERS[match](levels.item, gate) & ~member_of(levels.parent, exclude)
+    hit = MATCHERS[match](levels.item, gate)
+    if exclude:
+        hit = hit & ~member_of(levels.parent, exclude)
     values = {
         levels.parent: F.lit(to_parent),
         levels.child: classify(levels.item, groups, default, match),

@@ -413,43 +413,43 @@ _SW = """c IN ('STANDARD', 'MEDIUM', 'BULK', 'SMALL') AND NOT contains(lower(p),
 def validate_sql(source: str, flag: bool = False) -> str:
     """The demo validation pack as chained CTEs; the last is ``vf``."""
     return f"""
-v1 AS (SELECT row_id, CASE category WHEN 'LARGE' THEN 'BULK' ELSE category END AS c, subcategory AS s,
+v1 AS MATERIALIZED (SELECT row_id, CASE category WHEN 'LARGE' THEN 'BULK' ELSE category END AS c, subcategory AS s,
   product_category AS p, coalesce(subcategory = 'Brand#14', FALSE)
     OR coalesce(product_category IN ('old anvil', 'cold rod'), FALSE) AS d,
   CAST(category = 'LARGE' AS INT) AS h10, CAST(subcategory = 'Brand#14' AS INT) AS h20,
   CAST(product_category IN ('old anvil', 'cold rod') AS INT) AS h30 FROM {source}),
-v4 AS (SELECT *, CAST({_G} AS INT) AS h40 FROM v1),
-v4b AS (SELECT * REPLACE (CASE WHEN h40 = 1 THEN 'THERMAL' ELSE c END AS c,
+v4 AS MATERIALIZED (SELECT *, CAST({_G} AS INT) AS h40 FROM v1),
+v4b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h40 = 1 THEN 'THERMAL' ELSE c END AS c,
   CASE WHEN coalesce(h40, 0) = 0 THEN s WHEN contains(lower(p), 'hot gear') OR contains(lower(p), 'hot ring') THEN 'Hot Parts'
     WHEN contains(lower(p), 'plate') THEN 'Hot Plates' ELSE 'Hot Goods' END AS s) FROM v4),
-v5 AS (SELECT *, CAST(c = 'STANDARD' AND s IN ('Brand#15', 'Brand#16') AS INT) AS h50 FROM v4b),
-v5b AS (SELECT * REPLACE (CASE WHEN h50 = 1 THEN 'THERMAL' ELSE c END AS c) FROM v5),
-v6 AS (SELECT *, CAST(c = 'STANDARD' AND s = 'Brand#17' AND p IN ('red bolt', 'red rod', 'old ring') AS INT) AS h60 FROM v5b),
-v6b AS (SELECT * REPLACE (CASE WHEN h60 = 1 THEN 'BULK' ELSE c END AS c, CASE WHEN h60 = 1 THEN 'Metals' ELSE s END AS s) FROM v6),
-v7 AS (SELECT *, CAST(c = 'ECONOMY' AND s IN ('Brand#18', 'Brand#19') AS INT) AS h70 FROM v6b),
-v7b AS (SELECT * REPLACE (CASE WHEN h70 = 1 AND s = 'Brand#18' THEN 'STANDARD' WHEN h70 = 1 THEN 'BULK' ELSE c END AS c,
+v5 AS MATERIALIZED (SELECT *, CAST(c = 'STANDARD' AND s IN ('Brand#15', 'Brand#16') AS INT) AS h50 FROM v4b),
+v5b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h50 = 1 THEN 'THERMAL' ELSE c END AS c) FROM v5),
+v6 AS MATERIALIZED (SELECT *, CAST(c = 'STANDARD' AND s = 'Brand#17' AND p IN ('red bolt', 'red rod', 'old ring') AS INT) AS h60 FROM v5b),
+v6b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h60 = 1 THEN 'BULK' ELSE c END AS c, CASE WHEN h60 = 1 THEN 'Metals' ELSE s END AS s) FROM v6),
+v7 AS MATERIALIZED (SELECT *, CAST(c = 'ECONOMY' AND s IN ('Brand#18', 'Brand#19') AS INT) AS h70 FROM v6b),
+v7b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h70 = 1 AND s = 'Brand#18' THEN 'STANDARD' WHEN h70 = 1 THEN 'BULK' ELSE c END AS c,
   CASE WHEN h70 = 1 AND s = 'Brand#19' THEN 'Hardware' ELSE s END AS s) FROM v7),
-v8 AS (SELECT *, CAST(s = 'Brand#20' AS INT) AS h80 FROM v7b),
-v8b AS (SELECT * REPLACE (CASE WHEN h80 = 1 THEN CASE WHEN p IN ('red widget', 'blue widget') THEN 'Widget Makers'
+v8 AS MATERIALIZED (SELECT *, CAST(s = 'Brand#20' AS INT) AS h80 FROM v7b),
+v8b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h80 = 1 THEN CASE WHEN p IN ('red widget', 'blue widget') THEN 'Widget Makers'
   WHEN p = 'cold bolt' THEN 'Bolt Makers' ELSE 'Other Makers' END ELSE s END AS s) FROM v8),
-v9 AS (SELECT *, CAST(c = 'ECONOMY' AND s = 'Brand#21' AND p IN ('red rod', 'old rod', 'new rod', 'small plate') AS INT) AS h90 FROM v8b),
-v9b AS (SELECT * REPLACE (CASE WHEN h90 = 1 THEN CASE WHEN p IN ('red rod', 'old rod') THEN 'Set One'
+v9 AS MATERIALIZED (SELECT *, CAST(c = 'ECONOMY' AND s = 'Brand#21' AND p IN ('red rod', 'old rod', 'new rod', 'small plate') AS INT) AS h90 FROM v8b),
+v9b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h90 = 1 THEN CASE WHEN p IN ('red rod', 'old rod') THEN 'Set One'
   WHEN p = 'new rod' THEN 'Set Two' ELSE 'Set Three' END ELSE s END AS s) FROM v9),
-v10 AS (SELECT *, CAST(c = 'MEDIUM' AND s = 'Brand#22' AND p IN ('old widget', 'new widget') AS INT) AS h100 FROM v9b),
-v10b AS (SELECT * REPLACE (CASE WHEN h100 = 1 AND p = 'old widget' THEN 'BULK' WHEN h100 = 1 THEN 'SMALL' ELSE c END AS c,
+v10 AS MATERIALIZED (SELECT *, CAST(c = 'MEDIUM' AND s = 'Brand#22' AND p IN ('old widget', 'new widget') AS INT) AS h100 FROM v9b),
+v10b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h100 = 1 AND p = 'old widget' THEN 'BULK' WHEN h100 = 1 THEN 'SMALL' ELSE c END AS c,
   CASE WHEN h100 = 1 THEN 'Widgets' ELSE s END AS s) FROM v10),
-v11 AS (SELECT *, CAST(NOT d AND ((c = 'PROMO' AND s IN ('Brand#23', 'Brand#24')) OR (c = 'LARGE' AND s = 'Brand#1')) AS INT) AS h110 FROM v10b),
-v11b AS (SELECT * REPLACE (CASE WHEN h110 = 1 AND s = 'Brand#23' THEN 'SMALL' ELSE c END AS c,
+v11 AS MATERIALIZED (SELECT *, CAST(NOT d AND ((c = 'PROMO' AND s IN ('Brand#23', 'Brand#24')) OR (c = 'LARGE' AND s = 'Brand#1')) AS INT) AS h110 FROM v10b),
+v11b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h110 = 1 AND s = 'Brand#23' THEN 'SMALL' ELSE c END AS c,
   d OR coalesce(h110 = 1 AND s IN ('Brand#24', 'Brand#1'), FALSE) AS d) FROM v11),
-v12 AS (SELECT *, CASE WHEN coalesce(c = 'MEDIUM' AND s IN ('Brand#25', 'Brand#11'), FALSE) THEN
+v12 AS MATERIALIZED (SELECT *, CASE WHEN coalesce(c = 'MEDIUM' AND s IN ('Brand#25', 'Brand#11'), FALSE) THEN
     CASE WHEN contains(lower(p), 'new ') OR contains(lower(p), 'ring') THEN 1
          WHEN contains(lower(p), 'rod') OR contains(lower(p), 'bolt') THEN 2
          WHEN contains(lower(p), 'gizmo') THEN 3 END END AS arm FROM v11b),
-v12b AS (SELECT * REPLACE (CASE WHEN arm = 2 THEN 'BULK' ELSE c END AS c,
+v12b AS MATERIALIZED (SELECT * REPLACE (CASE WHEN arm = 2 THEN 'BULK' ELSE c END AS c,
   CASE arm WHEN 1 THEN 'New Things' WHEN 2 THEN 'Rods' WHEN 3 THEN 'Gizmos' ELSE s END AS s),
   CAST(arm IS NOT NULL AS INT) AS h120 FROM v12),
-v13 AS (SELECT *, CAST({_SW} AS INT) AS h130 FROM v12b),
-vf AS (SELECT * REPLACE (CASE WHEN h130 = 1 THEN 'SMALLWARE' ELSE c END AS c,
+v13 AS MATERIALIZED (SELECT *, CAST({_SW} AS INT) AS h130 FROM v12b),
+vf AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h130 = 1 THEN 'SMALLWARE' ELSE c END AS c,
   CASE WHEN h130 = 1 THEN 'Small Items' ELSE s END AS s) FROM v13)"""
 
 

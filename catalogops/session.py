@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Wide vector rows: smaller Arrow batches keep Python worker memory flat.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    # Recording the Python line of every Column call slows long plans down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
