@@ -13,6 +13,21 @@ from ..sources.stages import stage
 _ROW_BITS = 33
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work before a costly per-row step.
+
+    Acts only when the input is smaller than one file split per core, so what it
+    shuffles is bounded by the cluster's cores; larger inputs pass unchanged.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) < cores * split else df
+
+
 def positions(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:
     """Add the 0-based global position of each row in a total order.
 

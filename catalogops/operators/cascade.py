@@ -7,8 +7,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import MATCHERS, padded_or_suffix, strip_ws, word_prefix
+from ..functions.text import padded_or_suffix, strip_ws, word_prefix
 from ..sources.packs import Rule, RulePack
+from ..sources.stages import stage
 from . import rules as R
 from .tables import found, probe, small_table
 
@@ -140,11 +141,7 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
         case "split":
             return R.split_by_keywords(df, scope, _groups(rule), lv, mark)
         case "reassign":
-            test = (
-                padded_or_suffix(lv.item, rule.keywords, rule.veto or [])
-                if (rule.match or "padded_suffix") == "padded_suffix"
-                else MATCHERS[rule.match](lv.item, rule.keywords)
-            )
+            test = padded_or_suffix(lv.item, rule.keywords, rule.veto or [])
             values = {
                 lv.parent: F.lit(rule.set_category),
                 lv.child: F.lit(rule.set_subcategory),
@@ -175,6 +172,45 @@ def apply_rules(
     return _run(df, pack, levels, strip, False).where(~F.col(DELETED)).drop(DELETED)
 
 
+def reads_items(pack: RulePack) -> bool:
+    return any(
+        r.scope_item
+        or r.kind in ("keyword_move", "item_default", "priority_sets", "split", "reassign")
+        or (r.kind == "pair" and r.column not in ("category", "subcategory"))
+        for r in pack.rules
+    )
+
+
+def apply_rules_by_pair(
+    df: DataFrame, pack: RulePack, levels: R.Levels = R.Levels()
+) -> DataFrame:
+    """:func:`apply_rules` for packs that look at (parent, child) only.
+
+    The pack runs on the distinct pairs, and the data joins its outcome: one
+    lookup per row instead of one per rule, for a first pass over two columns.
+    Worth it when ``df`` is cheap to read twice, such as a stored table.
+    """
+    if reads_items(pack):
+        raise ValueError("the pack reads items; use apply_rules")
+    parent, child, item = levels.parent, levels.child, levels.item
+    pairs = stage(df.select(parent, child).distinct(), "rule-pairs").select(
+        F.col(parent).alias("raw_parent"), F.col(child).alias("raw_child"),
+        parent, child, F.lit(None).cast("string").alias(item),
+    )
+    done = _run(pairs, pack, levels, True, False).select(
+        "raw_parent", "raw_child", F.col(parent).alias("new_parent"),
+        F.col(child).alias("new_child"), F.col(DELETED).alias("gone"),
+    )
+    outcome = stage(done, "rule-outcome")  # known size: the planner may broadcast it
+    same = F.col(parent).eqNullSafe(F.col("raw_parent")) & F.col(child).eqNullSafe(
+        F.col("raw_child")
+    )
+    new = {parent: F.col("new_parent"), child: F.col("new_child"), item: strip_ws(item)}
+    return df.join(outcome, same).where("NOT gone").select(
+        *[new[c].alias(c) if c in new else F.col(c) for c in df.columns]
+    )
+
+
 def rule_hits(
     df: DataFrame, pack: RulePack, levels: R.Levels = R.Levels(), strip: bool = True
 ) -> DataFrame:

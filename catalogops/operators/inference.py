@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.replies import all_null, clean_reply, parse_rows
-from ..functions.text import bullet_list
-from .batching import fixed_batches, pack_batches
+from ..functions.text import bullet_list, let
+from .batching import fixed_batches, pack_batches, spread
 
 # Fixed value: records per prompt.
 CHUNK_ROWS = 25
@@ -51,8 +51,7 @@ def infer(
 
     ``make_model`` runs once per task and returns a function from a list of
     prompts to as many replies; an exception in the list marks one failed
-    prompt, a raised one marks the whole batch. Parallelism is the number of
-    partitions. A model call is costly and may not repeat itself, so write the
+    prompt, a raised one marks the whole batch. A model call is costly and may not repeat itself, so write the
     result out (``sources.stages.materialize``) before using it twice.
     """
     schema = StructType(
@@ -75,9 +74,8 @@ def infer(
             out["error"] = [repr(a) if f else None for a, f in zip(answers, failed)]
             yield out
 
-    return df.select(*keep, *([] if prompt_col in keep else [prompt_col])).mapInPandas(
-        run, schema
-    )
+    prompts = df.select(*keep, *([] if prompt_col in keep else [prompt_col]))
+    return spread(prompts).mapInPandas(run, schema)
 
 
 def replay(df: DataFrame, recorded: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -91,7 +89,7 @@ def replay(df: DataFrame, recorded: DataFrame, on: Sequence[str]) -> DataFrame:
 def parse_replies(
     df: DataFrame, fields: StructType, reply_col: str = "reply"
 ) -> DataFrame:
-    """Add ``records`` (array) and ``failure`` (reason or NULL) to each reply.
+    """Add ``parsed``: a struct of ``records`` and ``failure`` (reason or NULL).
 
     A unit fails when the call failed, the reply is not a list of records or an
     object, or a record has none of the expected fields. ``[]`` is a valid
@@ -99,14 +97,18 @@ def parse_replies(
     """
     names = fields.fieldNames()
     errors = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    parsed = df.withColumn("records", parse_rows(clean_reply(reply_col), fields))
-    hollow = F.exists(F.col("records"), lambda r: r.isNull() | all_null(r, names))
-    failure = (
-        F.when(errors.isNotNull(), errors)
-        .when(F.col("records").isNull(), F.lit("not a list of records"))
-        .when(hollow, F.lit("record without expected fields"))
-    )
-    return parsed.withColumn("failure", failure)
+
+    def verdict(records: Column) -> Column:
+        hollow = F.exists(records, lambda r: r.isNull() | all_null(r, names))
+        failure = (
+            F.when(errors.isNotNull(), errors)
+            .when(records.isNull(), F.lit("not a list of records"))
+            .when(hollow, F.lit("record without expected fields"))
+        )
+        return F.struct(records.alias("records"), failure.alias("failure"))
+
+    # let: the reply is parsed once, also where a filter on the verdict moves.
+    return df.withColumn("parsed", let(parse_rows(clean_reply(reply_col), fields), verdict))
 
 
 def reply_rows(
@@ -116,13 +118,18 @@ def reply_rows(
 
     ``rows`` carries ``keys``, ``idx`` (place in the reply) and the fields.
     """
-    parsed = parse_replies(df, fields, reply_col)
+    checked = parse_replies(df, fields, reply_col)
+    failure = F.col("parsed.failure")
+    good = F.when(failure.isNull(), F.col("parsed.records"))
+    # The outer form adds no size filter, which would parse the reply again.
     rows = (
-        parsed.where(F.col("failure").isNull())
-        .select(*keys, F.posexplode("records").alias("idx", "record"))
+        checked.select(*keys, F.posexplode_outer(good).alias("idx", "record"))
+        .where(F.col("idx").isNotNull())
         .select(*keys, "idx", "record.*")
     )
-    dead = parsed.where(F.col("failure").isNotNull()).select(*keys, reply_col, "failure")
+    dead = checked.where(failure.isNotNull()).select(
+        *keys, reply_col, failure.alias("failure")
+    )
     return rows, dead
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import MATCHERS, any_substring, folded
+from ..functions.text import MATCHERS, any_substring, folded, sql_list
 from .tables import found, probe, small_table
 
 # Fixed value: the child name used where a parent has no fallback of its own.
@@ -64,10 +64,7 @@ def first_match(arms: Sequence[tuple[Column, Column]], default: Column) -> Colum
 
 def member_of(column: str, names: Sequence[str]) -> Column:
     """``column IN (names)``, false for NULL; one expression however long the list."""
-    quoted = ", ".join(
-        "'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names
-    )
-    return F.expr(f"coalesce(`{column}` IN ({quoted}), false)")
+    return F.expr(f"coalesce(`{column}` IN ({sql_list(names)}), false)")
 
 
 def replace_value(

@@ -395,11 +395,16 @@ c6 AS (SELECT row_id, c, CASE WHEN contains(' ' || lower(s), ' brand#2') OR cont
     THEN {_FB} ELSE s END AS s, p FROM c5)"""
 
 
-@query(
-    "rule_cascade",
-    f"""WITH {LISTINGS_DIRTY}, {correct_sql('listings_dirty')}
-        SELECT row_id, c AS category, s AS subcategory, p AS product_category FROM c6""",
-)
+_CORRECTED = f"""WITH {LISTINGS_DIRTY}, {correct_sql('listings_dirty')}
+        SELECT row_id, c AS category, s AS subcategory, p AS product_category FROM c6"""
+
+
+@query("rule_cascade_pairs", _CORRECTED)
+def rule_cascade_pairs(spark, sf):
+    return cascade.apply_rules_by_pair(listings_dirty(spark, sf), demo_pack("correct"))
+
+
+@query("rule_cascade", _CORRECTED)
 def rule_cascade(spark, sf):
     return cascade.apply_rules(listings_dirty(spark, sf), demo_pack("correct"))
 
