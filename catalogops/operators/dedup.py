@@ -37,7 +37,14 @@ def priority(
     Ties go to the alphabetically first child, then parent, then item text, then
     ``row_id``. This one window equals the chain "exact duplicates, then one row
     per (parent, item), then one row per item".
+
+    Without other columns, copies are first reduced to their smallest ``row_id``
+    by a hash aggregate, so only distinct rows are ever sorted.
     """
+    names = [levels.parent, levels.child, levels.item]
+    if set(df.columns) == {*names, row_id}:
+        columns = df.columns
+        df = df.groupBy(*names).agg(F.min(row_id).alias(row_id)).select(*columns)
     key = folded(levels.item) if ignore_case else col(levels.item)
     order = [
         F.length(levels.child).desc(), F.col(levels.child), F.col(levels.parent),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 from typing import Any
 
@@ -11,6 +12,7 @@ from ..operators import canonical, clusters, dedup, hierarchy, quality, vectors
 from ..operators.batching import positions
 from ..operators.cascade import apply_rules
 from ..operators.rules import Levels
+from ..sources.exchange import write_metrics
 from ..sources.packs import RulePack
 from ..sources.stages import materialize
 
@@ -76,8 +78,10 @@ def curate(
 
     ``name_clusters`` turns clusters ``(cluster_id, members)`` into model or
     recorded replies ``(cluster_id, members, reply)``. Each step writes its
-    table under ``out`` and is skipped when it is already there.
+    table under ``out`` and is skipped when it is already there; the run's
+    metrics go to ``out/metrics`` as JSON.
     """
+    started = time.monotonic()
     min_items = options.get("min_items", hierarchy.MIN_ITEMS)
     k = options.get("k", vectors.NEIGHBOURS)
     min_sim = options.get("min_sim", vectors.MIN_SIMILARITY)
@@ -96,4 +100,14 @@ def curate(
     merged = merge_synonyms(corrected, mapping)
     final = step("final", lambda: validate(merged, validate_pack))
     report = quality.report(final, conditions or {}, targets)
+    write_metrics(
+        quality.metrics_row(
+            report,
+            input_rows=rows.count(),
+            clusters_created=grouped.select("cluster_id").distinct().count(),
+            duplicates_removed=canonical.changes(mapping).first()[0],
+            processing_time_minutes=round((time.monotonic() - started) / 60, 2),
+        ),
+        f"{out}/metrics",
+    )
     return final_order(final), report

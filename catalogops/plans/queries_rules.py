@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import cascade, rules as R
+from ..operators.batching import spread
 from ..operators.tables import mapping_table, small_table
 from ..sources import packs
 from .registry import (
@@ -36,6 +37,10 @@ GROUPS = [
 ]
 
 
+def documents(spark, sf):
+    return spread(read(spark, sf, "documents").select("doc_id", "text"))
+
+
 def _any(column, words, shape):
     return "(" + " OR ".join(shape.format(c=column, w=w) for w in words) + ")"
 
@@ -46,7 +51,7 @@ _STRIPPED = f"lower({strip_sql('text')})"
 
 @query("kw_any_substring", f"SELECT doc_id, {_any(_LOW, WORDS, 'contains({c}, {w!r})')} AS hit FROM documents")
 def kw_any_substring(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", text.any_substring("text", WORDS).alias("hit"))
+    return documents(spark, sf).select("doc_id", text.any_substring("text", WORDS).alias("hit"))
 
 
 @query(
@@ -54,7 +59,7 @@ def kw_any_substring(spark, sf):
     f"SELECT doc_id, {_any(_LOW, ENTITY, '''contains(' ' || {c}, ' {w}')''')} AS hit FROM documents",
 )
 def kw_word_prefix(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", text.word_prefix("text", ENTITY).alias("hit"))
+    return documents(spark, sf).select("doc_id", text.word_prefix("text", ENTITY).alias("hit"))
 
 
 _PADDED = "(contains(' ' || {c} || ' ', ' {w} ') OR ends_with({c}, '{w}'))"
@@ -67,7 +72,7 @@ _PADDED = "(contains(' ' || {c} || ' ', ' {w} ') OR ends_with({c}, '{w}'))"
 )
 def kw_padded_veto(spark, sf):
     hit = text.padded_or_suffix("text", SUFFIX, VETO)
-    return read(spark, sf, "documents").select("doc_id", hit.alias("hit"))
+    return documents(spark, sf).select("doc_id", hit.alias("hit"))
 
 
 _ARMS = " ".join(
@@ -77,7 +82,7 @@ _ARMS = " ".join(
 
 @query("kw_classify", f"SELECT doc_id, CASE {_ARMS} ELSE 'plain' END AS label FROM documents")
 def kw_classify(spark, sf):
-    return read(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", R.classify("text", GROUPS, "plain").alias("label")
     )
 
@@ -401,12 +406,12 @@ _CORRECTED = f"""WITH {LISTINGS_DIRTY}, {correct_sql('listings_dirty')}
 
 @query("rule_cascade_pairs", _CORRECTED)
 def rule_cascade_pairs(spark, sf):
-    return cascade.apply_rules_by_pair(listings_dirty(spark, sf), demo_pack("correct"))
+    return cascade.apply_rules_by_pair(listings_dirty(spark, sf, True), demo_pack("correct"))
 
 
 @query("rule_cascade", _CORRECTED)
 def rule_cascade(spark, sf):
-    return cascade.apply_rules(listings_dirty(spark, sf), demo_pack("correct"))
+    return cascade.apply_rules(listings_dirty(spark, sf, True), demo_pack("correct"))
 
 
 _G = "(contains(lower(p), 'hot') OR contains(lower(p), 'gear') OR contains(lower(p), 'blue p')) AND NOT d AND coalesce(c NOT IN ('BULK', 'PROMO'), TRUE)"
@@ -464,7 +469,7 @@ vf AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h130 = 1 THEN 'SMALLWARE' ELSE c
         SELECT row_id, c AS category, s AS subcategory, p AS product_category FROM vf WHERE NOT d""",
 )
 def validate_cascade(spark, sf):
-    return cascade.apply_rules(listings_dirty(spark, sf), demo_pack("validate"), strip=False)
+    return cascade.apply_rules(listings_dirty(spark, sf, True), demo_pack("validate"), strip=False)
 
 
 _HIT_NAMES = {
@@ -481,4 +486,4 @@ _HIT_ROWS = " UNION ALL ".join(
 
 @query("rule_hits", f"WITH {LISTINGS_DIRTY}, {validate_sql('listings_dirty')} {_HIT_ROWS}")
 def rule_hits(spark, sf):
-    return cascade.rule_hits(listings_dirty(spark, sf), demo_pack("validate"), strip=False)
+    return cascade.rule_hits(listings_dirty(spark, sf, True), demo_pack("validate"), strip=False)

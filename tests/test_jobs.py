@@ -223,5 +223,7 @@ def test_whole_job(spark, sf, tmp_path):
     assert first == sorted(first) and len({r[2].strip().lower() for r in first}) == len(first)
     measures = {r.metric: (r.value, r.ok) for r in report.collect()}
     assert measures["final_products"] == (len(first), None) and measures["bulk"][1] is True
+    metrics = spark.read.json(str(tmp_path / "job" / "metrics")).first()
+    assert metrics.metrics.final_products == len(first) and metrics.input_rows == rows.count()
     again, _ = run()
     assert [tuple(r) for r in again.collect()] == first and len(calls) == 1

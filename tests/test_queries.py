@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
+from catalogops.operators import cascade
+from catalogops.plans import queries_rules, registry
 from compare import compare, connect
 
 QUERIES, ORACLE = E.queries(), E.oracle_sql()
@@ -51,8 +53,9 @@ def test_keep_first_is_pruned_before_the_shuffle(spark, sf):
 
 
 def test_cascade_is_one_pass(spark, sf):
-    text = plan(QUERIES["rule_cascade"](spark, sf))
-    assert "hashpartitioning" not in text
+    rows = registry.listings_dirty(spark, sf)
+    text = plan(cascade.apply_rules(rows, queries_rules.demo_pack("correct")))
+    assert "hashpartitioning" not in text and "RoundRobin" not in text
     assert "Python" not in text
 
 
