@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.replies import clean_reply
+from ..functions.text import folded
 from ..operators import batching, canonical, clusters, inference, vectors
 from ..sources.stages import stage
-from .registry import TAX, query, read, tax
+from .registry import TAX, query, read, strip_sql, tax
 
 # --- replies: an event's JSON wrapped the way a model wraps its answer
 
@@ -318,10 +319,30 @@ def cluster_members(spark, sf):
     )
 
 
-@query("embed_hash")
+_STEP = "CAST((CAST(xor({h}, CAST(codes[i{at}] AS UBIGINT)) AS UHUGEINT) * 1099511628211) % 18446744073709551616 AS UBIGINT)"
+_HASH = _STEP.format(
+    h=_STEP.format(h=_STEP.format(h="CAST(14695981039346656037 AS UBIGINT)", at=""), at=" + 1"), at=" + 2"
+)
+
+
+@query(
+    "embed_hash",
+    f"""WITH c AS (SELECT doc_id, list_transform(string_split(' ' || lower({strip_sql('text')}) || ' ', ''),
+            lambda ch: unicode(ch)) AS codes FROM documents),
+        h AS (SELECT doc_id, unnest(list_transform(range(1, len(codes) - 1), lambda i: {_HASH})) AS h FROM c)
+        SELECT doc_id, CAST(xor(h, h // 8589934592) % 256 AS INTEGER) AS bucket, count(*) AS n FROM h GROUP BY ALL""",
+)
 def embed_hash(spark, sf):
-    docs = vectors.embed_hashed(read(spark, sf, "documents").select("doc_id", "text"), "text")
-    return docs.select("doc_id", "vector")
+    """Vectors turned back into the counts they were made of."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    made = vectors.embed_hashed(docs, "text").select(
+        "doc_id", F.length(folded("text")).alias("grams"), "vector"
+    )
+    total = F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)
+    scaled = made.select("doc_id", (F.col("grams") / total).alias("norm"), F.posexplode("vector").alias("bucket", "x"))
+    return scaled.select(
+        "doc_id", "bucket", F.round(F.col("x") * F.col("norm")).cast("long").alias("n")
+    ).where("n > 0")
 
 
 @query("similar_texts")
