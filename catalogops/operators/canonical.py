@@ -38,7 +38,13 @@ def synonym_map(replies: DataFrame, order_by: Sequence[str] = ("cluster_id",)) -
     pairs = replies.select(
         *order_by, "canonical_name", F.posexplode("merged").alias("pos", "member")
     ).where(F.col("member").isNotNull())
-    last = F.max(F.struct(*order_by, "pos", "canonical_name"))
+    # Numbered ids outgrow their padding: longer ones are later.
+    order = [
+        part.alias(f"o{i}{j}")
+        for i, c in enumerate(order_by)
+        for j, part in enumerate((F.length(F.col(c).cast("string")), F.col(c)))
+    ]
+    last = F.max(F.struct(*order, "pos", "canonical_name"))
     return pairs.groupBy("member").agg(last.alias("w")).select(
         "member", F.col("w.canonical_name").alias("canonical")
     )

@@ -15,10 +15,18 @@ from .tables import small_table
 MIN_ITEMS = 8
 
 
+# Rows that one row stands for, in tables already grouped by (parent, child).
+WEIGHT = "n_rows"
+
+
+def _rows(df: DataFrame) -> Column:
+    return F.sum(WEIGHT) if WEIGHT in df.columns else F.count(F.lit(1))
+
+
 def group_sizes(df: DataFrame, levels: Levels = Levels()) -> DataFrame:
     """``n`` rows per (parent, child); NULL groups are left out."""
     present = df.dropna(subset=[levels.parent, levels.child])
-    return present.groupBy(levels.parent, levels.child).agg(F.count(F.lit(1)).alias("n"))
+    return present.groupBy(levels.parent, levels.child).agg(_rows(df).alias("n"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -82,7 +90,7 @@ def collapse_thin(
 
 def _violations(df: DataFrame, check: str, key: Column, sample: Column) -> DataFrame:
     return df.groupBy(key.alias("key")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(sample).alias("sample")
+        _rows(df).alias("n"), F.min(sample).alias("sample")
     ).select(F.lit(check).alias("check"), "key", "n", "sample")
 
 
@@ -176,8 +184,17 @@ def check(
     min_items: int = MIN_ITEMS,
     levels: Levels = Levels(),
 ) -> DataFrame:
-    """All checks as one ``(check, key, n, sample)`` table."""
+    """All checks as one ``(check, key, n, sample)`` table.
+
+    The data is read twice: once grouped by (parent, child), which serves every
+    check but the one on items.
+    """
     spark = df.sparkSession
+    items = df.select(levels.parent, levels.child, levels.item)
+    groups = items.groupBy(levels.parent, levels.child).agg(
+        F.count(F.lit(1)).alias(WEIGHT), F.min(levels.item).alias(levels.item)
+    )
+    df = stage(groups, "check-groups")
     parts = [
         outside_closed_set(df, small_table(spark, ["value"], [[v] for v in closed_set]), levels),
         child_under_many_parents(df, levels),
@@ -187,7 +204,7 @@ def check(
         format_duplicates(df, levels),
         service_children(df, service_parents, levels=levels),
         forbidden_pairs(df, small_table(spark, ["parent", "child"], pairs), levels),
-        item_under_many_parents(df, levels),
+        item_under_many_parents(items, levels),
     ]
     out = parts[0]
     for p in parts[1:]:

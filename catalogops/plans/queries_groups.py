@@ -294,6 +294,35 @@ def chk_thin_group(spark, sf):
     return H.thin_violations(tax(spark, sf), MIN_ITEMS)
 
 
+_ALL = " UNION ALL ".join(
+    [
+        _grouped("closed_set", "listings_dirty", "category NOT IN ('STANDARD','ECONOMY','MEDIUM','LARGE','SMALL','PROMO')",
+                 "category", "subcategory"),
+        _spread("unique_child", "listings_dirty", "subcategory", "category"),
+        _grouped("forbidden_child", "listings_dirty", "subcategory = 'Brand#1'", "subcategory", "category"),
+        _grouped("entity_child", "listings_dirty", "contains(' ' || lower(subcategory), ' brand#2')",
+                 "subcategory", "category"),
+        f"""SELECT 'thin_group' AS "check", category || ' > ' || subcategory AS key, count(*) AS n, subcategory AS sample
+            FROM listings_dirty WHERE subcategory IS NOT NULL GROUP BY category, subcategory HAVING count(*) < 40""",
+        _spread("format_dups", "listings_dirty", "lower(subcategory)", "subcategory"),
+        _grouped("service_child", "listings_dirty", "regexp_matches(lower(subcategory), 'services?\\b') AND category NOT IN ('PROMO')",
+                 "subcategory", "category"),
+        _grouped("forbidden_pairs", "listings_dirty", "category = 'SMALL' AND subcategory = 'Brand#1'",
+                 "category || ' > ' || subcategory", "product_category"),
+        _spread("multi_parent", "listings_dirty", "product_category", "concat_ws(' > ', category, subcategory)"),
+    ]
+)
+
+
+@query("hierarchy_check", f"WITH {LISTINGS_DIRTY} {_ALL}")
+def hierarchy_check(spark, sf):
+    """Every check at once over the grouped data."""
+    return H.check(
+        listings_dirty(spark, sf), CLOSED, ["Brand#1"], [("SMALL", "Brand#1")], ["brand#2"],
+        ["PROMO"], min_items=40,
+    )
+
+
 @query(
     "chk_scoped_members",
     f"""WITH {LISTINGS} SELECT category, count(*) AS n, count(*) FILTER (subcategory IN ('Brand#1', 'Brand#2')) AS hits

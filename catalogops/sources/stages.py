@@ -23,10 +23,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only a ``local`` master, where driver and executors are one process, may
     fall back to a temporary folder.
     """
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by the cluster")
     app = context.applicationId

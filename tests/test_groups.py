@@ -131,6 +131,13 @@ def test_check_reports_every_kind(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], SCHEMA)
     out = H.check(df, ["A", "B"], ["A", "B"], [("Z", "s9")], ["dealer"], ["B"], min_items=2)
     kinds = {r.check for r in out.collect()}
+    twice = H.check(df.unionByName(df), ["A", "B"], ["A", "B"], [("Z", "s9")], ["dealer"], ["B"], min_items=2)
+    found = {(r.check, r.key): (r.n, r["sample"]) for r in twice.collect()}
+    assert found["closed_set", "Z"] == (2, "s9")
+    assert found["forbidden_child", "A"] == (2, "A")
+    assert found["unique_child", "s1"] == (2, "A")
+    assert found["forbidden_pairs", "Z > s9"] == (2, "p7")
+    assert ("thin_group", "Z > s9") not in found
     assert kinds == {
         "closed_set", "unique_child", "forbidden_child", "entity_child", "thin_group",
         "format_dups", "service_child", "forbidden_pairs", "multi_parent",
