@@ -339,7 +339,9 @@ def embed_hash(spark, sf):
         "doc_id", F.length(folded("text")).alias("grams"), "vector"
     )
     total = F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)
-    scaled = made.select("doc_id", (F.col("grams") / total).alias("norm"), F.posexplode("vector").alias("bucket", "x"))
+    # The norm comes first: next to an explode it would be computed per element.
+    made = made.withColumn("norm", F.col("grams") / total)
+    scaled = made.select("doc_id", "norm", F.posexplode("vector").alias("bucket", "x"))
     return scaled.select(
         "doc_id", "bucket", F.round(F.col("x") * F.col("norm")).cast("long").alias("n")
     ).where("n > 0")
