@@ -41,10 +41,23 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: one evaluation, known size, no lineage."""
+    return stage_at(df, name)[0]
+
+
+def stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stage``, with the path, for callers that discard the table when it is no longer read."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table; nothing may read it any more."""
+    if "/catalogops/" not in path:
+        raise ValueError(f"not a staged table: {path}")
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 def _file_system(spark: SparkSession, path: str):
