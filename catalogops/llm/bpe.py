@@ -19,12 +19,13 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -36,10 +37,10 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 _PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _NOT_PLAIN = re.compile("[^\t\n\r\x20-\x7e\u00a1\u00ab\u00b7\u00bb\u00bf-\u024f\u2010-\u2027\u20ac]")
 
-#: Characters of text handled at a time inside a task; longer texts go alone.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text handled at a time inside a task; longer texts go alone.
+CHUNK_BYTES = 1_000_000
 #: Distinct words a task remembers before it starts afresh.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 400_000
 #: Bytes of a word up to which failing words are merged together, a step at a time.
 SHORT_WORD = 64
 
@@ -289,16 +290,19 @@ class Encoder:
         return ids, np.diff(ends[borders])
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """(from, to) of runs of rows holding about CHUNK_CHARS characters."""
-    start, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text or "") + 64
-        if held >= CHUNK_CHARS:
-            yield start, k + 1
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+Batches = Iterator[pa.RecordBatch]
+Step = tuple[Callable[[Batches], Batches], Callable[[T.StructType], T.StructType]]
+
+
+def _pieces(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batch cut where its texts reach about CHUNK_BYTES."""
+    column = batch.column(batch.schema.get_field_index(text))
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) + 64
+    piece = np.cumsum(sizes) // CHUNK_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)]
+    for start, end in zip(cuts[:-1], cuts[1:]):
+        if end > start:
+            yield batch.slice(start, end - start), [t or "" for t in column.slice(start, end - start).to_pylist()]
 
 
 def _put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -306,54 +310,38 @@ def _put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return batch.set_column(at, name, values) if at >= 0 else batch.append_column(name, values)
 
 
-def _schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        return T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in df.schema])
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+def _with(name: str, kind: T.DataType) -> Callable[[T.StructType], T.StructType]:
+    def extend(schema: T.StructType) -> T.StructType:
+        if name in schema.names:
+            return T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in schema])
+        return T.StructType([*schema.fields, T.StructField(name, kind)])
 
+    return extend
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the column ``ids`` (array of int): the tokens of the whole of each text.
 
-    NULL encodes like the empty text, to no tokens. Texts of any length are
-    taken whole. A special token's string in a text becomes that token, as the
-    vocabulary file says. A column already named ``ids`` is replaced. Rows keep
-    their number and order; there is no shuffle.
-    """
-    plain = df.withColumn(text, F.col(text).cast("string"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encoding(path: str, text: str = "text", ids: str = "ids") -> Step:
+    def run(batches: Batches) -> Batches:
         encoder = Encoder(path)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text))
-            sizes = texts.to_pylist()
-            for start, end in chunks(sizes):
-                flat, counts = encoder.encode([t or "" for t in sizes[start:end]])
+            for piece, texts in _pieces(batch, text):
+                flat, counts = encoder.encode(texts)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-                yield _put(batch.slice(start, end - start), ids, column)
+                yield _put(piece, ids, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32))))
 
-    return plain.mapInArrow(run, _schema_with(plain, ids, T.ArrayType(T.IntegerType())))
+    return run, _with(ids, T.ArrayType(T.IntegerType()))
 
 
-def _ragged(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    counts = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+def _ragged(batch: pa.RecordBatch, ids: str) -> tuple[np.ndarray, np.ndarray]:
+    column = batch.column(batch.schema.get_field_index(ids))
+    counts = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), counts
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Add the column ``text`` with what the tokens say; special tokens are kept.
-
-    Tokens are bytes; a sequence that is no valid UTF-8 decodes to replacement
-    characters. NULL or no ids decode to the empty text. An id outside the
-    vocabulary is an error.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def decoding(path: str, ids: str = "ids", text: str = "decoded") -> Step:
+    def run(batches: Batches) -> Batches:
         v = vocabulary(path)
         for batch in batches:
-            flat, counts = _ragged(batch.column(batch.schema.get_field_index(ids)))
+            flat, counts = _ragged(batch, ids)
             if len(flat) and (flat.min() < 0 or flat.max() >= v.size):
                 raise ValueError("token id outside the vocabulary")
             lengths = v.lengths[flat]
@@ -363,26 +351,71 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(borders[:-1], borders[1:])]
             yield _put(batch, text, pa.array(texts, pa.string()))
 
-    return df.mapInArrow(run, _schema_with(df, text, T.StringType()))
+    return run, _with(text, T.StringType())
 
 
-def digests(df: DataFrame, key: str = "doc_id", ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Per row: number of tokens, SHA-256 of the ids as little-endian uint32, SHA-256 of the decoded text."""
-    chosen = df.select(key, ids, F.sha2(text, 256).alias("decoded_sha256"))
-    schema = T.StructType([
-        chosen.schema[key], T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
-    ])
+def digesting(key: str = "doc_id", ids: str = "ids", text: str = "decoded") -> Step:
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
-            flat, counts = _ragged(batch.column(1))
+            flat, counts = _ragged(batch, ids)
             data = flat.astype("<u4").tobytes()
             ends = 4 * np.concatenate([[0], np.cumsum(counts)])
             hashed = [hashlib.sha256(data[i:j]).hexdigest() for i, j in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(hashed, pa.string()), batch.column(2)],
-                names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            said = [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(batch.schema.get_field_index(key)), pa.array(counts),
+                pa.array(hashed, pa.string()), pa.array(said, pa.string()),
+            ], names=names)
+
+    return run, lambda schema: T.StructType([
+        schema[key], T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
+    ])
+
+
+def apply(df: DataFrame, *steps: Step) -> DataFrame:
+    """The steps in one pass: batches go from one to the next inside the same worker."""
+    schema = df.schema
+    for _, extend in steps:
+        schema = extend(schema)
+
+    def run(batches: Batches) -> Batches:
+        for step, _ in steps:
+            batches = step(batches)
+        return batches
+
+    return df.mapInArrow(run, schema)
+
+
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add the column ``ids`` (array of int): the tokens of the whole of each text.
+
+    NULL encodes like the empty text, to no tokens. Texts of any length are
+    taken whole. A special token's string in a text becomes that token, as the
+    vocabulary file says. A column already named ``ids`` is replaced. Rows keep
+    their number and order; there is no shuffle. An empty table stays empty.
+    """
+    return apply(df.withColumn(text, F.col(text).cast("string")), encoding(path, text, ids))
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """Add the column ``text`` with what the tokens say; special tokens are kept.
+
+    Tokens are bytes; a sequence that is no valid UTF-8 decodes to replacement
+    characters. NULL or no ids decode to the empty text. An id outside the
+    vocabulary is an error.
+    """
+    return apply(df, decoding(path, ids, text))
+
 
-    return chosen.mapInArrow(run, schema)
+def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: tokens, SHA-256 of the ids as little-endian uint32, SHA-256 of the text decoded from them."""
+    chosen = df.select(key, F.col(text).cast("string").alias(text))
+    only = (
+        lambda batches: (b.select([key, "ids"]) for b in batches),
+        lambda schema: T.StructType([schema[key], schema["ids"]]),
+    )
+    return apply(chosen, encoding(path, text), only, decoding(path), digesting(key))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, sharding
+from . import bpe, html, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +54,10 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op10_bpe_round_trip")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").select("doc_id", "text")
-    path = tokenizer_path()
-    encoded = bpe.encode(docs, path).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.round_trip_digests(read(spark, sf, "documents"), tokenizer_path())
+
+
+@query("op9_style_tree_text")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read(spark, sf, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
