@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, html, sharding
+from ..sources import stages
+from . import bpe, html, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +62,28 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     pages = read(spark, sf, "pages").select("page_id", "url", "html")
     return html.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_arc_to_warc")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    arcs, warcs = stages.new_path(spark, "arc"), stages.new_path(spark, "warc")
+    warc.write_archives(warc.arc_archives(read(spark, sf, "pages")), arcs)
+    warc.convert(spark, arcs, warcs)
+    stages.discard(spark, arcs)
+    return warc.warc_records(warc.read_archives(spark, warcs)).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+RULES = (
+    urls.rule("net/", "block"), urls.rule("example.net/en/", "allow"),
+    urls.rule("example.com/de/", "block"), urls.rule("org/fr/", "allow"),
+)
+
+
+@query("op4_redirect_equivalence")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read(spark, sf, "pages")
+    return urls.judge(pages.select("page_id", "url"), RULES, urls.alias_edges(pages)).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
