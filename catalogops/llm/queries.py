@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import stages
-from . import bpe, html, sharding, urls, warc
+from . import bpe, embeddings, html, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +87,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(pages.select("page_id", "url"), RULES, urls.alias_edges(pages)).select(
         "page_id", "host", "path", "rule", "verdict"
     )
+
+
+@query("op7_quantised_links")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.link(read(spark, sf, "embeddings"))
