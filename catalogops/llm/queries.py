@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import stages
-from . import bpe, embeddings, html, minhash, sharding, urls, warc
+from . import bpe, decontaminate, embeddings, html, minhash, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +98,10 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.classes(read(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+
+
+@query("op8_spaced_seeds")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.overlaps(
+        read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "benchmark"), ["doc_id"]
+    )
