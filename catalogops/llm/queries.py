@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import stages
-from . import bpe, decontaminate, embeddings, html, minhash, sharding, urls, warc
+from . import bpe, decontaminate, embeddings, html, minhash, secrets, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,14 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.overlaps(
         read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "benchmark"), ["doc_id"]
     )
+
+
+@query("op2_random_secrets")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
