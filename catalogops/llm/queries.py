@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import stages
-from . import bpe, decontaminate, embeddings, html, minhash, secrets, sharding, urls, warc
+from . import bpe, cotrain, decontaminate, embeddings, html, minhash, secrets, sharding, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,11 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(secrets.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
         secrets.spans_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op6_co_trained_quality")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return cotrain.classify(docs, read(spark, sf, "labels")).select(
+        "doc_id", "p_content", "p_metadata", "p_quality", "keep"
+    )
