@@ -330,6 +330,36 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     return light.join(answers, "digest").select(F.col("key").alias(key), "digest", "class_id")
 
 
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """One row of every class: that with the least key (and, among rows with that key, one of the texts).
+
+    All columns stay as they were. Rows that agree in key and text are copies,
+    of which one stays.
+    """
+    spark = docs.sparkSession
+    found = classes(docs, key, text, settings)
+    # Two texts under one key may be in one class: the lesser digest stays.
+    first = (
+        found.where(F.col(key).eqNullSafe(F.col("class_id"))).groupBy(F.col(key).alias("_key"), "class_id", "digest")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .groupBy("_key", "class_id").agg(F.min(F.struct("digest", "_copies")).alias("_one"))
+    )
+    alone = found.where(F.col("class_id").isNull()).groupBy("digest").agg(F.count(F.lit(1)).alias("_copies"))
+    kept, _ = stages.stage_at(
+        first.where("_key IS NOT NULL").select("_key", F.col("_one.digest").alias("_kept"), F.col("_one._copies").alias("_copies"))
+        .union(alone.select(F.lit(None).cast(docs.schema[key].dataType), "digest", "_copies")),
+        "kept",
+    )
+    named = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
+    told = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_kept"))
+    out = named.join(kept, told, "left_semi") if not kept.where("_copies > 1").limit(1).count() else (
+        named.join(kept.where("_copies = 1"), told, "left_semi").unionByName(
+            named.join(kept.where("_copies > 1"), told, "left_semi").dropDuplicates([key, "_digest"])
+        )
+    )
+    return out.drop("_digest")
+
+
 def _rest(large: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
     """Groups for the second comparison: in families of large entries, who is not in the main class asks all others."""
     families = connected_components(large.select("node", "head"), "node", "head").withColumnRenamed("component", "family")

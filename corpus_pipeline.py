@@ -1,16 +1,71 @@
-"""Corpus preparation from end to end, each stage written before the next reads it."""
+"""Corpus preparation from end to end; every stage's result is written before the next one reads it.
+
+Documents that the quality classifier rejects go; of each class of near
+duplicates one stays; documents that hold a benchmark passage go; secrets are
+masked; what is left is encoded. All but the last stage return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from catalogops.llm import bpe, cotrain, decontaminate, minhash, queries, secrets
+from catalogops.sources import stages
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Co-trained on the labels; keeps what it does not reject."""
+    judged = cotrain.classify(docs, queries.read(spark, sf_dir, "labels"))
+    return judged.where("keep").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Weighted MinHash over five-word shingles at 0.8; the least doc_id of a class stays."""
+    return minhash.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that overlap a benchmark item."""
+    return decontaminate.clean(docs, queries.read(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets masked; ``n_chars`` counts the text as it is then."""
+    masked = secrets.redact(docs)
+    return masked.withColumn(
+        "n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the whole texts, decoded again: ``exact`` says that the text came back."""
+    path = queries.tokenizer_path()
+    steps = bpe.apply(
+        docs.select("doc_id", "lang", "source", "text"), bpe.encoding(path), bpe.decoding(path)
+    )
+    return steps.select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    )
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secret_scan),
+    ("encoding", encoding),
+]
 #: No stage can be said in SQL; the tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs, path = queries.read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        docs, written = stages.stage_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if path:
+            stages.discard(spark, path)
+        path = written
     return docs
