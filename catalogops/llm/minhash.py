@@ -25,10 +25,13 @@ from .shingles import counted, mix, shingle_hashes
 
 #: log2 of the number of hashed counters of document frequencies: a fixed half megabyte, whatever the corpus.
 COUNTER_BITS = 17
+#: How much more the rarest shingle weighs than the most common one. Undamped, the copies of a large
+#: family would make what they share so common that their few changes outweigh it.
+RARITY = 0.25
 #: Texts of a band entry that are compared in one go; larger entries are first cut into blocks.
 BLOCK = 256
 #: Texts not yet in the main class of a large entry that one task compares with the rest of it.
-REST = 1024
+REST = 512
 #: Bytes of text handled at a time inside a task.
 PIECE_BYTES = 1_000_000
 
@@ -56,7 +59,7 @@ def _counter(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_weights(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """Weight of a shingle by its counter: 1 + ln(1 + N / df) / ln(1 + N), from 1 to 2.
+    """Weight of a shingle by its counter: 1 + RARITY * ln(1 + N / df) / ln(1 + N).
 
     Every text counts once for each of its distinct shingles. A counter also
     holds what other shingles add to it by chance; that mean load is taken off,
@@ -86,7 +89,7 @@ def shingle_weights(docs: DataFrame, text: str, width: int) -> np.ndarray:
     total = max(float(n[at < 0].sum()), 1.0)
     load = held.mean()
     frequency = np.clip(held - load, max(1.0, math.sqrt(load)), total)
-    return (1 + np.log1p(total / frequency) / np.log1p(total)).astype(np.float32)
+    return (1 + RARITY * np.log1p(total / frequency) / np.log1p(total)).astype(np.float32)
 
 
 def _gamma_table() -> np.ndarray:
@@ -178,81 +181,84 @@ class Features:
         self.bounds = np.searchsorted(self.owner, np.arange(len(texts) + 1))
         self.total = np.bincount(self.owner, self.weight, minlength=len(texts))
 
-    def similarity(self, a: int, b: int) -> float:
-        if self.bounds[a + 1] - self.bounds[a] > self.bounds[b + 1] - self.bounds[b]:
-            a, b = b, a
+    def similarity(self, a: int, other: Features, b: int) -> float:
         x = self.hash[self.bounds[a]:self.bounds[a + 1]]
-        y = self.hash[self.bounds[b]:self.bounds[b + 1]]
+        y = other.hash[other.bounds[b]:other.bounds[b + 1]]
         at = np.minimum(np.searchsorted(y, x), len(y) - 1)
         common = self.weight[self.bounds[a]:self.bounds[a + 1]][y[at] == x].sum()
-        return common / (self.total[a] + self.total[b] - common)
-
-    def links(self, a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a row of ``a`` and a row of ``b`` that reach the threshold; the rows must not be empty."""
+        return common / (self.total[a] + other.total[b] - common)
+
+    def _dense(self, rows: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Square roots of weights, one row for each of ``rows``; ``features`` in ascending order."""
+        out = np.zeros((len(rows), len(features)), np.float32)
+        at = np.concatenate([np.arange(self.bounds[r], self.bounds[r + 1]) for r in rows])
+        owner = np.repeat(np.arange(len(rows)), self.bounds[rows + 1] - self.bounds[rows])
+        place = np.minimum(np.searchsorted(features, self.hash[at]), len(features) - 1)
+        known = features[place] == self.hash[at]
+        out[owner[known], place[known]] = np.sqrt(self.weight[at[known]])
+        return out
+
+    def links(
+        self, a: np.ndarray, other: Features, b: np.ndarray, threshold: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a row ``a`` here and a row ``b`` of ``other`` that reach the threshold."""
         if len(a) * len(b) <= 64:
             pairs = [
                 (i, j) for i in a for j in b
-                if i != j and min(self.total[i], self.total[j]) >= threshold * max(self.total[i], self.total[j])
-                and self.similarity(i, j) >= threshold
+                if min(self.total[i], other.total[j]) >= threshold * max(self.total[i], other.total[j])
+                and self.similarity(i, other, j) >= threshold
             ]
             found = np.array(pairs, np.int64).reshape(-1, 2)
             return found[:, 0], found[:, 1]
-        rows = np.unique(np.concatenate([a, b]))
-        pieces = [np.arange(self.bounds[r], self.bounds[r + 1]) for r in rows]
-        at = np.concatenate(pieces)
-        features, column, times = np.unique(self.hash[at], return_inverse=True, return_counts=True)
-        shared = times > 1
-        place = np.cumsum(shared) - 1
-        local = np.repeat(np.arange(len(rows)), [len(p) for p in pieces])
+        here = np.unique(np.concatenate([self.hash[self.bounds[r]:self.bounds[r + 1]] for r in a]))
+        there = np.unique(np.concatenate([other.hash[other.bounds[r]:other.bounds[r + 1]] for r in b]))
+        features = np.intersect1d(here, there, assume_unique=True)
         common = np.zeros((len(a), len(b)))
-        of_a, of_b = np.searchsorted(rows, a), np.searchsorted(rows, b)
         # Features in strips, so the dense part stays small however long the texts are.
-        chosen = shared[column]
-        local, column, weight = local[chosen], place[column[chosen]], self.weight[at[chosen]]
-        strip = max(1, 4_000_000 // len(rows))
-        order = np.argsort(column, kind="stable")
-        local, column, weight = local[order], column[order], weight[order]
-        for low in range(0, int(column[-1]) + 1 if len(column) else 0, strip):
-            s, e = np.searchsorted(column, [low, low + strip])
-            dense = np.zeros((len(rows), min(strip, int(column[-1]) + 1 - low)), np.float32)
-            dense[local[s:e], column[s:e] - low] = np.sqrt(weight[s:e])
-            common += dense[of_a] @ dense[of_b].T
-        similarity = common / (self.total[a][:, None] + self.total[b][None, :] - common)
+        strip = max(1, 4_000_000 // (len(a) + len(b)))
+        for low in range(0, len(features), strip):
+            part = features[low:low + strip]
+            common += self._dense(a, part) @ other._dense(b, part).T
+        similarity = common / (self.total[a][:, None] + other.total[b][None, :] - common)
         i, j = np.nonzero(similarity >= threshold - 1e-4)
-        close = np.abs(similarity[i, j] - threshold) < 1e-4
-        sure = ~close
-        for k in np.flatnonzero(close & (a[i] != b[j])):
-            sure[k] = self.similarity(a[i[k]], b[j[k]]) >= threshold
-        sure &= a[i] != b[j]
+        sure = similarity[i, j] >= threshold + 1e-4
+        for k in np.flatnonzero(~sure):  # single precision does not decide close cases
+            sure[k] = self.similarity(a[i[k]], other, b[j[k]]) >= threshold
         return a[i[sure]], b[j[sure]]
 
 
 def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> DataFrame:
     """(node, root): links of one spanning tree for each class inside each group.
 
-    ``grouped``: group, asks (does the row look for partners, or only offer
-    itself), node, text. Rows that ask are compared with all rows of the group.
+    ``grouped``: group, asks, main, node, text. Rows that ask are compared with
+    one another and with all other rows of the group, block by block. An asking
+    row that is linked with a main row asks no further: it is in the main class
+    then, and who is not will ask for it.
     """
     shared = grouped.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = shared.value
         for table, starts in whole_groups(batches):
-            node, asks = table.column("node").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)
-            texts = table.column("text")
+            node, texts = table.column("node").to_numpy(), table.column("text")
+            asks, main = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("asks", "main"))
             for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
-                if e - s < 2:
+                if e - s < 2 or not asks[s:e].any():
                     continue
-                askers = np.flatnonzero(asks[s:e])
-                others = np.flatnonzero(~asks[s:e].astype(bool))
-                found = []
-                for low in [0, *range(0, len(others), BLOCK)][(1 if len(others) else 0):]:
-                    part = np.concatenate([askers, others[low:low + BLOCK]])
-                    features = Features(texts.take(pa.array(s + part)).to_pylist(), weight, settings.width)
-                    a = np.arange(len(askers))
-                    b = np.arange(len(part)) if low == 0 else np.arange(len(askers), len(part))
-                    i, j = features.links(a, b, settings.threshold)
-                    found.append((part[i], part[j]))
+                features = lambda rows: Features(texts.take(pa.array(s + rows)).to_pylist(), weight, settings.width)
+                askers, others = np.flatnonzero(asks[s:e]), np.flatnonzero(~asks[s:e])
+                own = features(askers)
+                asking = np.arange(len(askers))
+                i, j = own.links(asking, own, asking, settings.threshold)
+                found = [(askers[i[i != j]], askers[j[i != j]])]
+                for low in range(0, len(others), BLOCK):
+                    part = others[low:low + BLOCK]
+                    offered = features(part)
+                    i, j = own.links(asking, offered, np.arange(len(part)), settings.threshold)
+                    found.append((askers[i], part[j]))
+                    asking = np.setdiff1d(asking, i[main[s + part[j]]])
+                    if not len(asking):
+                        break
                 root = local_components(e - s, *(np.concatenate(x) for x in zip(*found)))
                 linked = np.flatnonzero(root != np.arange(e - s))
                 if len(linked):
@@ -260,11 +266,15 @@ def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> Dat
                         [pa.array(node[s + linked]), pa.array(node[s + root[linked]])], names=["node", "root"]
                     )
 
-    return dealt(grouped.select("group", "asks", "node", "text")).mapInArrow(run, "node long, root long")
+    chosen = grouped.select("group", "asks", "main", "node", "text")
+    return dealt(chosen).mapInArrow(run, "node long, root long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """(key, digest, class_id, copies_first) of every row: near duplicates share ``class_id``, their least key.
+    """(key, digest, class_id, class_digest) of every row: near duplicates share both of the latter.
+
+    ``class_id`` is their least key, which two classes may share where keys
+    repeat; ``class_digest``, the least digest of their texts, is never shared.
 
     Equal texts are copies whatever their length, also those without words;
     NULL is the empty text. Texts of fewer than five words have one shingle of
@@ -305,7 +315,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     blocks = F.ceil(F.col("n") / BLOCK)
     first = members.join(texts, "node").select(
         F.xxhash64("entry", F.pmod(F.xxhash64("node", "entry"), blocks)).alias("group"),
-        F.lit(True).alias("asks"), "node", "text",
+        F.lit(True).alias("asks"), F.lit(False).alias("main"), "node", "text",
     )
     links, links_path = stages.stage_at(_compare(first, weights, settings), "links")
     paths = [nodes_path, members_path, texts_path, links_path]
@@ -315,39 +325,35 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
         paths.append(rest_path)
         links = links.union(rest)
     components = connected_components(links, "node", "root")
-    least = (
-        components.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("class_id"))
+    least = components.join(nodes.select("node", "least", "digest"), "node").groupBy("component").agg(
+        F.min("least").alias("class_id"), F.min("digest").alias("class_digest")
     )
-    named_classes = components.join(least, "component").select("node", "class_id")
+    named_classes = components.join(least, "component").select("node", "class_id", "class_digest")
     answers, _ = stages.stage_at(
-        nodes.join(named_classes, "node", "left")
-        .select("digest", "least", F.coalesce("class_id", "least").alias("class_id")),
+        nodes.join(named_classes, "node", "left").select(
+            "digest", F.when(F.col("class_digest").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"),
+            F.coalesce("class_digest", "digest").alias("class_digest"),
+        ),
         "classes",
     )
     for path in paths:
         stages.discard(spark, path)
     light = docs.select(F.col(key).alias("key"), F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("digest"))
-    return light.join(answers, "digest").select(F.col("key").alias(key), "digest", "class_id")
+    return light.join(answers, "digest").select(F.col("key").alias(key), "digest", "class_id", "class_digest")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row of every class: that with the least key (and, among rows with that key, one of the texts).
+    """One row of every class: that with the least key, and the lesser digest among texts of that key.
 
-    All columns stay as they were. Rows that agree in key and text are copies,
-    of which one stays.
+    A NULL key is greater than any other. All columns stay as they were. Rows
+    that agree in key and text are copies, of which one stays.
     """
-    spark = docs.sparkSession
     found = classes(docs, key, text, settings)
-    # Two texts under one key may be in one class: the lesser digest stays.
-    first = (
-        found.where(F.col(key).eqNullSafe(F.col("class_id"))).groupBy(F.col(key).alias("_key"), "class_id", "digest")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .groupBy("_key", "class_id").agg(F.min(F.struct("digest", "_copies")).alias("_one"))
-    )
-    alone = found.where(F.col("class_id").isNull()).groupBy("digest").agg(F.count(F.lit(1)).alias("_copies"))
+    rows = found.groupBy("class_digest", F.col(key).alias("_key"), "digest").agg(F.count(F.lit(1)).alias("_copies"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "digest", "_copies")).alias("_one")
     kept, _ = stages.stage_at(
-        first.where("_key IS NOT NULL").select("_key", F.col("_one.digest").alias("_kept"), F.col("_one._copies").alias("_copies"))
-        .union(alone.select(F.lit(None).cast(docs.schema[key].dataType), "digest", "_copies")),
+        rows.groupBy("class_digest").agg(first)
+        .select(F.col("_one._key").alias("_key"), F.col("_one.digest").alias("_kept"), F.col("_one._copies").alias("_copies")),
         "kept",
     )
     named = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
@@ -375,5 +381,6 @@ def _rest(large: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
     asking = placed.where("asks").groupBy("family").agg(F.ceil(F.count(F.lit(1)) / REST).alias("parts"))
     known = placed.join(asking, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
     return known.withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))).select(
-        F.xxhash64("family", "part").alias("group"), (F.col("asks") & (F.col("own") == F.col("part"))).alias("asks"), "node"
+        F.xxhash64("family", "part").alias("group"), (F.col("asks") & (F.col("own") == F.col("part"))).alias("asks"),
+        (~F.col("asks")).alias("main"), "node",
     ).join(texts, "node")
