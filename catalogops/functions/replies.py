@@ -9,14 +9,12 @@ from .text import col, strip_ws
 
 # The code fence and the greedy array-or-object pattern.
 FENCE = "```(?:json)?"
-BARE_FENCE = "```"
 JSON_BODY = r"(?s)(\[.*\]|\{.*\})"
 
 
 def clean_reply(c: Column | str) -> Column:
     """Remove code fences, then keep the outermost array or object if any."""
     text = strip_ws(F.regexp_replace(col(c), FENCE, ""))
-    text = strip_ws(F.replace(text, F.lit(BARE_FENCE), F.lit("")))
     body = F.regexp_extract(text, JSON_BODY, 1)
     # regexp_extract gives '' for "no match".
     return F.when(body == "", text).otherwise(strip_ws(body))

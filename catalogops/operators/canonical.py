@@ -12,18 +12,29 @@ from ..functions.text import col, folded, word_prefix
 REPLY = "struct<canonical_name: string, merged: array<string>>"
 
 
-def synonym_reply(
+def synonym_replies(
     df: DataFrame, reply_col: str = "reply", members_col: str = "members"
-) -> DataFrame:
-    """Add ``canonical_name`` and ``merged`` read from each cluster's reply.
-
-    Without a usable ``canonical_name`` the first member names the cluster and
-    all members merge; without ``merged`` all members merge.
+) -> tuple[DataFrame, DataFrame]:
+    """Split clusters into ``(good, dead_letter)`` by what their reply is.
+
+    A good reply is JSON. It adds ``canonical_name`` and ``merged``: without a
+    usable ``canonical_name`` the first member names the cluster and all members
+    merge; without ``merged`` all members merge. A failed call (``error`` set),
+    no reply or a reply that is not JSON merges nothing: that cluster goes to the
+    dead letters with its ``failure`` and its items stay as they are.
     """
-    answer = F.from_json(clean_reply(reply_col), REPLY)
+    cleaned = clean_reply(reply_col)
+    errors = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    failure = (
+        F.when(errors.isNotNull(), errors)
+        .when(F.col(reply_col).isNull(), F.lit("no reply"))
+        .when(F.try_parse_json(cleaned).isNull(), F.lit("not JSON"))
+    )
+    checked = df.withColumn("failure", failure)
+    answer = F.from_json(cleaned, REPLY)
     name = answer.getField("canonical_name")
     members = F.col(members_col)
-    return df.withColumns(
+    good = checked.where(F.col("failure").isNull()).drop("failure").withColumns(
         {
             "canonical_name": F.coalesce(name, F.try_element_at(members, F.lit(1))),
             "merged": F.when(
@@ -31,6 +42,7 @@ def synonym_reply(
             ).otherwise(members),
         }
     )
+    return good, checked.where(F.col("failure").isNotNull())
 
 
 def synonym_map(replies: DataFrame, order_by: Sequence[str] = ("cluster_id",)) -> DataFrame:
@@ -78,10 +90,17 @@ SPELLINGS = {
 }
 
 
+# Words that look like a plural and are none, and plurals of words in -ie.
+PLURAL_FORM = ("lens", "gas", "bus", "canvas", "atlas", "bias", "series", "species")
+PLURAL_IE = ("cookies", "pies", "ties", "movies", "brownies", "hoodies", "zombies", "selfies")
+
+
 def _singular(word: Column) -> Column:
     """Plural stripping for lower-case words; words with digits stay."""
     return (
         F.when(word.rlike("[0-9]") | (F.length(word) < 4), word)
+        .when(word.isin(*PLURAL_FORM), word)
+        .when(word.isin(*PLURAL_IE), F.regexp_replace(word, "s$", ""))
         .when(word.rlike("ies$"), F.regexp_replace(word, "ies$", "y"))
         .when(word.rlike("(?:ss|x|ch|sh)es$"), F.regexp_replace(word, "es$", ""))
         .when(word.rlike("(?:ss|us|is)$"), word)
@@ -98,10 +117,11 @@ def merge_key(
 
     Form is: case, ``And`` / ``&``, hyphen, comma, slash, singular or plural, spelling
     variant, and the abbreviations given as ``phrases`` (full form to short
-    form). Digits and sizes always stay, so variants by size keep apart.
+    form). Digits and sizes always stay, so variants by size keep apart: a sign
+    before a digit, a decimal comma and a fraction are part of the size.
     """
     text = F.regexp_replace(folded(c), "&", " and ")
-    text = F.regexp_replace(text, "[-,/]", " ")
+    text = F.regexp_replace(text, "[-,/](?![0-9])", " ")
     for full, short in (phrases or {}).items():
         text = F.regexp_replace(text, rf"\b\Q{full.lower()}\E\b", short.lower())
     words = F.filter(F.split(text, r"\s+"), lambda w: w != "")

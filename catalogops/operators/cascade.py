@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import padded_or_suffix, strip_ws, word_prefix
-from ..sources.packs import Rule, RulePack
+from ..sources.packs import Rule, RulePack, entry_table
 from ..sources.stages import stage
 from . import rules as R
 from .tables import found, probe, small_table
@@ -56,10 +57,12 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
         tests = [flag]
     scope = _all(tests + [R.member_of(c, names) for c, names in limits])
 
-    def keyed(rows, columns=("key", "value")):
-        return small_table(spark, columns, rows)
+    def keyed(rows, columns=("key", "value"), keys=1):
+        return small_table(spark, columns, rows, keys)
 
     def lookup():
+        if rule.table:
+            return entry_table(spark, rule.table, ["key"]).select("key", "value")
         return keyed([(e.key, e.value) for e in rule.entries])
 
     def fallback():
@@ -69,15 +72,18 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
         return keyed(
             [(e.key, e.key2, e.value) for e in pack.entries("target")],
             ("key", "parent", "value"),
+            keys=2,
         )
 
     def pairs(*keys):
+        values = {"category": "parent", "subcategory": "child", "action": "action"}
+        if rule.table:
+            named = [F.col(v).alias(name) for v, name in values.items()]
+            return entry_table(spark, rule.table, keys).select(*keys, *named)
         return keyed(
-            [
-                [getattr(e, k) for k in (*keys, "category", "subcategory", "action")]
-                for e in rule.entries
-            ],
-            (*keys, "parent", "child", "action"),
+            [[getattr(e, k) for k in (*keys, *values)] for e in rule.entries],
+            (*keys, *values.values()),
+            keys=len(keys),
         )
 
     match rule.kind:
@@ -91,7 +97,7 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
             return R.replace_value(df, lookup(), rule.column, mark=mark)
         case "move_out":
             return R.move_out(
-                df, lookup(), rule.scope_category[0], rule.set_category, targets(),
+                df, lookup(), rule.scope_category, rule.set_category, targets(),
                 _groups(rule), rule.default_value, lv, mark,
             )
         case "reparent":
@@ -129,10 +135,12 @@ def _apply(df: DataFrame, rule: Rule, pack: RulePack, lv: R.Levels, mark: str |
                 df, lookup(), lv.child, F.col(lv.item), scope, F.lit(rule.default_value), mark
             )
         case "priority_sets":
-            sets: dict[str, list[str]] = {}
-            for e in rule.entries:
-                sets.setdefault(e.value, []).append(e.key)
-            return R.priority_sets(df, list(sets.items()), scope, lv, mark)
+            # Entries keep their order, also where a label returns after another one.
+            sets = [
+                (label, [e.key for e in run])
+                for label, run in groupby(rule.entries, key=lambda e: e.value)
+            ]
+            return R.priority_sets(df, sets, scope, lv, mark)
         case "fix_delete":
             on = {"key": F.col(lv.parent), "key2": F.col(lv.child)}
             return R.assign_pair(

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import numbered
-from ..sources.stages import new_path, stage
+from ..sources.stages import discard, new_path, stage, stage_at
 from .batching import positions
 
 
-def leader_assignment(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def leader_assignment(edges: DataFrame) -> DataFrame:
     """``(member, leader, sim, rank)`` of the sequential greedy procedure.
 
     ``edges`` is ``(id, neighbour, sim, rank)``: whom a row absorbs if it leads.
     Going through ids in order, an id not yet absorbed leads and absorbs its
     neighbours not yet absorbed. Hence an id leads exactly when no smaller
     leader lists it, and a member belongs to its smallest leader. Rounds decide
-    ids whose smaller listers are decided; a chain needs one round per link, and
-    running out of rounds is an error, never a partial answer.
+    ids whose smaller listers are decided; a chain needs one round per link. The
+    smallest undecided id is decided in each round, so the rounds end.
 
-    Joins on the lister's side meet at most k edges per key; popular neighbours
-    are only ever aggregated, which combines before the shuffle.
+    Joins on the lister's side meet at most k edges per key. Popular neighbours
+    are aggregated, which combines before the shuffle, and joined with the one
+    row of their verdict, which adaptive execution splits. A round's edges are
+    deleted once the next round's are written.
     """
     spark = edges.sparkSession
     forward = stage(
@@ -34,12 +36,11 @@ def leader_assignment(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     live = forward.select("src", "dst").join(
         contested.withColumn("open", F.lit(True)), F.col("src") == F.col("node"), "left"
     ).select("src", "dst", F.when(F.col("open"), "open").otherwise("leader").alias("state"))
-    live = stage(live, "leader-live")
+    live, live_path = stage_at(live, "leader-live")
 
     verdicts = new_path(spark, "leader-verdicts")
-    for turn in range(max_rounds):
-        if live.isEmpty():
-            break
+    turn = 0
+    while not live.isEmpty():
         by_node = live.groupBy("dst").agg(
             F.max(F.col("state") == "leader").alias("led"),
             F.max(F.col("state") == "open").alias("waiting"),
@@ -55,10 +56,9 @@ def leader_assignment(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         live = rest.join(decided, F.col("src") == F.col("node"), "left").select(
             "src", "dst", F.coalesce("verdict", "state").alias("state")
         )
-        live = stage(live, "leader-live")
-    else:
-        if not live.isEmpty():
-            raise RuntimeError(f"still undecided after {max_rounds} rounds; raise max_rounds")
+        live, next_path = stage_at(live, "leader-live")
+        discard(spark, live_path)
+        live_path, turn = next_path, turn + 1
 
     if turn == 0:  # no id is listed by a smaller one
         return forward.select(

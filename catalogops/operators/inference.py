@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.replies import all_null, clean_reply, parse_rows
 from ..functions.text import bullet_list, let
-from .batching import fixed_batches, pack_batches, spread
+from .batching import fixed_batches, pack_batches
 
-# Fixed value: records per prompt.
+# Records per prompt, and what stands between template and data.
 CHUNK_ROWS = 25
+INPUT_JOINT = "\n\nINPUT:\n"
+CLUSTER_JOINT = "\n\nInput cluster ("
 
 
 def chunk_prompts(
@@ -29,14 +31,14 @@ def chunk_prompts(
     return packed.select(
         "batch_id",
         F.size("items").alias("n"),
-        F.concat(F.lit(template.strip() + "\n\nINPUT:\n"), body).alias("prompt"),
+        F.concat(F.lit(template.strip() + INPUT_JOINT), body).alias("prompt"),
     )
 
 
 def cluster_prompt(template: str, cluster_id: Column, members: Column) -> Column:
     """Prompt asking for the common name of one cluster."""
     head = F.concat(
-        F.lit(template.strip() + "\n\nInput cluster ("), cluster_id, F.lit("):\n")
+        F.lit(template.strip() + CLUSTER_JOINT), cluster_id, F.lit("):\n")
     )
     return F.concat(head, bullet_list(members))
 
@@ -46,36 +48,54 @@ def infer(
     prompt_col: str,
     make_model: Callable[[], Callable[[list[str]], Sequence[str | Exception | None]]],
     keep: Sequence[str],
+    batch: int = 64,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Call a user's model on every prompt: ``keep`` columns, ``reply``, ``error``.
 
-    ``make_model`` runs once per task and returns a function from a list of
-    prompts to as many replies; an exception in the list marks one failed
-    prompt, a raised one marks the whole batch. A model call is costly and may not repeat itself, so write the
-    result out (``sources.stages.materialize``) before using it twice.
+    ``make_model`` runs once per task and returns a function from a list of at
+    most ``batch`` prompts to as many replies; an exception in the list marks one
+    failed prompt. When a call raises, its prompts are asked one by one, so that
+    only those fail that raise alone. The kept columns pass through untouched. A
+    model call is costly and may not repeat itself, so write the result out
+    (``sources.stages.materialize``) before using it twice; ``partitions`` deals
+    a small input over so many tasks.
     """
     schema = StructType(
         [df.schema[c] for c in keep]
         + [StructField("reply", StringType()), StructField("error", StringType())]
     )
+    kept = list(keep)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make_model()
-        for batch in batches:
+
+        def ask(prompts: list[str]) -> list:
             try:
-                answers = list(model(batch[prompt_col].tolist()))
-                if len(answers) != len(batch):
-                    raise ValueError(f"{len(answers)} replies to {len(batch)} prompts")
+                answers = list(model(prompts))
+                if len(answers) != len(prompts):
+                    raise ValueError(f"{len(answers)} replies to {len(prompts)} prompts")
+                return answers
             except Exception as failure:
-                answers = [failure] * len(batch)
-            out = batch[list(keep)].copy()
+                if len(prompts) == 1:
+                    return [failure]
+                return [answer for p in prompts for answer in ask([p])]
+
+        for rows in batches:
+            prompts = rows.column(rows.schema.get_field_index(prompt_col)).to_pylist()
+            answers = [a for s in range(0, len(prompts), batch) for a in ask(prompts[s:s + batch])]
             failed = [isinstance(a, Exception) for a in answers]
-            out["reply"] = [None if f else a for a, f in zip(answers, failed)]
-            out["error"] = [repr(a) if f else None for a, f in zip(answers, failed)]
-            yield out
+            replies = [None if f or a is None else str(a) for a, f in zip(answers, failed)]
+            errors = [repr(a) if f else None for a, f in zip(answers, failed)]
+            columns = [rows.column(rows.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(replies, pa.string()), pa.array(errors, pa.string())],
+                names=[*kept, "reply", "error"],
+            )
 
     prompts = df.select(*keep, *([] if prompt_col in keep else [prompt_col]))
-    return spread(prompts).mapInPandas(run, schema)
+    dealt = prompts.repartition(partitions) if partitions else prompts
+    return dealt.mapInArrow(run, schema)
 
 
 def replay(df: DataFrame, recorded: DataFrame, on: Sequence[str]) -> DataFrame:

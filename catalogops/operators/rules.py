@@ -137,7 +137,7 @@ def fallback_where(
 def move_out(
     df: DataFrame,
     table: DataFrame,
-    scope: str,
+    scope: str | Sequence[str],
     to_parent: str,
     targets: DataFrame,
     groups: Sequence[Group],
@@ -145,7 +145,7 @@ def move_out(
     levels: Levels = Levels(),
     mark: str | None = None,
 ) -> DataFrame:
-    """Lookup inside one parent; a NULL value moves the row to ``to_parent``.
+    """Lookup inside some parents; a NULL value moves the row to ``to_parent``.
 
     A moved row takes the child that ``targets`` holds for ``(child, to_parent)``,
     else the first keyword group hit by the old child, else ``default``.
@@ -157,7 +157,7 @@ def move_out(
     landing = F.coalesce(F.col("rule_t.value"), classify(child, groups, default))
     return assign(
         joined,
-        (parent == scope) & found("rule_v"),
+        parent.isin([scope] if isinstance(scope, str) else list(scope)) & found("rule_v"),
         {
             levels.parent: F.when(leaves, F.lit(to_parent)).otherwise(parent),
             levels.child: F.when(leaves, landing).otherwise(F.col("rule_v.value")),
@@ -291,7 +291,7 @@ def priority_sets(
     for label, members in sets:
         for m in members:
             first.setdefault(m, label)
-    table = small_table(df.sparkSession, ["key", "value"], first.items())
+    table = small_table(df.sparkSession, ["key", "value"], first.items(), keys=1)
     return replace_value(
         df, table, levels.child, key=F.col(levels.item), where=where, mark=mark
     )

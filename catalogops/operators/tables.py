@@ -14,19 +14,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 200_000
 
 
+# Bytes of text up to which such a table is broadcast; both bounds are checked.
+BROADCAST_BYTES = 32 << 20
+
+
 def small_table(
-    spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str | None]]
+    spark: SparkSession,
+    columns: Sequence[str],
+    rows: Iterable[Sequence[str | None]],
+    keys: int | None = None,
 ) -> DataFrame:
-    """String table from driver-side rows; a repeated key keeps its last row."""
-    rows = [tuple(r) for r in rows]
+    """String table from driver-side rows; a repeated key keeps its last row.
+
+    The first ``keys`` columns are the key; by default all columns are.
+    """
+    rows = list({tuple(r)[:keys]: tuple(r) for r in rows}.values())
+    size = sum(len(v or "") for r in rows for v in r)
     arrays = [pa.array([r[i] for r in rows], pa.string()) for i in range(len(columns))]
     table = spark.createDataFrame(pa.table(arrays, names=list(columns)))
-    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+    small = len(rows) <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    return F.broadcast(table) if small else table
 
 
 def mapping_table(spark: SparkSession, mapping: Mapping[str, str | None]) -> DataFrame:
     """``(key, value)`` table from a dictionary; a None value stays a null value."""
-    return small_table(spark, ["key", "value"], mapping.items())
+    return small_table(spark, ["key", "value"], mapping.items(), keys=1)
 
 
 def probe(

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import canonical, clusters, dedup, hierarchy, quality, vectors
+from ..operators import canonical, clusters, dedup, hierarchy, inference, quality, vectors
 from ..operators.batching import positions
 from ..operators.cascade import apply_rules
 from ..operators.rules import Levels
 from ..sources.exchange import write_metrics
 from ..sources.packs import RulePack
-from ..sources.stages import materialize
+from ..sources.stages import fingerprint, materialize, stage
 
 LEVELS = Levels()
 COLUMNS = (LEVELS.parent, LEVELS.child, LEVELS.item)
@@ -29,8 +30,28 @@ def correct(
     df: DataFrame, pack: RulePack, min_items: int = hierarchy.MIN_ITEMS
 ) -> DataFrame:
     """Cascade, one row per item, thin groups collapsed; keeps ``row_id``."""
-    fixed = apply_rules(clean(df), pack)
-    return hierarchy.collapse_thin(dedup.priority(fixed), min_items)
+    fixed = dedup.priority(apply_rules(clean(df), pack))
+    # Read twice below, for the sizes of the groups and for their rows.
+    return hierarchy.collapse_thin(stage(fixed, "corrected-rows"), min_items)
+
+
+def reorganise(
+    df: DataFrame,
+    template: str,
+    ask: Callable[[DataFrame], DataFrame],
+    order_by: Sequence[str],
+    size: int = inference.CHUNK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, dead_letter)``: chunks of the table as a model lays them out anew.
+
+    ``ask`` turns prompts ``(batch_id, n, prompt)`` into ``reply`` and ``error``,
+    for example with ``inference.infer``. Rows lacking a value and repeated rows
+    are dropped; a failed chunk goes to the dead letters and is missing.
+    """
+    prompts = inference.chunk_prompts(df, template, COLUMNS, order_by, size)
+    fields = StructType([StructField(c, StringType()) for c in COLUMNS])
+    rows, dead = inference.reply_rows(ask(prompts), fields, ["batch_id"])
+    return clean(rows.select(*COLUMNS)).distinct(), dead
 
 
 def cluster_items(
@@ -72,31 +93,39 @@ def curate(
     conditions: Mapping[str, Column] | None = None,
     targets: Mapping[str, int] | None = None,
     reset: bool = False,
+    run_key: str = "",
     **options: Any,
 ) -> tuple[DataFrame, DataFrame]:
     """Run all steps; returns ``(final table, report)``.
 
     ``name_clusters`` turns clusters ``(cluster_id, members)`` into model or
     recorded replies ``(cluster_id, members, reply)``. Each step writes its
-    table under ``out`` and is skipped when it is already there; the run's
-    metrics go to ``out/metrics`` as JSON.
+    table under ``out`` and is skipped when it is already there; clusters whose
+    reply failed merge nothing and go to ``out/dead_letters``; the run's metrics
+    go to ``out/metrics`` as JSON. A step's folder is named by the input files,
+    the packs and the options, and by ``run_key``, which stands for what a plan
+    does not show: another model, encoder or changed file contents.
     """
     started = time.monotonic()
     min_items = options.get("min_items", hierarchy.MIN_ITEMS)
     k = options.get("k", vectors.NEIGHBOURS)
     min_sim = options.get("min_sim", vectors.MIN_SIMILARITY)
 
+    key = fingerprint(
+        sorted(df.inputFiles()), correct_pack, validate_pack, sorted(options.items()), run_key
+    )
+
     def step(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return materialize(df.sparkSession, f"{out}/{name}", build, reset)
+        return materialize(df.sparkSession, f"{out}/{name}-{key}", build, reset)
 
     rows = df if "row_id" in df.columns else positions(df, df.columns, "row_id")
     corrected = step("corrected", lambda: correct(rows, correct_pack, min_items))
     grouped = step("clusters", lambda: cluster_items(corrected, embed, k, min_sim))
     lists = clusters.cluster_lists(grouped, "member")
     answers = step("replies", lambda: name_clusters(lists))
-    mapping = step(
-        "synonyms", lambda: canonical.synonym_map(canonical.synonym_reply(answers))
-    )
+    good, dead = canonical.synonym_replies(answers)
+    step("dead_letters", lambda: dead)
+    mapping = step("synonyms", lambda: canonical.synonym_map(good))
     merged = merge_synonyms(corrected, mapping)
     final = step("final", lambda: validate(merged, validate_pack))
     report = quality.report(final, conditions or {}, targets)
@@ -104,6 +133,8 @@ def curate(
         quality.metrics_row(
             report,
             input_rows=rows.count(),
+            input_file=",".join(sorted(df.inputFiles())[:10]),
+            batches=-(-rows.count() // inference.CHUNK_ROWS),
             clusters_created=grouped.select("cluster_id").distinct().count(),
             duplicates_removed=canonical.changes(mapping).first()[0],
             processing_time_minutes=round((time.monotonic() - started) / 60, 2),

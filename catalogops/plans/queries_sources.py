@@ -8,6 +8,7 @@ from ..functions.text import strip_ws
 from ..operators import batching, dedup
 from ..operators.inference import chunk_prompts
 from ..sources import delimited, exchange, stages
+from . import curate
 from .registry import TAX, TAX_DIRTY, query, read, strip_sql, tax, tax_dirty
 
 COLUMNS = ["category", "subcategory", "product_category"]
@@ -156,3 +157,69 @@ def union_all(spark, sf):
 )
 def sorted_output(spark, sf):
     return batching.positions(tax(spark, sf), [*COLUMNS, "row_id"])
+
+
+@query(
+    "csv_folder_mixed_headers",
+    """SELECT p_type AS category, p_brand AS subcategory, p_name AS product_category FROM part""",
+)
+def csv_folder_mixed_headers(spark, sf):
+    """Half of the rows as comma files, half as TAB files with another order of columns."""
+    path = stages.new_path(spark, "csv-folder")
+    names = {"category": "p_type", "sub": "p_brand", "product": "p_name"}
+    part = read(spark, sf, "part")
+    for kind, (sep, order) in enumerate(((",", list(names)), ("\t", ["product", "category", "sub"]))):
+        half = part.where(F.col("p_partkey") % 2 == kind).select(*[F.col(names[n]).alias(n) for n in order])
+        half.write.mode("append").options(header=True, sep=sep, quote='"', escape='"').csv(path)
+    return delimited.read_delimited(spark, path)
+
+
+@query(
+    "metrics_roundtrip",
+    "SELECT count(*) AS input_rows, count(DISTINCT p_name) AS final_products, 'part' AS input_file FROM part",
+)
+def metrics_roundtrip(spark, sf):
+    path = stages.new_path(spark, "metrics")
+    exchange.write_metrics(
+        read(spark, sf, "part").agg(
+            F.count(F.lit(1)).alias("input_rows"), F.count_distinct("p_name").alias("final_products"),
+            F.lit("part").alias("input_file"),
+        ), path,
+    )
+    return exchange.read_metrics(spark, path, "input_rows LONG, final_products LONG, input_file STRING")
+
+
+@query("resume_step", "SELECT p_type AS category, count(*) AS n FROM part GROUP BY 1")
+def resume_step(spark, sf):
+    """The second run of a step reads what the first one committed; another key builds anew."""
+    counts = tax(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    base = stages.new_path(spark, "steps")
+
+    def step(key, build):
+        return stages.materialize(spark, f"{base}/{stages.fingerprint(key)}", build)
+
+    step("one", lambda: counts)
+    step("two", lambda: counts.limit(0))
+    return step("one", lambda: counts.limit(0))
+
+
+@query(
+    "reorganise",
+    f"""WITH {TAX_DIRTY}, p AS (SELECT *, (row_number() OVER (ORDER BY row_id) - 1) // 25 + 1 AS batch_id FROM tax_dirty)
+        SELECT DISTINCT upper(category) AS category, subcategory, product_category FROM p
+        WHERE batch_id % 5 <> 0 AND category IS NOT NULL AND subcategory IS NOT NULL
+          AND {strip_sql('product_category')} <> ''""",
+)
+def reorganise(spark, sf):
+    """A recorded model that upper-cases categories and fails on every fifth chunk."""
+
+    def ask(prompts):
+        items = F.from_json(
+            F.substring_index("prompt", "\n\nINPUT:\n", -1), f"array<{exchange.record_type(COLUMNS)}>"
+        )
+        changed = F.transform(items, lambda r: r.withField("category", F.upper(r["category"])))
+        reply = F.concat(F.lit("```json\n"), F.to_json(changed), F.lit("\n```"))
+        answered = F.when(F.col("batch_id") % 5 != 0, reply).otherwise(F.lit("I am sorry."))
+        return prompts.select("batch_id", answered.alias("reply"))
+
+    return curate.reorganise(tax_dirty(spark, sf), TEMPLATE, ask, ["row_id"])[0]

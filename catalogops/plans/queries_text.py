@@ -8,7 +8,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from ..functions.replies import clean_reply
 from ..functions.text import folded
 from ..operators import batching, canonical, clusters, inference, vectors
-from ..sources.stages import stage
+from ..sources import exchange
+from ..sources.stages import new_path, stage
 from .registry import TAX, query, read, strip_sql, tax
 
 # --- replies: an event's JSON wrapped the way a model wraps its answer
@@ -98,7 +99,7 @@ SYN = f"""{TAX}, named AS (SELECT DISTINCT subcategory, product_category FROM ta
   replied AS (SELECT number, cluster_id, members,
     CASE number % 4 WHEN 1 THEN upper(members[1]) WHEN 2 THEN members[-1] WHEN 3 THEN 'Name ' || number
       ELSE members[1] END AS canonical_name,
-    CASE number % 4 WHEN 3 THEN [members[-1]] ELSE members END AS merged FROM syn),
+    CASE number % 4 WHEN 3 THEN [members[-1]] ELSE members END AS merged FROM syn WHERE number % 8 <> 4 AND number % 8 <> 0),
   pairs AS (SELECT number, canonical_name, unnest(merged) AS member,
                    generate_subscripts(merged, 1) AS pos FROM replied),
   synonyms AS (SELECT member, arg_max(canonical_name, number * 100 + pos) AS canonical FROM pairs GROUP BY 1)"""
@@ -130,13 +131,14 @@ def syn_replies(spark, sf):
             reply(F.concat(F.lit("Name "), F.col("number").cast("string")), F.array(last)),
             F.lit("\n```"),
         ))
-        .otherwise(F.lit("I cannot merge these."))
+        .when(F.col("number") % 8 == 4, F.lit("I cannot merge these."))
     )
-    return canonical.synonym_reply(syn(spark, sf).withColumn("reply", text))
+    down = F.when(F.col("number") % 8 == 0, F.lit("down"))
+    return canonical.synonym_replies(syn(spark, sf).withColumns({"reply": text, "error": down}))
 
 
 def syn_map(spark, sf):
-    return canonical.synonym_map(syn_replies(spark, sf), ["number"])
+    return canonical.synonym_map(syn_replies(spark, sf)[0], ["number"])
 
 
 @query(
@@ -144,11 +146,33 @@ def syn_map(spark, sf):
     f"""WITH {SYN} SELECT cluster_id, canonical_name, array_to_string(merged, '|') AS merged FROM replied""",
 )
 def synonym_reply(spark, sf):
-    return syn_replies(spark, sf).select(
+    return syn_replies(spark, sf)[0].select(
         "cluster_id", "canonical_name", F.array_join("merged", "|").alias("merged")
     )
 
 
+@query(
+    "synonym_dead_letter",
+    f"""WITH {SYN} SELECT cluster_id, CASE number % 8 WHEN 0 THEN 'down' ELSE 'not JSON' END AS failure,
+               len(members) AS n FROM syn WHERE number % 4 = 0""",
+)
+def synonym_dead_letter(spark, sf):
+    dead = syn_replies(spark, sf)[1]
+    return dead.select("cluster_id", "failure", F.size("members").cast("long").alias("n"))
+
+
+@query(
+    "cluster_lines_roundtrip",
+    f"""WITH {SYN} SELECT cluster_id, array_to_string(members, '|') AS members FROM syn""",
+)
+def cluster_lines_roundtrip(spark, sf):
+    path = new_path(spark, "cluster-lines")
+    exchange.write_clusters(syn(spark, sf).select("cluster_id", "members"), path)
+    return exchange.read_cluster_lines(spark, path).select(
+        "cluster_id", F.array_join("members", "|").alias("members")
+    )
+
+
 @query("synonym_map", f"WITH {SYN} SELECT member, canonical FROM synonyms")
 def synonym_map(spark, sf):
     return syn_map(spark, sf)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,7 +24,7 @@ MIN_COLUMNS = 3
 
 
 def target_of(header: str, aliases=ALIASES) -> str | None:
-    name = header.strip().lower().replace(" ", "_").replace("-", "_")
+    name = header.casefold()
     return next((t for parts, t in aliases if any(p in name for p in parts)), None)
 
 
@@ -51,6 +52,17 @@ def alias_columns(df: DataFrame, aliases=ALIASES, columns: Sequence[str] = COLUM
     return df.select(*[F.col(f"`{found[c]}`").alias(c) for c in columns])
 
 
+def headers(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, first line) of every file under ``path``; empty files have none."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"), "value",
+    ).where("start = 0")
+    firsts = lines.groupBy("file").agg(F.min_by("value", "row").alias("line"))
+    return sorted((r.file, r.line) for r in firsts.collect())
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -61,33 +73,64 @@ def read_delimited(
 ) -> DataFrame:
     """Read TAB- or comma-separated files, all columns as strings.
 
-    Rows lacking a hierarchy value or with a blank item are dropped, unless
-    ``keep_all`` asks for every column and row as read. ``na_tokens`` are texts
-    to read as NULL. ``strict_single`` demands exactly one CSV file.
-    ``multiline`` allows line breaks inside quotes, at the price that a file is
-    no longer split between tasks.
+    Every file is read by its own header and separator, and columns meet by
+    name. Rows lacking a hierarchy value or with a blank item are dropped,
+    unless ``keep_all`` asks for every column and row as read. A row with more
+    cells than its header is an error when it is read; :func:`malformed_rows`
+    lists such rows. ``na_tokens`` are texts to read as NULL. ``strict_single``
+    demands exactly one CSV file. ``multiline`` allows line breaks inside
+    quotes, at the price that a file is no longer split between tasks.
     """
-    lines = spark.read.text(path)
     if strict_single:
-        files = [f for f in lines.inputFiles() if f.lower().endswith(".csv")]
+        files = [f for f in spark.read.text(path).inputFiles() if f.lower().endswith(".csv")]
         if len(files) != 1:
             raise ValueError(f"expected one CSV file under {path}, found {len(files)}")
-    head = lines.first()
-    if head is None:
+    parts = []
+    for raw in _raw_parts(spark, path, multiline):
+        told = F.concat(F.lit("more cells than the header has: "), F.col(_MALFORMED))
+        first = raw.columns[0]
+        checked = F.when(_too_wide(raw), F.raise_error(told)).otherwise(F.col(f"`{first}`"))
+        part = raw.withColumn(first, checked.cast("string")).drop(_MALFORMED)
+        if na_tokens:
+            part = part.select(
+                *[F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")).alias(c) for c in part.columns]
+            )
+        parts.append(part if keep_all else drop_missing(alias_columns(part), COLUMNS, ["product_category"]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def malformed_rows(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """``(line)``: the rows that have more cells than the header of their file."""
+    parts = [
+        raw.where(_too_wide(raw)).select(F.col(_MALFORMED).alias("line"))
+        for raw in _raw_parts(spark, path, multiline)
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+_MALFORMED = "_malformed"
+
+
+def _too_wide(raw: DataFrame):
+    # Rows that are too short lack their last cells; those are NULL and no error.
+    return F.col(_MALFORMED).isNotNull() & F.col(f"`{raw.columns[-2]}`").isNotNull()
+
+
+def _raw_parts(spark: SparkSession, path: str, multiline: bool) -> list[DataFrame]:
+    """One table for each separator and header that occurs, with the malformed lines."""
+    kinds: dict[tuple, list[str]] = {}
+    for file, line in headers(spark, path):
+        sep, cells = split_header(line.lstrip("\ufeff"))
+        kinds.setdefault((sep, tuple(cells)), []).append(file)
+    if not kinds:
         raise ValueError(f"nothing to read under {path}")
-    sep, headers = split_header(head.value.lstrip("\ufeff"))
-    schema = StructType([StructField(h, StringType()) for h in headers])
-    reader = spark.read.schema(schema).options(
-        header=True, sep=sep, quote='"', escape='"', multiLine=multiline, enforceSchema=True
-    )
-    raw = reader.csv(path)
-    if na_tokens:
-        raw = raw.select(
-            *[F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-        )
-    if keep_all:
-        return raw
-    return drop_missing(alias_columns(raw), COLUMNS, ["product_category"])
+    return [
+        spark.read.schema(StructType([StructField(c, StringType()) for c in (*cells, _MALFORMED)])).options(
+            header=True, sep=sep, quote='"', escape='"', multiLine=multiline, enforceSchema=True,
+            columnNameOfCorruptRecord=_MALFORMED, columnPruning=False,
+        ).csv(files)
+        for (sep, cells), files in kinds.items()
+    ]
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:

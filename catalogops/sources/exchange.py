@@ -49,5 +49,14 @@ def write_clusters(lists: DataFrame, path: str) -> None:
     lists.write.json(path)
 
 
+def read_cluster_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(cluster_id, members)`` as :func:`write_clusters` wrote them; files are split by lines."""
+    return spark.read.schema("cluster_id STRING, members ARRAY<STRING>").json(path)
+
+
+def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
 def write_metrics(row: DataFrame, path: str) -> None:
     row.write.mode("overwrite").json(path)

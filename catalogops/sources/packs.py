@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SCHEMA = """
-  seq INT, rule_id STRING, kind STRING, column STRING, match STRING,
+  seq INT, rule_id STRING, kind STRING, column STRING, match STRING, table STRING,
   scope_category ARRAY<STRING>, scope_subcategory ARRAY<STRING>, scope_item ARRAY<STRING>,
   exclude_category ARRAY<STRING>, keywords ARRAY<STRING>, veto ARRAY<STRING>,
   entries ARRAY<STRUCT<key STRING, key2 STRING, value STRING,
@@ -18,10 +18,6 @@ SCHEMA = """
   set_category STRING, set_subcategory STRING, default_value STRING, delete BOOLEAN
 """
 
-# A pack is configuration: more entries than this belong in a table of their
-# own, joined with the rule operators directly.
-MAX_ENTRIES = 200_000
-
 KINDS = (
     "fallback", "canonical", "move_out", "rename", "reparent", "target", "forbid",
     "forbid_words", "keyword_move", "set_move", "pair", "item_default",
@@ -29,6 +25,28 @@ KINDS = (
 )
 
 
+# What each kind reads besides ``seq``, ``rule_id`` and ``kind``; other fields are refused.
+_SCOPES = "scope_category scope_subcategory scope_item"
+FIELDS = {
+    "fallback": "entries",
+    "target": "entries",
+    "canonical": "column entries table",
+    "rename": "column entries table",
+    "move_out": "scope_category set_category default_value groups entries table",
+    "reparent": "entries table",
+    "forbid": "keywords",
+    "forbid_words": "keywords",
+    "keyword_move": "keywords exclude_category set_category default_value groups match",
+    "set_move": f"{_SCOPES} set_category set_subcategory delete",
+    "pair": f"{_SCOPES} column entries table",
+    "item_default": f"{_SCOPES} default_value entries table",
+    "priority_sets": f"{_SCOPES} entries",
+    "fix_delete": "entries table",
+    "split": f"{_SCOPES} groups",
+    "reassign": f"{_SCOPES} keywords veto set_category set_subcategory",
+}
+
+
 @dataclass(frozen=True)
 class Entry:
     key: str
@@ -55,6 +73,7 @@ class Rule:
     kind: str
     column: str | None = None
     match: str | None = None
+    table: str | None = None
     scope_category: list[str] | None = None
     scope_subcategory: list[str] | None = None
     scope_item: list[str] | None = None
@@ -82,6 +101,16 @@ class RulePack:
         for r in self.rules:
             if r.kind not in KINDS:
                 raise ValueError(f"rule {r.rule_id}: unknown kind {r.kind}")
+            reads = {"seq", "rule_id", "kind", *FIELDS[r.kind].split()}
+            unread = [f.name for f in fields(r) if getattr(r, f.name) and f.name not in reads]
+            if unread:
+                raise ValueError(f"rule {r.rule_id}: kind {r.kind} does not read {unread}")
+            if r.kind == "set_move" and not (r.scope_category or r.scope_subcategory or r.scope_item):
+                raise ValueError(f"rule {r.rule_id}: a set_move without scope would hit every row")
+            if r.kind == "move_out" and not r.scope_category:
+                raise ValueError(f"rule {r.rule_id}: a move_out needs scope_category")
+            if r.table and r.entries:
+                raise ValueError(f"rule {r.rule_id}: entries and a table at once")
             keys = [(e.key, e.key2) for e in r.entries or []]
             if r.kind != "priority_sets" and len(set(keys)) != len(keys):
                 raise ValueError(f"rule {r.rule_id}: repeated key")
@@ -109,12 +138,27 @@ def table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load(spark: SparkSession, path: str) -> RulePack:
-    """A pack from any path Spark reads, after a check of its size."""
-    df = table(spark, path)
-    size = df.agg(F.sum(F.coalesce(F.size("entries"), F.lit(0)))).first()[0] or 0
-    if size > MAX_ENTRIES:
-        raise ValueError(f"{size} entries: keep tables this large outside the pack")
-    return from_dicts(r.asDict(recursive=True) for r in df.collect())
+    """A pack from any path Spark reads.
+
+    Its rules come to the driver, as configuration does; a rule with many
+    entries names a ``table`` instead, which stays on the cluster.
+    """
+    return from_dicts(r.asDict(recursive=True) for r in table(spark, path).collect())
+
+
+def entry_table(spark: SparkSession, path: str, keys: Iterable[str]) -> DataFrame:
+    """The entries of a rule kept as a Parquet table with the columns of an entry.
+
+    A key may occur once only, else rows would multiply: the least entry of
+    repeated keys is taken, whatever the order of the files. No broadcast hint:
+    the planner knows the table's size.
+    """
+    names = ["key", "key2", "value", "category", "subcategory", "action"]
+    stored = spark.read.parquet(path)
+    known = [F.col(c) if c in stored.columns else F.lit(None).cast("string").alias(c) for c in names]
+    rest = [c for c in names if c not in set(keys)]
+    best = stored.select(*known).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("e"))
+    return best.select(*keys, "e.*")
 
 
 def dead_keys(pack_table: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ when that size is under ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
+import atexit
+import hashlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
     Only a ``local`` master, where driver and executors are one process, may
-    fall back to a temporary folder.
+    fall back to a temporary folder, which goes when the process ends.
     """
     context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
@@ -32,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="catalogops-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
@@ -71,10 +75,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def fingerprint(*parts: object) -> str:
+    """Short name of what a step depends on; equal parts give equal names in every run."""
+    return hashlib.sha1(repr(parts).encode()).hexdigest()[:12]
+
+
 def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], reset: bool = False
 ) -> DataFrame:
-    """Resumable step: reuse committed output, otherwise build and commit it."""
+    """Resumable step: reuse committed output, otherwise build and commit it.
+
+    The path stands for what the step depends on: a caller whose input, pack or
+    options may change puts their :func:`fingerprint` into it.
+    """
     if reset or not is_complete(spark, path):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

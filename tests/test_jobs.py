@@ -51,6 +51,18 @@ def test_strict_single_file(spark, tmp_path):
         delimited.read_delimited(spark, str(tmp_path), strict_single=True)
 
 
+def test_files_of_different_headers_and_malformed_rows(spark, tmp_path):
+    write(tmp_path / "a.csv", "category,subcategory,product\nc1,s1,p1\n")
+    write(tmp_path / "b.csv", "product\tcategory\tsubcategory\nName 2\tc2\ts2\nName 3\tc3\n")
+    got = sorted(tuple(r) for r in delimited.read_delimited(spark, str(tmp_path)).collect())
+    assert got == [("c1", "s1", "p1"), ("c2", "s2", "Name 2")]
+    assert delimited.malformed_rows(spark, str(tmp_path)).count() == 0
+    write(tmp_path / "c.csv", "category,subcategory,product\nc4,s4,p4,extra\nc5,s5,p5\n")
+    assert [r.line for r in delimited.malformed_rows(spark, str(tmp_path)).collect()] == ["c4,s4,p4,extra"]
+    with pytest.raises(Exception, match="more cells"):
+        delimited.read_delimited(spark, str(tmp_path)).collect()
+
+
 def test_batch_files_of_json_arrays(spark, tmp_path):
     def rec(p):
         return {"category": "c", "subcategory": None, "product_category": p}
@@ -97,6 +109,9 @@ def test_model_failures_stay_visible(spark):
     df = spark.createDataFrame([(1, "a"), (2, "no"), (3, "b")], "id int, prompt string").coalesce(1)
     got = {r.id: (r.reply, r.error) for r in inference.infer(df, "prompt", make, ["id"]).collect()}
     assert got == {1: ("aa", None), 2: (None, "ValueError('bad')"), 3: ("bb", None)}
+    big = spark.createDataFrame([(2**53 + 1, "a"), (None, "boom"), (7, "c")], "id long, prompt string").coalesce(1)
+    got = {r.id: (r.reply, r.error) for r in inference.infer(big, "prompt", make, ["id"]).collect()}
+    assert got == {2**53 + 1: ("aa", None), None: (None, "RuntimeError('down')"), 7: ("cc", None)}
     boom = df.select("id", F.lit("boom").alias("prompt"))
     assert all("down" in r.error for r in inference.infer(boom, "prompt", make, ["id"]).collect())
 
@@ -113,16 +128,19 @@ def test_prompts_hold_every_record_once(spark):
     assert seen == [{"name": f'n "{i}', "x": None} for i in range(60)]
 
 
-def test_synonym_reply_fallbacks(spark):
+def test_failed_replies_merge_nothing(spark):
     rows = [
-        ("c1", ["a", "b"], '{"canonical_name": "A", "merged": ["a"]}'), ("c2", ["c", "d"], '{"canonical_name": "C"}'),
-        ("c3", ["e", "f"], "none"), ("c4", ["g"], None), ("c5", ["h"], '{"merged": ["h"]}'),
+        ("c1", ["a", "b"], '{"canonical_name": "A", "merged": ["a"]}', None),
+        ("c2", ["c", "d"], '{"canonical_name": "C"}', None), ("c3", ["e", "f"], "none of these", None),
+        ("c4", ["g"], None, None), ("c5", ["h", "i"], '{"merged": ["h"]}', None), ("c6", ["j", "k"], None, "down"),
+        ("c7", ["l", "m"], "[1, 2]", None),
     ]
-    df = spark.createDataFrame(rows, "cluster_id string, members array<string>, reply string")
-    got = {r.cluster_id: (r.canonical_name, r.merged) for r in canonical.synonym_reply(df).collect()}
-    assert got == {
-        "c1": ("A", ["a"]), "c2": ("C", ["c", "d"]), "c3": ("e", ["e", "f"]), "c4": ("g", ["g"]), "c5": ("h", ["h"])
+    df = spark.createDataFrame(rows, "cluster_id string, members array<string>, reply string, error string")
+    good, dead = canonical.synonym_replies(df)
+    assert {r.cluster_id: (r.canonical_name, r.merged) for r in good.collect()} == {
+        "c1": ("A", ["a"]), "c2": ("C", ["c", "d"]), "c5": ("h", ["h", "i"]), "c7": ("l", ["l", "m"])
     }
+    assert {r.cluster_id: r.failure for r in dead.collect()} == {"c3": "not JSON", "c4": "no reply", "c6": "down"}
 
 
 def test_last_cluster_wins_and_map_is_one_hop(spark):
@@ -138,26 +156,27 @@ def test_last_cluster_wins_and_map_is_one_hop(spark):
 @pytest.mark.parametrize(
     "a, b, same",
     [
-        ("Dinner Set", "Dinner Sets", True), ("12-Piece Dinner Sets", "24-Piece Dinner Sets", False),
-        ("A And B", "A & B", True), ("Colour Box", "Color Boxes", True), ("2-Door Wardrobes", "3-Door Wardrobes", False),
-        ("Allen Keys & Hex Key Sets", "Allen Keys And Hex Key Sets", True), ("Batteries", "Battery", True),
-        ("Glass", "Glas", False), ("Hand-Tools", "hand tool", True), ("ERP Systems", "Enterprise Resource Planning System", True),
-        ("Sandals", "Sand", False), ("Brand", "Br&", False),
+        ("Paint Roller", "Paint Rollers", True), ("6-Pack Paint Rollers", "9-Pack Paint Rollers", False),
+        ("A And B", "A & B", True), ("Colour Box", "Color Boxes", True), ("4-Wheel Carts", "6-Wheel Carts", False),
+        ("Garden Hoses & Nozzle Kits", "Garden Hoses And Nozzle Kits", True), ("Batteries", "Battery", True),
+        ("Glass", "Glas", False), ("Bench-Vises", "bench vise", True), ("PVC Pipes", "Polyvinyl Chloride Pipe", True),
+        ("Sandals", "Sand", False), ("Brand", "Br&", False), ("Lens", "Len", False), ("Cookies", "Cookie", True),
+        ("-20C Freezer", "20C Freezer", False), ("1,5 mm", "1 5 mm", False), ("1/2 Inch", "1-2 Inch", False),
     ],
 )
 def test_merge_keys(spark, a, b, same):
-    phrases = {"Enterprise Resource Planning": "ERP"}
+    phrases = {"Polyvinyl Chloride": "PVC"}
     df = spark.createDataFrame([(a, b)], "a string, b string")
     r = df.select(*[canonical.merge_key(c, phrases=phrases).alias(c) for c in "ab"]).first()
     assert (r.a == r.b) is same
 
 
 def test_merge_by_key_picks_a_name(spark):
-    names = ["dinner set", "Dinner Sets", "DINNER-SETS", "ERP And CRM tools", "ERP & CRM Tool", "Lonely"]
+    names = ["paint roller", "Paint Rollers", "PAINT-ROLLERS", "PVC And ABS tubes", "PVC & ABS Tube", "Lonely"]
     df = spark.createDataFrame([(n,) for n in names], "p string")
     got = {r.member: r.canonical for r in canonical.merge_by_key(df, "p").collect()}
-    assert got["dinner set"] == got["DINNER-SETS"] == "Dinner Sets"
-    assert got["ERP & CRM Tool"] == "ERP & CRM Tools"
+    assert got["paint roller"] == got["PAINT-ROLLERS"] == "Paint Rollers"
+    assert got["PVC & ABS Tube"] == "PVC & ABS Tubes"
     assert "Lonely" not in got
 
 

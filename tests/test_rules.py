@@ -174,3 +174,49 @@ def test_filters_after_a_long_pack_keep_the_plan_small(spark, sf):
     ]
     out = cascade.apply_rules(registry.tax(spark, sf), packs.from_dicts(rules)).where("category = 'x'")
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 50_000
+
+
+# --- packs: nothing is ignored, nothing multiplies rows
+
+def _row(category, subcategory, item):
+    return (category, subcategory, item)
+
+
+def test_repeated_names_scopes_and_labels(spark):
+    pack = packs.from_dicts([
+        {"seq": 1, "rule_id": "f1", "kind": "fallback", "entries": [{"key": "A", "value": "old"}, {"key": "B", "value": "b"}]},
+        {"seq": 2, "rule_id": "f2", "kind": "fallback", "entries": [{"key": "A", "value": "new"}]},
+        {"seq": 3, "rule_id": "out", "kind": "move_out", "scope_category": ["A", "B", "A"], "set_category": "S",
+         "default_value": "d", "entries": [{"key": "x", "value": None}]},
+        {"seq": 4, "rule_id": "bad", "kind": "forbid", "keywords": ["y", "y"]},
+        {"seq": 5, "rule_id": "move", "kind": "set_move", "scope_subcategory": ["z", "z"], "set_category": "M"},
+        {"seq": 6, "rule_id": "sets", "kind": "priority_sets", "scope_category": ["A"], "entries": [
+            {"key": "i1", "value": "one"}, {"key": "i2", "value": "two"}, {"key": "i2", "value": "one"}]},
+    ])
+    rows = [_row("A", "x", "p"), _row("B", "x", "p"), _row("C", "x", "p"), _row("A", "y", "p"), _row("A", "z", "p"),
+            _row("A", "q", "i2")]
+    df = spark.createDataFrame(rows, "category string, subcategory string, product_category string")
+    got = sorted(tuple(r) for r in cascade.apply_rules(df, pack).collect())
+    assert got == sorted([("S", "d", "p"), ("S", "d", "p"), ("C", "x", "p"), ("A", "new", "p"), ("M", "z", "p"), ("A", "two", "i2")])
+
+
+@pytest.mark.parametrize("rule", [
+    {"kind": "rename", "column": "subcategory", "scope_category": ["A"], "entries": [{"key": "a", "value": "b"}]},
+    {"kind": "forbid", "keywords": ["a"], "match": "word"},
+    {"kind": "set_move", "set_category": "M"},
+    {"kind": "move_out", "set_category": "M", "default_value": "d", "entries": [{"key": "a", "value": None}]},
+    {"kind": "rename", "column": "category", "table": "/t", "entries": [{"key": "a", "value": "b"}]},
+])
+def test_fields_that_a_kind_does_not_read_are_refused(rule):
+    with pytest.raises(ValueError):
+        packs.from_dicts([{"seq": 1, "rule_id": "r", **rule}])
+
+
+def test_rule_on_a_table_of_its_own(spark, tmp_path):
+    path = str(tmp_path / "entries")
+    entries = [(f"k{i}", f"v{i}") for i in range(500)] + [("k1", "v0")]
+    spark.createDataFrame(entries, "key string, value string").write.parquet(path)
+    pack = packs.from_dicts([{"seq": 1, "rule_id": "r", "kind": "rename", "column": "category", "table": path}])
+    df = spark.createDataFrame([("k7", "s", "p"), ("none", "s", "p"), ("k1", "s", "p")],
+                               "category string, subcategory string, product_category string")
+    assert sorted(r.category for r in cascade.apply_rules(df, pack).collect()) == ["none", "v0", "v7"]

@@ -159,10 +159,13 @@ def test_smallest_leader_wins_and_hub_is_aggregated(spark):
     assert [(r.member, r.leader) for r in got] == [(1000, 0)]
 
 
-def test_out_of_rounds_is_an_error(spark):
+def test_chain_of_many_rounds_and_of_one(spark):
     lists = {i: [i + 1] for i in range(12)}
-    with pytest.raises(RuntimeError):
-        clusters.leader_assignment(edges_frame(spark, lists), max_rounds=2).count()
+    got = {r.member: r.leader for r in clusters.leader_assignment(edges_frame(spark, lists)).collect()}
+    assert got == {i + 1: i for i in range(0, 12, 2)}
+    lists = {0: [2], 1: [2]}  # decided in the first round: the smallest leader only
+    got = [(r.member, r.leader) for r in clusters.leader_assignment(edges_frame(spark, lists)).collect()]
+    assert got == [(2, 0)]
 
 
 def test_no_edges_no_clusters(spark):
