@@ -171,7 +171,8 @@ def parse(source: str) -> Page:
             close(next(k for k in range(1, len(stack)) if stack[k].noise))
         top = stack[-1]
         named = bool(words & NOISE_WORDS) and tag not in ("html", "body", "article", "main")
-        noise = top.noise or hidden or named or tag in NOT_ARTICLE or (tag == "header" and not top.article)
+        site_head = (tag == "header" or "header" in words and tag == "div") and not top.article
+        noise = top.noise or hidden or named or tag in NOT_ARTICLE or site_head
         if tag == "article" and words & _COMMENT_WORDS:
             noise = True
         comments = top.comments or bool(words & _COMMENT_WORDS)
