@@ -13,19 +13,13 @@ from ..sources.stages import stage
 _ROW_BITS = 33
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work before a costly per-row step.
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows over so many partitions before a costly per-row step; as they are without a number.
 
-    Acts only when the input is smaller than one file split per core, so what it
-    shuffles is bounded by the cluster's cores; larger inputs pass unchanged.
+    The caller knows the cluster and whether its files are split finely enough;
+    the plan does not change with the size of the input.
     """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * split else df
+    return df.repartition(partitions) if partitions else df
 
 
 def positions(df: DataFrame, order_by: Sequence[str], name: str = "pos") -> DataFrame:

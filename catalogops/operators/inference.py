@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.replies import all_null, clean_reply, parse_rows
 from ..functions.text import bullet_list, let
-from .batching import fixed_batches, pack_batches
+from .batching import dealt, fixed_batches, pack_batches
 
 # Records per prompt, and what stands between template and data.
 CHUNK_ROWS = 25
@@ -94,8 +94,7 @@ def infer(
             )
 
     prompts = df.select(*keep, *([] if prompt_col in keep else [prompt_col]))
-    dealt = prompts.repartition(partitions) if partitions else prompts
-    return dealt.mapInArrow(run, schema)
+    return dealt(prompts, partitions).mapInArrow(run, schema)
 
 
 def replay(df: DataFrame, recorded: DataFrame, on: Sequence[str]) -> DataFrame:

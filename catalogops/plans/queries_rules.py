@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import cascade, rules as R
-from ..operators.batching import spread
 from ..operators.tables import mapping_table, small_table
 from ..sources import packs
 from .registry import (
@@ -38,7 +37,7 @@ GROUPS = [
 
 
 def documents(spark, sf):
-    return spread(read(spark, sf, "documents").select("doc_id", "text"))
+    return read(spark, sf, "documents").select("doc_id", "text")
 
 
 def _any(column, words, shape):
@@ -406,12 +405,12 @@ _CORRECTED = f"""WITH {LISTINGS_DIRTY}, {correct_sql('listings_dirty')}
 
 @query("rule_cascade_pairs", _CORRECTED)
 def rule_cascade_pairs(spark, sf):
-    return cascade.apply_rules_by_pair(listings_dirty(spark, sf, True), demo_pack("correct"))
+    return cascade.apply_rules_by_pair(listings_dirty(spark, sf), demo_pack("correct"))
 
 
 @query("rule_cascade", _CORRECTED)
 def rule_cascade(spark, sf):
-    return cascade.apply_rules(listings_dirty(spark, sf, True), demo_pack("correct"))
+    return cascade.apply_rules(listings_dirty(spark, sf), demo_pack("correct"))
 
 
 _G = "(contains(lower(p), 'hot') OR contains(lower(p), 'gear') OR contains(lower(p), 'blue p')) AND NOT d AND coalesce(c NOT IN ('BULK', 'PROMO'), TRUE)"
@@ -469,7 +468,7 @@ vf AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h130 = 1 THEN 'SMALLWARE' ELSE c
         SELECT row_id, c AS category, s AS subcategory, p AS product_category FROM vf WHERE NOT d""",
 )
 def validate_cascade(spark, sf):
-    return cascade.apply_rules(listings_dirty(spark, sf, True), demo_pack("validate"), strip=False)
+    return cascade.apply_rules(listings_dirty(spark, sf), demo_pack("validate"), strip=False)
 
 
 _HIT_NAMES = {
@@ -486,4 +485,4 @@ _HIT_ROWS = " UNION ALL ".join(
 
 @query("rule_hits", f"WITH {LISTINGS_DIRTY}, {validate_sql('listings_dirty')} {_HIT_ROWS}")
 def rule_hits(spark, sf):
-    return cascade.rule_hits(listings_dirty(spark, sf, True), demo_pack("validate"), strip=False)
+    return cascade.rule_hits(listings_dirty(spark, sf), demo_pack("validate"), strip=False)

@@ -10,7 +10,7 @@ from ..functions.text import folded
 from ..operators import batching, canonical, clusters, inference, vectors
 from ..sources import exchange
 from ..sources.stages import new_path, stage
-from .registry import TAX, query, read, strip_sql, tax
+from .registry import TAX, cores, query, read, strip_sql, tax
 
 # --- replies: an event's JSON wrapped the way a model wraps its answer
 
@@ -291,7 +291,7 @@ def top_sql(tau: float) -> str:
     f"""WITH {top_sql(-1)} SELECT id, neighbour, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM top""",
 )
 def knn_topk(spark, sf):
-    found = vectors.knn(read(spark, sf, "embeddings"), "vec_id", "embedding", min_sim=-1.0)
+    found = vectors.knn(read(spark, sf, "embeddings"), "vec_id", "embedding", min_sim=-1.0, partitions=cores(spark))
     return found.withColumn("sim", F.round("sim", 6))
 
 
@@ -316,7 +316,7 @@ LEADER_SQL = f"""{top_sql(TAU)},
 
 
 def embedding_clusters(spark, sf):
-    edges = vectors.knn(read(spark, sf, "embeddings"), "vec_id", "embedding", min_sim=TAU)
+    edges = vectors.knn(read(spark, sf, "embeddings"), "vec_id", "embedding", min_sim=TAU, partitions=cores(spark))
     return clusters.cluster_table(clusters.leader_assignment(edges))
 
 
@@ -359,7 +359,7 @@ _HASH = _STEP.format(
 def embed_hash(spark, sf):
     """Vectors turned back into the counts they were made of."""
     docs = read(spark, sf, "documents").select("doc_id", "text")
-    made = vectors.embed_hashed(docs, "text").select(
+    made = vectors.embed_hashed(docs, "text", partitions=cores(spark)).select(
         "doc_id", F.length(folded("text")).alias("grams"), "vector"
     )
     total = F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)
@@ -373,5 +373,6 @@ def embed_hash(spark, sf):
 
 @query("similar_texts")
 def similar_texts(spark, sf):
-    docs = vectors.embed_hashed(read(spark, sf, "documents").select("doc_id", "text"), "text")
-    return vectors.knn(docs, "doc_id", "vector")
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    encoded = vectors.embed_hashed(docs, "text", partitions=cores(spark))
+    return vectors.knn(encoded, "doc_id", "vector", partitions=cores(spark))

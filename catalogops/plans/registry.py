@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.batching import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +26,11 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def cores(spark: SparkSession) -> int:
+    """Partitions for costly per-row work on a table kept in one file."""
+    return spark.sparkContext.defaultParallelism
+
+
 def tax(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as a three-level hierarchy."""
     return read(spark, sf, "part").select(
@@ -42,13 +46,9 @@ TAX = """tax AS (
          p_name AS product_category FROM part)"""
 
 
-def listings(spark: SparkSession, sf: str, costly: bool = False) -> DataFrame:
-    """The hierarchy value of every order line: the large input.
-
-    ``costly`` spreads a small file over the cores before much work per row.
-    """
+def listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The hierarchy value of every order line: the large input."""
     lines = read(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    lines = spread(lines) if costly else lines
     parts = tax(spark, sf).withColumnRenamed("row_id", "l_partkey")
     return lines.join(parts, "l_partkey").select(
         F.col("l_orderkey").alias("row_id"), "category", "subcategory", "product_category"
@@ -98,5 +98,5 @@ def tax_dirty(spark: SparkSession, sf: str) -> DataFrame:
     return soil(tax(spark, sf))
 
 
-def listings_dirty(spark: SparkSession, sf: str, costly: bool = False) -> DataFrame:
-    return soil(listings(spark, sf, costly))
+def listings_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return soil(listings(spark, sf))
