@@ -219,7 +219,7 @@ def _start(labelled: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray, np.n
     counts = _gathered(labelled.mapInArrow(count, _PARTIAL), {0: _D, 1: _D})
     rows = labelled.mapInArrow(measure, "x array<double>, y double").toArrow()
     y = rows.column("y").to_numpy()
-    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
+    x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), _SHAPES + _LANGS + _SOURCES + 1)
     return counts, x[:, :_SHAPES], x[:, _SHAPES:], y
 
 
