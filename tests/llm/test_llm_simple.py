@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from catalogops.llm import bpe, html, queries, sharding, urls, warc
+from catalogops.llm import bpe, components, html, queries, sharding, urls, warc
 from catalogops.llm.components import connected_components
 from catalogops.sources import stages
 
@@ -52,7 +52,9 @@ def test_weights_ties_nulls_and_clashing_names(spark):
 
 # --- connected components
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, bound):
+    monkeypatch.setattr(components, "BROADCAST_EDGES", bound)
     rng = random.Random(1)
     pairs = [(k, k + 1) for k in range(100, 400)] + [(1000, 1000 + k) for k in range(500)]
     pairs += [(rng.randint(2000, 2300), rng.randint(2000, 2300)) for _ in range(200)] + [(7, 7), (7, 7)]
