@@ -376,6 +376,20 @@ def digesting(key: str = "doc_id", ids: str = "ids", text: str = "decoded") -> S
     ])
 
 
+def comparing(text: str, decoded: str, out: str = "exact") -> Step:
+    """Put whether both columns agree (NULL as empty) in place of them."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            a, b = (pc.fill_null(batch.column(batch.schema.get_field_index(c)), "") for c in (text, decoded))
+            kept = batch.select([c for c in batch.schema.names if c not in (text, decoded)])
+            yield kept.append_column(out, pc.equal(a, b))
+
+    return run, lambda schema: T.StructType(
+        [*(f for f in schema.fields if f.name not in (text, decoded)), T.StructField(out, T.BooleanType())]
+    )
+
+
 def apply(df: DataFrame, *steps: Step) -> DataFrame:
     """The steps in one pass: batches go from one to the next inside the same worker."""
     schema = df.schema

@@ -41,13 +41,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the whole texts, decoded again: ``exact`` says that the text came back."""
     path = queries.tokenizer_path()
-    steps = bpe.apply(
-        docs.select("doc_id", "lang", "source", "text"), bpe.encoding(path), bpe.decoding(path)
-    )
-    return steps.select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    encoded = bpe.apply(
+        docs.select("doc_id", "lang", "source", "text"),
+        bpe.encoding(path), bpe.decoding(path), bpe.comparing("text", "decoded"),
     )
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "exact")
 
 
 STAGES = [
