@@ -81,7 +81,45 @@ RULES = (
 )
 
 
-@query("op4_redirect_equivalence")
+#: The same in SQL: aliases are what the edges of canonical and refresh tags reach, in either direction.
+OP4_SQL = r"""WITH RECURSIVE
+  rules(host, path, rule, verdict) AS (VALUES ('net', '/', 'net/', 'block'),
+    ('example.net', '/en/', 'example.net/en/', 'allow'), ('example.com', '/de/', 'example.com/de/', 'block'),
+    ('org', '/fr/', 'org/fr/', 'allow')),
+  tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+    FROM pages WHERE url IS NOT NULL),
+  targets AS (SELECT url, CASE
+      WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')
+        THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?\s*([^"''>\s]+)', 1)
+      WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b')
+        THEN regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?[\d.\s]*[;,]?\s*url\s*=\s*["'']?([^"''>\s]+)', 1)
+      ELSE '' END AS target FROM tags),
+  links AS (SELECT url, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN 'x:' || target
+      WHEN target LIKE '/%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target
+      ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1)
+        || coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*/)', 1), ''), '/') || target END AS target
+    FROM targets WHERE target <> '' AND contains(url, '://')),
+  urls AS (SELECT url FROM pages UNION SELECT target FROM links),
+  parts AS (SELECT url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*(\?[^#]*)', 1), '') AS query FROM urls),
+  ruled AS (SELECT url, any_value(parts.host) AS host, any_value(parts.path) AS path,
+      CASE WHEN any_value(parts.host) <> '' THEN any_value(parts.host)
+        || CASE WHEN any_value(parts.path) = '' THEN '/' ELSE any_value(parts.path) END || any_value(query) END AS node,
+      arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+    FROM parts LEFT JOIN rules ON (parts.host = rules.host OR ends_with(parts.host, '.' || rules.host))
+      AND starts_with(parts.path, rules.path) GROUP BY url),
+  edges AS (SELECT a.node AS a, b.node AS b FROM links JOIN ruled a ON a.url = links.url JOIN ruled b ON b.url = links.target
+    WHERE a.node <> b.node),
+  both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+  reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+  aliases AS (SELECT reach.a AS node, min(ruled.verdict) AS verdict FROM reach JOIN ruled ON ruled.node = reach.b GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(ruled.verdict, aliases.verdict, 'allow') AS verdict
+FROM pages LEFT JOIN ruled ON ruled.url IS NOT DISTINCT FROM pages.url LEFT JOIN aliases ON aliases.node = ruled.node"""
+
+
+@query("op4_redirect_equivalence", OP4_SQL)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     pages = read(spark, sf, "pages")
     return urls.judge(pages.select("page_id", "url"), RULES, urls.alias_edges(pages)).select(
@@ -100,7 +138,36 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
 
 
-@query("op8_spaced_seeds")
+#: The same in SQL: seeds as lists of words, joined, then agreements on each diagonal.
+OP8_SQL = r"""WITH
+  items AS (SELECT DISTINCT item_id, regexp_split_to_array(lower(regexp_replace(text,
+      '^[^\pL\pN]+|[^\pL\pN]+$', '', 'g')), '[^\pL\pN]+') AS w FROM benchmark WHERE text IS NOT NULL),
+  docs AS (SELECT doc_id, text, regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+') AS w FROM documents),
+  masks(span, kept) AS (VALUES (12, [1, 2, 3, 5, 6, 9, 11, 12]), (12, [1, 2, 4, 7, 8, 9, 10, 12]),
+    (12, [1, 3, 4, 5, 6, 8, 11, 12]), (8, range(1, 9)), (9, range(1, 10)), (10, range(1, 11)), (11, range(1, 12))),
+  item_seeds AS (SELECT item_id, w, span, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
+    FROM items JOIN masks ON CASE WHEN len(w) >= 12 THEN span = 12 ELSE span = len(w) END,
+      unnest(range(0, len(w) - span + 1)) AS t(p)),
+  spans AS (SELECT DISTINCT span FROM item_seeds),
+  doc_seeds AS (SELECT doc_id, text, span, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
+    FROM docs JOIN masks ON span IN (SELECT span FROM spans), unnest(range(0, len(w) - span + 1)) AS t(p)
+    WHERE len(w) >= span),
+  hits AS (SELECT DISTINCT d.doc_id, d.text, i.item_id, i.w AS words, d.at - i.at AS start
+    FROM doc_seeds d JOIN item_seeds i ON hash(d.seed) = hash(i.seed) AND d.seed = i.seed),
+  agreed AS (SELECT hits.doc_id, item_id, start, least(len(words), 13) AS width,
+      list_transform(range(0, len(words)), lambda k:
+        CASE WHEN start + k >= 0 AND start + k < len(docs.w) AND docs.w[start + k + 1] = words[k + 1] THEN 1 ELSE 0 END) AS agree
+    FROM hits JOIN docs ON hits.doc_id IS NOT DISTINCT FROM docs.doc_id AND hits.text = docs.text),
+  judged AS (SELECT doc_id, item_id, start, list_sum(agree) AS n_agree, width,
+      list_max(list_transform(range(0, len(agree) - width + 1), lambda s: list_sum(agree[s + 1:s + width]))) AS window_agree
+    FROM agreed),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+      ORDER BY window_agree DESC, n_agree DESC, start) AS place FROM judged WHERE window_agree >= ceil(width * 0.75))
+SELECT doc_id, item_id, CAST(n_agree AS BIGINT) AS n_agree, CAST(window_agree AS BIGINT) AS window_agree,
+  CAST(start AS BIGINT) AS start FROM ranked WHERE place = 1"""
+
+
+@query("op8_spaced_seeds", OP8_SQL)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.overlaps(
         read(spark, sf, "documents").select("doc_id", "text"), read(spark, sf, "benchmark"), ["doc_id"]

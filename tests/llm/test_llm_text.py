@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from compare import compare, connect
 from catalogops.llm import bpe, cotrain, decontaminate, embeddings, minhash, queries, secrets, shingles
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -341,6 +342,12 @@ def test_passages_beyond_the_broadcast_bound(spark, sf, monkeypatch):
     assert sorted(tuple(r) for r in queries.op8(spark, sf).collect()) == expected
 
 
+def test_queries_match_their_sql(spark, sf):
+    con = connect(sf)
+    for name, sql in queries.ORACLE.items():
+        assert compare(spark, con, name, queries.QUERIES[name], sql, sf) is None, name
+
+
 # --- pipeline
 
 def test_pipeline_stage_by_stage(spark, sf):
