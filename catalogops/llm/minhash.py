@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import stages
 from .components import connected_components
@@ -30,7 +30,7 @@ COUNTER_BITS = 17
 RARITY = 0.25
 #: Texts of a band entry that are compared in one go; larger entries are first cut into blocks.
 BLOCK = 256
-#: Texts not yet in the main class of a large entry that one task compares with the rest of it.
+#: Texts of each side of a group of the second comparison, by hash: those not yet in the main class, and those they ask.
 REST = 512
 #: Bytes of text handled at a time inside a task.
 PIECE_BYTES = 1_000_000
@@ -228,12 +228,13 @@ class Features:
 
 
 def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> DataFrame:
-    """(node, root): links of one spanning tree for each class inside each group.
+    """(node, root, settled): links of one spanning tree for each class inside each group.
 
-    ``grouped``: group, asks, main, node, text. Rows that ask are compared with
-    one another and with all other rows of the group, block by block. An asking
-    row that is linked with a main row asks no further: it is in the main class
-    then, and who is not will ask for it.
+    ``grouped``: group, asks, main, among, node, text. Rows that ask are compared
+    with all other rows of the group, block by block, and with one another where
+    they say ``among``. An asking row that is linked with a main row asks no
+    further: it is in the main class then (``settled``), and who is not will ask
+    for it. A settled row that is the root of its tree is linked with itself.
     """
     shared = grouped.sparkSession.sparkContext.broadcast(weights)
 
@@ -241,16 +242,17 @@ def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> Dat
         weight = shared.value
         for table, starts in whole_groups(batches):
             node, texts = table.column("node").to_numpy(), table.column("text")
-            asks, main = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("asks", "main"))
+            asks, main, among = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("asks", "main", "among"))
             for s, e in zip(starts, np.append(starts[1:], table.num_rows)):
                 if e - s < 2 or not asks[s:e].any():
                     continue
                 features = lambda rows: Features(texts.take(pa.array(s + rows)).to_pylist(), weight, settings.width)
                 askers, others = np.flatnonzero(asks[s:e]), np.flatnonzero(~asks[s:e])
                 own = features(askers)
-                asking = np.arange(len(askers))
-                i, j = own.links(asking, own, asking, settings.threshold)
-                found = [(askers[i[i != j]], askers[j[i != j]])]
+                asking, found = np.arange(len(askers)), [(askers[:0], askers[:0])]
+                if among[s:e].any():
+                    i, j = own.links(asking, own, asking, settings.threshold)
+                    found.append((askers[i[i != j]], askers[j[i != j]]))
                 for low in range(0, len(others), BLOCK):
                     part = others[low:low + BLOCK]
                     offered = features(part)
@@ -260,14 +262,16 @@ def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> Dat
                     if not len(asking):
                         break
                 root = local_components(e - s, *(np.concatenate(x) for x in zip(*found)))
-                linked = np.flatnonzero(root != np.arange(e - s))
+                settled = asks[s:e] & np.isin(root, root[main[s:e]])
+                linked = np.flatnonzero((root != np.arange(e - s)) | settled)
                 if len(linked):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(node[s + linked]), pa.array(node[s + root[linked]])], names=["node", "root"]
+                        [pa.array(node[s + linked]), pa.array(node[s + root[linked]]), pa.array(settled[linked])],
+                        names=["node", "root", "settled"],
                     )
 
-    chosen = grouped.select("group", "asks", "main", "node", "text")
-    return dealt(chosen).mapInArrow(run, "node long, root long")
+    chosen = grouped.select("group", "asks", "main", "among", "node", "text")
+    return dealt(chosen).mapInArrow(run, "node long, root long, settled boolean")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -284,8 +288,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     Copies become one node before anything meets. Entries of a band beyond
     ``BLOCK`` texts are compared inside random blocks first; texts that are
     then outside the main class of a family of large entries are compared with
-    all of the family, in blocks of ``REST``. No pair is left out and none is
-    emitted: tasks return a spanning tree of the links they found.
+    all of the family, as pairs of hash blocks of about ``REST`` texts in tasks of
+    their own. No pair is left out and none is emitted: tasks return a spanning
+    tree of the links they found.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -315,15 +320,15 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     blocks = F.ceil(F.col("n") / BLOCK)
     first = members.join(texts, "node").select(
         F.xxhash64("entry", F.pmod(F.xxhash64("node", "entry"), blocks)).alias("group"),
-        F.lit(True).alias("asks"), F.lit(False).alias("main"), "node", "text",
+        F.lit(True).alias("asks"), F.lit(False).alias("main"), F.lit(True).alias("among"), "node", "text",
     )
     links, links_path = stages.stage_at(_compare(first, weights, settings), "links")
     paths = [nodes_path, members_path, texts_path, links_path]
     large = members.where(F.col("n") > BLOCK)
     if large.limit(1).count():
-        rest, rest_path = stages.stage_at(_compare(_rest(large, links, texts), weights, settings), "rest-links")
-        paths.append(rest_path)
-        links = links.union(rest)
+        for more, path in _rest(large, links, texts, weights, settings):
+            paths.append(path)
+            links = links.union(more)
     components = connected_components(links, "node", "root")
     least = components.join(nodes.select("node", "least", "digest"), "node").groupBy("component").agg(
         F.min("least").alias("class_id"), F.min("digest").alias("class_digest")
@@ -366,21 +371,84 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", setting
     return out.drop("_digest")
 
 
-def _rest(large: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """Groups for the second comparison: in families of large entries, who is not in the main class asks all others."""
+def _cut(rows: DataFrame, name: str) -> DataFrame:
+    """The rows with ``name``, their hash block of about REST rows of the family, and the number of those."""
+    sizes = rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / REST).cast("int").alias(f"{name}s"))
+    return rows.join(sizes, "family").withColumn(name, F.pmod(F.xxhash64("node"), F.col(f"{name}s")).cast("int"))
+
+
+def _grouped(rows: DataFrame, first: str, second: str, asks: Column, main: bool, among: Column) -> DataFrame:
+    return rows.select(
+        F.xxhash64("family", first, second, F.lit(main)).alias("group"), asks.alias("asks"),
+        (~asks & F.lit(main)).alias("main"), among.alias("among"), "node", "text",
+    )
+
+
+def _across(asking: DataFrame, answering: DataFrame, main: bool, low: int = 0, high: int | None = None) -> DataFrame:
+    """Groups of each part of ``asking`` with each block of ``answering`` (cut already) from ``low`` up to ``high``."""
+    parted = _cut(asking, "part")
+    parts = parted.groupBy("family").agg(F.max("parts").alias("parts"))
+    blocks = answering.groupBy("family").agg(F.max("blocks").alias("blocks"))
+    if high is not None:
+        blocks = blocks.withColumn("blocks", F.least("blocks", F.lit(high)))
+        answering = answering.where(F.col("block").between(low, high - 1))
+    asks = parted.join(blocks.where(F.col("blocks") > low), "family").withColumn(
+        "block", F.explode(F.sequence(F.lit(low), F.col("blocks") - 1))
+    )
+    answers = answering.join(parts, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    yes, no = F.lit(True), F.lit(False)
+    return _grouped(asks, "part", "block", yes, main, no).union(_grouped(answers, "part", "block", no, main, no))
+
+
+def _among(asking: DataFrame) -> DataFrame:
+    """Groups of each two parts of ``asking``, and of each part alone."""
+    pairs = _cut(asking, "part").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    placed = pairs.withColumns({"first": F.least("part", "other"), "second": F.greatest("part", "other")})
+    alone = F.col("first") == F.col("second")
+    # Apart from the groups of _across, which may have the same two numbers.
+    return _grouped(placed.withColumn("first", -1 - F.col("first")), "first", "second", F.col("part") == -1 - F.col("first"), False, alone)
+
+
+def _rest(
+    large: DataFrame, links: DataFrame, texts: DataFrame, weights: np.ndarray, settings: Settings
+) -> list[tuple[DataFrame, str]]:
+    """Links of the second comparison: in families of large entries, who is not in the main class asks all others.
+
+    They ask the main class first, twice as many blocks of it in each round, and
+    who was linked with it leaves before the next. Who is left then asks all who
+    have asked. Both sides of a group are bounded, however large the family is.
+    """
+    spark = large.sparkSession
     families = connected_components(large.select("node", "head"), "node", "head").withColumnRenamed("component", "family")
-    joined, _ = stages.stage_at(
+    joined, joined_path = stages.stage_at(
         families.join(
             connected_components(links, "node", "root").withColumnRenamed("component", "class"), "node", "left"
         ).withColumn("class", F.coalesce("class", "node")),
         "families",
     )
     sizes = joined.groupBy("family", "class").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("family").agg(F.max(F.struct("size", "class"))["class"].alias("main"), F.sum("size").alias("all"))
-    placed = joined.join(main, "family").withColumn("asks", F.col("class") != F.col("main"))
-    asking = placed.where("asks").groupBy("family").agg(F.ceil(F.count(F.lit(1)) / REST).alias("parts"))
-    known = placed.join(asking, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
-    return known.withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))).select(
-        F.xxhash64("family", "part").alias("group"), (F.col("asks") & (F.col("own") == F.col("part"))).alias("asks"),
-        (~F.col("asks")).alias("main"), "node",
-    ).join(texts, "node")
+    main = sizes.groupBy("family").agg(F.max(F.struct("size", "class"))["class"].alias("main"))
+    placed = joined.join(main, "family").select("family", "node", (F.col("class") == F.col("main")).alias("in_main"))
+    known, known_path = stages.stage_at(placed.join(texts, "node"), "family-texts")
+    askers = known.where("NOT in_main").drop("in_main")
+    families_asking = askers.select("family").distinct()
+    core, core_path = stages.stage_at(
+        _cut(known.where("in_main").drop("in_main").join(families_asking, "family", "left_semi"), "block"), "main-texts"
+    )
+    blocks = core.agg(F.max("blocks")).first()[0] or 0
+    found: list[tuple[DataFrame, str]] = []
+    settled = askers.select("node").limit(0)
+    low, high = 0, 1
+    while low < blocks and askers.join(settled, "node", "left_anti").limit(1).count():
+        asking = askers.join(settled, "node", "left_anti")
+        found.append(stages.stage_at(_compare(_across(asking, core, True, low, high), weights, settings), "rest-links"))
+        settled = settled.union(found[-1][0].where("settled").select("node")).distinct()
+        low, high = high, 2 * high + 1
+    asking = askers.join(settled, "node", "left_anti")
+    told = _cut(askers.join(settled, "node", "left_semi"), "block")
+    found.append(stages.stage_at(
+        _compare(_among(asking).union(_across(asking, told, False)), weights, settings), "rest-links"
+    ))
+    for path in (joined_path, known_path, core_path):
+        stages.discard(spark, path)
+    return found

@@ -187,6 +187,27 @@ def test_large_entries_lose_no_link(spark, monkeypatch):
     assert got == dict(enumerate(expected))
 
 
+def test_groups_of_the_second_comparison_are_bounded(spark, monkeypatch):
+    """Two thirds of a family are outside its main class, and no group holds more than two blocks of it."""
+    rng = random.Random(20)
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "REST", 16)
+    base = prose(rng, 120)
+    texts = [edited(rng, base, 1) for _ in range(160)] + [edited(rng, base, 14) for _ in range(60)]
+    compare_groups, largest = minhash._compare, []
+
+    def watched(grouped, *more):
+        largest.append(grouped.groupBy("group").count().agg(F.max("count")).first()[0] or 0)
+        return compare_groups(grouped, *more)
+
+    monkeypatch.setattr(minhash, "_compare", watched)
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs_of(spark, texts)).collect()}
+    assert len(largest) > 2 and max(largest[1:]) <= 64
+    expected, close = classes_by_brute_force(texts, lambda g: 1.0)
+    assert {got[k] for k in range(160)} == {0}
+    assert all(got[a] == got[b] for a in range(220) for b in (expected[a],) if (b, a) not in close)
+
+
 def test_recall_on_documents(spark, sf):
     docs = queries.read(spark, sf, "documents").select("doc_id", "text").collect()
     got = {r.doc_id: r.class_id for r in queries.op5(spark, sf).collect()}
