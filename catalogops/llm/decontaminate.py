@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..sources import stages
 
-#: Fixed masks: 1 keeps a word, 0 ignores it. Eight words of twelve each.
-MASKS = ("111011001011", "110100111101", "101111010011")
+#: Fixed masks: 1 keeps a word, 0 ignores it. Whichever 3 of 12 words in a row differ, one of the masks fits
+#: between them at some place, so every window of WINDOW words (or whole item of 12) with SHARE agreement is hit.
+MASKS = ("110111", "11010011", "11000001011", "1110000011")
+#: Items of fewer words have masks of their own.
+LONG = 12
 #: An overlap has a window of this many words, or of the whole item if it is shorter ...
 WINDOW = 13
 #: ... in which at least this share agrees.
@@ -31,17 +34,19 @@ def word_hashes(text: Column) -> Column:
 
 
 def _seed(words: Column, start: Column, mask: str) -> Column:
-    return F.xxhash64(F.lit(mask), *[words[start + F.lit(k)] for k, kept in enumerate(mask) if kept == "1"])
+    """NULL where the mask would reach beyond the last word."""
+    kept = [F.get(words, start + F.lit(k)) for k, bit in enumerate(mask) if bit == "1"]
+    return F.when(start + F.lit(len(mask)) <= F.size(words), F.xxhash64(F.lit(mask), *kept))
 
 
 def seeds(df: DataFrame, words: str, masks: tuple[str, ...]) -> DataFrame:
-    """One row for each place and mask: ``seed`` and ``at``, the first word's place from 0."""
-    span = max(map(len, masks))
-    if min(map(len, masks)) != span:
-        raise ValueError("masks of one call must be equally long")
+    """One row for each place and mask that fits there: ``seed`` and ``at``, the first word's place from 0."""
+    span = min(map(len, masks))
     places = F.when(F.size(words) >= span, F.sequence(F.lit(0), F.size(words) - span))
     placed = df.withColumn("at", F.explode(places))
-    return placed.withColumn("seed", F.explode(F.array(*[_seed(F.col(words), F.col("at"), m) for m in masks])))
+    return placed.withColumn(
+        "seed", F.explode(F.array(*[_seed(F.col(words), F.col("at"), m) for m in masks]))
+    ).where("seed IS NOT NULL")
 
 
 def item_words(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -64,8 +69,8 @@ def overlaps(
     document starts inside the item). Of several overlaps with one item the best
     is given, the first of equals. NULL and empty texts on either side overlap
     nothing; equal items with different ids are all reported; rows with equal
-    keys are one document. Items shorter than a mask are compared by all their
-    words in a row.
+    keys are one document. Items of fewer than 12 words are compared by all
+    their words in a row.
 
     The documents are read in one pass without a shuffle: seeds are made and
     looked up inside one piece of generated code, and only hits leave it; they
@@ -74,9 +79,8 @@ def overlaps(
     before they are broadcast.
     """
     items, items_path = stages.stage_at(item_words(benchmark, item, item_text), "items")
-    span = len(MASKS[0])
-    short = sorted(r[0] for r in items.where(F.size("words") < span).select(F.size("words")).distinct().collect())
-    found = [_hits(docs, items.where(F.size("words") >= span), keys, text, MASKS)]
+    short = sorted(r[0] for r in items.where(F.size("words") < LONG).select(F.size("words")).distinct().collect())
+    found = [_hits(docs, items.where(F.size("words") >= LONG), keys, text, MASKS)]
     found += [_hits(docs, items.where(F.size("words") == n), keys, text, ("1" * n,)) for n in short]
     hits = found[0]
     for more in found[1:]:

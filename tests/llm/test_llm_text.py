@@ -1,6 +1,7 @@
 """Secrets, near duplicates, quality, vectors, contamination and the pipeline against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import string
@@ -352,6 +353,24 @@ def test_passages_with_substitutions(spark):
     assert decontaminate.clean(docs, table.limit(0)).count() == len(texts)
 
 
+def fits(masks, n, changed):
+    return any(
+        all(bit == "0" or at + k not in changed for k, bit in enumerate(m)) for m in masks for at in range(n - len(m) + 1)
+    )
+
+
+def test_masks_hit_every_pattern_of_substitutions(spark):
+    for n in (12, 13):
+        assert all(fits(decontaminate.MASKS, n, set(c)) for c in itertools.combinations(range(n), 3))
+    rng = random.Random(21)
+    item = prose(rng, 60).split()
+    fourth, fifth = ([w if k % n else "other" for k, w in enumerate(item)] for n in (4, 5))
+    table = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    docs = docs_of(spark, [" ".join(fourth[1:]), " ".join(fifth), " ".join(item[20:30])])
+    got = {r.doc_id: (r.n_agree, r.start) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect()}
+    assert got == {0: (45, -1), 1: (48, 0), 2: (10, -20)}
+
+
 def test_passages_beyond_the_broadcast_bound(spark, sf, monkeypatch):
     expected = sorted(tuple(r) for r in queries.op8(spark, sf).collect())
     items = {r.item_id: words_of(r.text) for r in queries.read(spark, sf, "benchmark").collect()}
