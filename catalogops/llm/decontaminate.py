@@ -15,8 +15,10 @@ from ..sources import stages
 #: Fixed masks: 1 keeps a word, 0 ignores it. Whichever 3 of 12 words in a row differ, one of the masks fits
 #: between them at some place, so every window of WINDOW words (or whole item of 12) with SHARE agreement is hit.
 MASKS = ("110111", "11010011", "11000001011", "1110000011")
-#: Items of fewer words have masks of their own.
+#: Items of fewer words have masks of their own: whichever 2 of 8 words differ, one fits between them, and of
+#: 8 to 11 words SHARE allows two to differ.
 LONG = 12
+SHORT_MASKS = ("1111", "11011", "11000011")
 #: An overlap has a window of this many words, or of the whole item if it is shorter ...
 WINDOW = 13
 #: ... in which at least this share agrees.
@@ -69,8 +71,8 @@ def overlaps(
     document starts inside the item). Of several overlaps with one item the best
     is given, the first of equals. NULL and empty texts on either side overlap
     nothing; equal items with different ids are all reported; rows with equal
-    keys are one document. Items of fewer than 12 words are compared by all
-    their words in a row.
+    keys are one document. Items of 8 to 11 words have lighter masks of
+    their own, shorter ones are left out.
 
     The documents are read in one pass without a shuffle: seeds are made and
     looked up inside one piece of generated code, and only hits leave it; they
@@ -79,9 +81,10 @@ def overlaps(
     before they are broadcast.
     """
     items, items_path = stages.stage_at(item_words(benchmark, item, item_text), "items")
-    short = sorted(r[0] for r in items.where(F.size("words") < LONG).select(F.size("words")).distinct().collect())
     found = [_hits(docs, items.where(F.size("words") >= LONG), keys, text, MASKS)]
-    found += [_hits(docs, items.where(F.size("words") == n), keys, text, ("1" * n,)) for n in short]
+    short = items.where(F.size("words") < LONG)
+    if short.limit(1).count():
+        found.append(_hits(docs, short, keys, text, SHORT_MASKS))
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)

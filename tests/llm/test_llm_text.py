@@ -371,6 +371,16 @@ def test_masks_hit_every_pattern_of_substitutions(spark):
     assert got == {0: (45, -1), 1: (48, 0), 2: (10, -20)}
 
 
+def test_short_items_with_substitutions(spark):
+    assert all(fits(decontaminate.SHORT_MASKS, 8, set(c)) for c in itertools.combinations(range(8), 2))
+    rng = random.Random(22)
+    items = [prose(rng, n) for n in (8, 9, 10, 11)]
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [prose(rng, 20) + " " + edited(rng, t, changes) + " " + prose(rng, 20) for t in items for changes in (1, 2, 3)]
+    got = {(r.doc_id, r.item_id, r.start) for r in decontaminate.overlaps(docs_of(spark, texts), table, ["doc_id"]).collect()}
+    assert got == {(3 * k + c, k, 20) for k in range(4) for c in (0, 1)}
+
+
 def test_passages_beyond_the_broadcast_bound(spark, sf, monkeypatch):
     expected = sorted(tuple(r) for r in queries.op8(spark, sf).collect())
     items = {r.item_id: words_of(r.text) for r in queries.read(spark, sf, "benchmark").collect()}
