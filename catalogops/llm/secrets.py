@@ -10,6 +10,7 @@ those reported stays below a bound. All of it is column expressions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -40,6 +41,10 @@ ENCODINGS = {
 FALSE_DISCOVERIES = 0.05
 #: Steps of the p-value at which that share is estimated.
 STEPS = 40
+#: With fewer tokens of a p beyond the first step, a class's own estimate says too little and is pooled ...
+LEAST_TOKENS = 50
+#: ... and if the pool gives no threshold either, this p is it: about as large a share of random tokens is lost.
+FALLBACK = 2 / STEPS
 MASK = "[SECRET]"
 
 
@@ -165,10 +170,9 @@ def thresholds(docs: DataFrame, text: str = "text", bound: float = FALSE_DISCOVE
 
     Of random tokens as many have p above a half as below, so twice the tokens
     above a half are the random ones, spread evenly; what a threshold lets
-    through beyond their share is structured. The least step with a share below
-    ``bound`` is taken; a class without one reports nothing. Every different
-    token of all whole texts counts once. Only counts for each class and step
-    come to the driver: a few hundred numbers at any size.
+    through beyond their share is structured. ``least_steps`` chooses the step.
+    Every different token of all whole texts counts once. Only counts for each
+    class and step come to the driver: a few hundred numbers at any size.
     """
     tokens = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))).alias("token")).distinct()
     judged = tokens.select(F.explode(randomness(F.array("token"))).alias("t")).where("t.p IS NOT NULL")
@@ -179,14 +183,42 @@ def thresholds(docs: DataFrame, text: str = "text", bound: float = FALSE_DISCOVE
     held: dict[tuple[str, int], list[int]] = {}
     for r in counted:
         held.setdefault((r["encoding"], r["length_class"]), [0] * STEPS)[r["step"]] += r["count"]
+    return least_steps(held, bound)
+
+
+def _least_step(counts: list[int], bound: float) -> float | None:
+    """The least step whose share of structured tokens, less its standard error, is within ``bound``."""
+    random = 2 * sum(counts[STEPS // 2:])
+    for step in range(1, STEPS):
+        above = sum(counts[step:])
+        spread = math.sqrt(random) * (1 - step / STEPS)
+        if above and above - random * (1 - step / STEPS) - spread <= bound * above:
+            return step / STEPS
+    return None
+
+
+def least_steps(held: Mapping[tuple[str, int], list[int]], bound: float = FALSE_DISCOVERIES) -> dict[tuple[str, int], float]:
+    """(encoding, length class) -> least p to report, from the counts of the steps of each class.
+
+    A class with ``LEAST_TOKENS`` tokens beyond the first step speaks for
+    itself, and reports nothing if no step will do. A smaller one is pooled with
+    the nearest length classes of its encoding until there are so many, else
+    with all encodings; it gets ``FALLBACK`` if the pool has no step.
+    """
     found = {}
-    for stratum, counts in held.items():
-        random = 2 * sum(counts[STEPS // 2:])
-        for step in range(1, STEPS):
-            above = sum(counts[step:])
-            if above and 1 - random * (1 - step / STEPS) / above <= bound:
-                found[stratum] = step / STEPS
+    for name, size in held:
+        counts = held[name, size]
+        pools = sorted({abs(s - size) for n, s in held if n == name}) + [None]
+        for reach in pools:
+            chosen = [c for (n, s), c in held.items() if reach is None or n == name and abs(s - size) <= reach]
+            pooled = [sum(c) for c in zip(*chosen)]
+            if sum(pooled[1:]) >= LEAST_TOKENS:
                 break
+        step = _least_step(pooled, bound) if sum(pooled[1:]) >= LEAST_TOKENS else None
+        if step is None and sum(counts[1:]) < LEAST_TOKENS:
+            step = FALLBACK
+        if step is not None:
+            found[name, size] = step
     return found
 
 

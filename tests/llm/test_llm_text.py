@@ -68,6 +68,45 @@ def test_random_tokens_are_told_from_names(spark):
             assert r.text[span.start:span.end] in r.text[4:-4]
 
 
+ALPHABETS = {name: symbols for name, (_, symbols) in secrets.ENCODINGS.items()}
+
+
+def planted_recall(spark, sizes=(1, 2, 10, 100), lengths=(24, 40, 64), pool=400):
+    """Share of random keys reported when so many are alone in their class: (encoding, length, size) -> share."""
+    rng = random.Random(24)
+    rows = [(name, n, "".join(rng.choice(a) for _ in range(n))) for name, a in ALPHABETS.items() for n in lengths for _ in range(pool)]
+    judged = spark.createDataFrame(rows, "name string, n int, t string").select(
+        "name", "n", F.explode(secrets.randomness(F.array("t"))).alias("r")
+    ).where("r.encoding = name").select("name", "n", "r.length_class", "r.p").collect()
+    found = {}
+    for name in ALPHABETS:
+        for n in lengths:
+            p = [(r.length_class, r.p) for r in judged if (r.name, r.n) == (name, n)]
+            for size in sizes:
+                hits = total = 0
+                for at in range(0, len(p) - size + 1, size):
+                    counts = [0] * secrets.STEPS
+                    for _, x in p[at:at + size]:
+                        counts[min(int(x * secrets.STEPS), secrets.STEPS - 1)] += 1
+                    least = secrets.least_steps({(name, p[at][0]): counts}).get((name, p[at][0]), 2)
+                    hits += sum(x >= least for _, x in p[at:at + size])
+                    total += size
+                found[name, n, size] = hits / total
+    return found
+
+
+def test_random_tokens_of_sparse_classes_are_found(spark):
+    recall = planted_recall(spark)
+    assert min(recall.values()) > 0.8, recall
+    rng = random.Random(25)
+    letters = string.ascii_letters + string.digits
+    for _ in range(6):
+        key = "".join(rng.choice(letters) for _ in range(40))
+        (row,) = secrets.scan(docs_of(spark, ["see " + key + " now"])).collect()
+        p = spark.range(1).select(secrets.randomness(F.array(F.lit(key)))[0]["p"]).first()[0]
+        assert bool(row.spans) == (p >= secrets.FALLBACK)
+
+
 def test_p_values_of_random_tokens_are_even(spark):
     rng = random.Random(6)
     tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (24, 40, 64) for _ in range(700)]
