@@ -195,8 +195,8 @@ def _gathered(partials: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarra
     return out
 
 
-def _start(labelled: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Feature counts of the teaching half by class; shapes, hot columns and labels of the whole sample."""
+def _start(labelled: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Feature counts of the teaching half by class; shapes, hot columns, labels and who teaches of the whole sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, _D))
@@ -213,14 +213,16 @@ def _start(labelled: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray, np.n
                 both = np.hstack([piece.shapes, piece.hot])
                 offsets = np.arange(len(both) + 1, dtype=np.int32) * both.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(offsets), pa.array(both.ravel())), rows.column(4)], names=["x", "y"]
+                    [pa.ListArray.from_arrays(pa.array(offsets), pa.array(both.ravel())), rows.column(4), rows.column(5)],
+                    names=["x", "y", "teaches"],
                 )
 
     counts = _gathered(labelled.mapInArrow(count, _PARTIAL), {0: _D, 1: _D})
-    rows = labelled.mapInArrow(measure, "x array<double>, y double").toArrow()
+    rows = labelled.mapInArrow(measure, "x array<double>, y double, teaches boolean").toArrow()
     y = rows.column("y").to_numpy()
     x = rows.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), _SHAPES + _LANGS + _SOURCES + 1)
-    return counts, x[:, :_SHAPES], x[:, _SHAPES:], y
+    teaches = rows.column("teaches").to_numpy().astype(bool)
+    return counts, x[:, :_SHAPES], x[:, _SHAPES:], y, teaches
 
 
 def _calibrated(labelled: DataFrame, m: Models) -> None:
@@ -311,17 +313,21 @@ def fit(
               for c, n in zip(columns, ("text", "lang", "source", "length"))], "_y", "_teaches",
         ), "labelled",
     )
-    counts, shapes, hot, y = _start(labelled)
+    counts, shapes, hot, y, teaches = _start(labelled)
     if not (0 < y.sum() < len(y)) or not counts[0].any() or not counts[1].any():
         stages.discard(docs.sparkSession, labelled_path)
         return None
     centre, scale = shapes.mean(axis=0), shapes.std(axis=0) + 1e-6
     m = Models(
         log_odds(counts[1], counts[0]), np.zeros(3), centre, scale,
-        logistic(design(shapes, hot, centre, scale), y), np.zeros(3), float(y.mean()),
+        logistic(design(shapes[teaches], hot[teaches], centre, scale), y[teaches]), np.zeros(3), float(y.mean()),
     )
     _calibrated(labelled, m)
-    all_docs = _chosen(docs.join(small, F.col(key) == F.col("_label_key"), "left"), *columns, F.col("_y"))
+    # The half that calibrates teaches neither view in any round.
+    all_docs = _chosen(
+        docs.join(small, F.col(key) == F.col("_label_key"), "left").where(F.coalesce("_teaches", F.lit(True))),
+        *columns, F.col("_y"),
+    )
     for _ in range(rounds):
         _round(all_docs, m)
         _calibrated(labelled, m)

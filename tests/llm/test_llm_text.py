@@ -292,6 +292,29 @@ def test_quality_of_unseen_documents(spark):
     assert len(set(prior)) == 1 and 0 < prior[0] < 1
 
 
+def test_calibrating_labels_do_not_teach(spark):
+    """The labels of the half that calibrates change neither view's weights."""
+    rng = random.Random(26)
+    texts = [prose(rng, 40) if k % 2 else prose(rng, 40).upper() for k in range(240)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 200)], "doc_id long, quality int")
+    held = {r._label_key for r in cotrain.label_sample(labels, "doc_id", "quality").where("NOT _teaches").collect()}
+    assert 50 < len(held) < 150
+    turned = spark.createDataFrame(
+        [(k, 1 - k % 2 if k in held and rng.random() < 0.4 else k % 2) for k in range(200)], "doc_id long, quality int"
+    )
+    a, b = (cotrain.fit(docs, table, rounds=0) for table in (labels, turned))
+    assert np.allclose(a.content, b.content) and np.allclose(a.metadata, b.metadata)
+    seen = []
+    kept = cotrain._round
+    cotrain._round = lambda d, m: seen.append(d.count())
+    try:
+        cotrain.fit(docs, labels)
+    finally:
+        cotrain._round = kept
+    assert seen == [240 - len(held)] * cotrain.ROUNDS
+
+
 def test_quality_without_usable_labels(spark):
     docs = docs_of(spark, ["a b", "c"])
     for labels in ([], [(0, 1)], [(0, 1), (1, 1)], [(77, 0)]):
