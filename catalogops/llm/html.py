@@ -50,6 +50,10 @@ NOISE_WORDS = frozenset(
     " comment comments disqus reply replies respond share sharing social related recommended toolbar"
     " search widget widgets gdpr alert disclaimer pagination pager contentinfo complementary".split()
 )
+#: Words that name an article element as one that leads elsewhere.
+_TEASER_WORDS = frozenset(
+    "teaser teasers promo promotion related recommended sponsor sponsored advert advertisement ad ads".split()
+)
 _COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -75,10 +79,14 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks as (place, text, article number, inside main), and layouts as (place, children)."""
+    """Blocks as (place, text, article number, inside main), and layouts as (place, children).
+
+    ``teasers`` are the numbers of the articles that their markup names so.
+    """
 
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
     layouts: list[tuple[int, int]] = field(default_factory=list)
+    teasers: set[int] = field(default_factory=set)
 
 
 def _signed(text: str, seed: int = 0) -> int:
@@ -180,6 +188,8 @@ def parse(source: str) -> Page:
         if tag == "article" and not article and not noise:
             articles += 1
             article = articles
+            if words & _TEASER_WORDS:
+                page.teasers.add(article)
         place = top.place if tag in INLINE else _signed(f"{tag}.{classes}", top.place)
         if tag not in INLINE:
             top.children.append(place)
@@ -200,14 +210,25 @@ def site_features(page: Page) -> set[tuple[int, int, int]]:
 
 
 def main_text(page: Page, low: set[int]) -> str:
-    """Blocks of the article, else of the main part, else of all that is no noise, without low branches."""
+    """Blocks of all articles, else of the main part, else of all that is no noise, without low branches.
+
+    Articles named as teasers count only where there is no other, and then the
+    largest. The place with most of the articles' text is their body: it stays
+    where the low branches would take more than half of the text, as they do on
+    a site of near copies.
+    """
     sizes: dict[int, int] = {}
     for _, text, article, _ in page.blocks:
         if article:
             sizes[article] = sizes.get(article, 0) + len(text)
     if sizes:
-        best = max(sizes, key=lambda k: (sizes[k], -k))
-        blocks = [(p, t) for p, t, a, _ in page.blocks if a == best]
+        best = set(sizes) - page.teasers or {max(sizes, key=lambda k: (sizes[k], -k))}
+        blocks = [(p, t) for p, t, a, _ in page.blocks if a in best]
+        held: dict[int, int] = {}
+        for p, t in blocks:
+            held[p] = held.get(p, 0) + len(t)
+        if 2 * sum(n for p, n in held.items() if p in low) > sum(held.values()):
+            low = low - {max(held, key=held.__getitem__)}
     else:
         blocks = [(p, t) for p, t, _, m in page.blocks if m] or [(p, t) for p, t, _, _ in page.blocks]
     kept = [t for p, t in blocks if p not in low]

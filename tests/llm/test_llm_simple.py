@@ -75,6 +75,25 @@ def test_components_of_chains_stars_and_loops(spark, monkeypatch, bound):
     assert connected_components(edges.limit(0)).count() == 0
 
 
+# --- several articles, near copies
+
+def test_all_articles_of_a_page_and_bodies_of_near_copies(spark):
+    two = html.parse(
+        "<main><article><h1>One</h1><p>first part</p></article><article class='teaser'><p>go elsewhere for a long time</p></article>"
+        "<article><p>second part, longer than the first</p></article></main>"
+    )
+    assert html.main_text(two, set()) == "One first part second part, longer than the first"
+    only = html.parse("<article class=teaser><p>a</p></article><article class=teaser><p>longer</p></article>")
+    assert html.main_text(only, set()) == "longer"
+    body = "<p>The same story told on every page of this site.</p><p>And its second paragraph.</p>"
+    pages = spark.createDataFrame(
+        [(k, f"http://a.b/{k}", f"<article><h1>Head {k}</h1>{body}<footer>x</footer></article>") for k in range(12)],
+        "page_id long, url string, html string",
+    )
+    for r in html.extract(pages).collect():
+        assert r.text == f"Head {r.page_id} The same story told on every page of this site. And its second paragraph."
+
+
 # --- URL rules
 
 def test_rules_and_aliases(spark):
