@@ -81,15 +81,17 @@ def overlaps(
     before they are broadcast.
     """
     items, items_path = stages.stage_at(item_words(benchmark, item, item_text), "items")
-    found = [_hits(docs, items.where(F.size("words") >= LONG), keys, text, MASKS)]
+    paths = [items_path]
+    found = [_hits(docs, items.where(F.size("words") >= LONG), keys, text, MASKS, paths)]
     short = items.where(F.size("words") < LONG)
     if short.limit(1).count():
-        found.append(_hits(docs, short, keys, text, SHORT_MASKS))
+        found.append(_hits(docs, short, keys, text, SHORT_MASKS, paths))
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)
     hits, hits_path = stages.stage_at(hits, "hits")
-    stages.discard(docs.sparkSession, items_path)
+    for path in paths:
+        stages.discard(docs.sparkSession, path)
     # Agreements on one diagonal, once for all the seeds that led there.
     agree = F.col("agree")
     width = F.least(F.size(agree), F.lit(WINDOW))
@@ -109,13 +111,28 @@ def overlaps(
     )
 
 
-def _hits(docs: DataFrame, items: DataFrame, keys: list[str], text: str, masks: tuple[str, ...]) -> DataFrame:
+def _diagonals(own: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """(_row, _item, at): where the first word of an item would stand, by a join of numbers only."""
+    placed = seeds(own, "_words", masks).select("_row", "at", "seed")
+    light = seeds(items, "words", masks).select("seed", "_item", F.col("at").alias("item_at")).distinct()
+    return placed.join(light, "seed").select("_row", "_item", (F.col("at") - F.col("item_at")).alias("at")).distinct()
+
+
+def _hits(
+    docs: DataFrame, items: DataFrame, keys: list[str], text: str, masks: tuple[str, ...], paths: list[str]
+) -> DataFrame:
+    """Hits with their agreements; ``paths`` gets the tables to discard when they are written."""
     wanted = seeds(items, "words", masks).select("seed", "item_id", F.col("at").alias("item_at"), "words").distinct()
-    if wanted.count() <= BROADCAST_SEEDS:
-        wanted = F.broadcast(wanted)
     own = docs.select(*keys, word_hashes(F.col(text)).alias("_words"))
-    met = seeds(own, "_words", masks).join(wanted, "seed")
     start = F.col("at") - F.col("item_at")
+    if wanted.count() <= BROADCAST_SEEDS:
+        met = seeds(own, "_words", masks).join(F.broadcast(wanted), "seed")
+    else:
+        # Only numbers are shuffled with the seeds; the words of both sides follow for the hits alone.
+        own, path = stages.stage_at(own.withColumn("_row", F.monotonically_increasing_id()), "document-words")
+        paths.append(path)
+        items = items.withColumn("_item", F.xxhash64("item_id", "words"))
+        met = _diagonals(own, items, masks).join(items, "_item").join(own, "_row").withColumn("item_at", F.lit(0))
     agree = F.transform("words", lambda w, k: F.when(F.get(F.col("_words"), start + k) == w, 1).otherwise(0))
     return met.select(*keys, "item_id", start.alias("start"), agree.alias("agree"))
 

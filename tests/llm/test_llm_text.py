@@ -443,6 +443,19 @@ def test_short_items_with_substitutions(spark):
     assert got == {(3 * k + c, k, 20) for k in range(4) for c in (0, 1)}
 
 
+def test_words_are_not_shuffled_with_the_seeds(spark, monkeypatch):
+    rng = random.Random(23)
+    item = prose(rng, 20)
+    table = spark.createDataFrame([(0, item), (0, item.upper() + " x"), (1, item), (2, prose(rng, 9))], "item_id long, text string")
+    docs = docs_of(spark, [item, prose(rng, 500) + " " + item]).union(docs_of(spark, [prose(rng, 30) + " " + item]))
+    expected = sorted(tuple(r) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect())
+    met, given = [], decontaminate._diagonals
+    monkeypatch.setattr(decontaminate, "_diagonals", lambda *a: met.append(given(*a)) or met[-1])
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    assert sorted(tuple(r) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect()) == expected and expected
+    assert met and all(dict(m.dtypes) == {"_row": "bigint", "_item": "bigint", "at": "int"} for m in met)
+
+
 def test_passages_beyond_the_broadcast_bound(spark, sf, monkeypatch):
     expected = sorted(tuple(r) for r in queries.op8(spark, sf).collect())
     items = {r.item_id: words_of(r.text) for r in queries.read(spark, sf, "benchmark").collect()}
