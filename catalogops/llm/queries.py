@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import stages
-from . import bpe, cotrain, decontaminate, embeddings, html, minhash, secrets, sharding, urls, warc
+from . import (
+    alignment, bpe, cotrain, decontaminate, embeddings, fim, html, language, minhash, secrets, sharding, urls, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,11 +30,11 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the vocabulary of the registered queries lies; every executor has the package."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 #: Forty shards of equal weight, and one more.
@@ -191,3 +193,43 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return cotrain.classify(docs, read(spark, sf, "labels")).select(
         "doc_id", "p_content", "p_metadata", "p_quality", "keep"
     )
+
+
+@query("op11_kneser_ney_language")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    docs = read(spark, sf, "documents").withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+    models = language.fit(docs.where("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), models).select(
+        "doc_id", "held_out", "lang_pred", "score", "accepted"
+    )
+
+
+#: The same in SQL, by string functions over code points.
+OP12_SQL = r"""WITH
+  drawn AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+  numbers AS (SELECT doc_id, t, n, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+    CAST('0x' || h[17:24] AS BIGINT) % 100 AS p, CAST('0x' || h[25:32] AS BIGINT) % 100 AS s FROM drawn),
+  cut AS (SELECT doc_id, t, n, least(c1, c2) AS i, greatest(c1, c2) AS j, CASE
+    WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain'
+    WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+  parts AS (SELECT *, t[1:i] AS prefix, t[i + 1:j] AS middle, t[j + 1:] AS suffix FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(i AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(j - i AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM parts"""
+
+
+@query("op12_fenwick_middle", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return fim.round_trip_digests(read(spark, sf, "documents"))
+
+
+@query("op13_deduplicated_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    measures, _ = alignment.align(
+        read(spark, sf, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
+    )
+    return measures
