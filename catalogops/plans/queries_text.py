@@ -7,7 +7,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.replies import clean_reply
 from ..functions.text import folded
-from ..operators import batching, canonical, clusters, inference, vectors
+from ..operators import batching, canonical, clusters, grams, inference, vectors
 from ..sources import exchange
 from ..sources.stages import new_path, stage
 from .registry import TAX, cores, query, read, strip_sql, tax
@@ -376,3 +376,37 @@ def similar_texts(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     encoded = vectors.embed_hashed(docs, "text", partitions=cores(spark))
     return vectors.knn(encoded, "doc_id", "vector", partitions=cores(spark))
+
+
+@query("approximate_texts")
+def approximate_texts(spark, sf):
+    """As ``similar_texts``, by tables of sorted codes: exact similarities, nearly all neighbours."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    encoded = vectors.embed_hashed(docs, "text", partitions=cores(spark))
+    return vectors.approximate_knn(encoded, "doc_id", "vector", partitions=cores(spark))
+
+
+GRAMS = 8
+
+
+@query(
+    "similar_grams",
+    f"""WITH t AS (SELECT doc_id, lower({strip_sql('text')}) AS t FROM documents WHERE text IS NOT NULL),
+        d AS (SELECT t, min(doc_id) AS rep FROM t GROUP BY 1),
+        g AS (SELECT rep, substr(' ' || t || ' ', CAST(i AS BIGINT), {GRAMS}) AS gram
+              FROM (SELECT rep, t, unnest(range(1, length(t) + {4 - GRAMS})) AS i FROM d)),
+        c AS MATERIALIZED (SELECT rep, gram, count(*) AS n FROM g GROUP BY 1, 2),
+        s AS (SELECT rep, CAST(sum(n * n) AS DOUBLE) AS square FROM c GROUP BY 1),
+        dots AS (SELECT a.rep AS a, b.rep AS b, CAST(sum(a.n * b.n) AS DOUBLE) AS dot
+                 FROM c a JOIN c b ON a.gram = b.gram GROUP BY 1, 2),
+        sims AS (SELECT a, b, round(dot / sqrt(x.square * y.square), 9) AS sim
+                 FROM dots JOIN s x ON x.rep = a JOIN s y ON y.rep = b),
+        near AS (SELECT v.doc_id AS id, w.doc_id AS neighbour, CASE WHEN a = b THEN 1.0 ELSE sim END AS sim
+                 FROM sims JOIN d p ON p.rep = a JOIN d q ON q.rep = b JOIN t v ON v.t = p.t JOIN t w ON w.t = q.t
+                 WHERE v.doc_id <> w.doc_id AND (a = b OR sim >= {vectors.MIN_SIMILARITY})),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, neighbour) AS rank FROM near)
+        SELECT id, neighbour, sim, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank < {vectors.NEIGHBOURS}""",
+)
+def similar_grams(spark, sf):
+    """Whole texts by the counts of all their n-grams, unhashed: an inverted index in place of blocks."""
+    return grams.gram_join(read(spark, sf, "documents"), "doc_id", "text", n=GRAMS, partitions=cores(spark))

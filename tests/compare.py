@@ -58,7 +58,7 @@ if __name__ == "__main__":
     sf = sys.argv[1]
     only = set(sys.argv[2:])
     spark = build("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.ansi.enabled": "true"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.ansi.enabled": "true", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     bad = 0

@@ -1,12 +1,14 @@
 """Exact similarity join and leader clustering against brute force."""
 
+import collections
+import math
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from catalogops.operators import clusters, vectors
+from catalogops.operators import clusters, grams, vectors
 
 
 def unit(m):
@@ -77,18 +79,75 @@ def test_knn_of_nothing(spark):
     assert vectors.knn(df, "id", "v").count() == 0
 
 
-def test_pivots_prune_far_cells(spark):
+def visits_of(tree, m, reach):
+    """Widen the tree to what lies in its cells; (row, cell) of all visits."""
+    for cell, angle, branch in zip(*tree.assign(m)):
+        tree.widen(cell, angle + reach, branch + reach)
+    return [(r, c) for rows, cells in tree.visits(m) for r, c in zip(rows.tolist(), cells.tolist())]
+
+
+def test_pivots_prune_far_cells():
     """Well separated groups: a row visits few cells, not all of them."""
-    m = clustered(8, 20, 30, dim=16, spread=0.02)
-    pivots = unit(m[::30])
+    m = clustered(8, 20, 30, dim=16, spread=0.02).astype("float64")
+    tree = vectors.CellTree(unit(m[::30]))
+    assert len(visits_of(tree, m, np.arccos(0.92))) < 20 * len(m) / 4
+
+
+def test_two_levels_of_pivots_save_angles_and_lose_no_pair():
+    rng = np.random.default_rng(9)
+    centres = np.vstack([c + 0.1 * rng.normal(size=(40, 24)) for c in unit(rng.normal(size=(12, 24)))])
+    m = unit(np.vstack([c + 0.02 * rng.normal(size=(10, 24)) for c in centres]))
+    pivots = unit(m[rng.permutation(len(m))[:256]])
+    tree = vectors.CellTree(pivots)
+    cell = tree.assign(m)[0]
+    # Branches and the pivots of one branch, in place of all pivots.
+    assert tree.angles < len(m) * len(pivots) / 4
+    reach = float(np.arccos(0.92 - 1e-8) + 1e-6)
+    tree = vectors.CellTree(pivots)
+    met = set(visits_of(tree, m, reach))
+    assert tree.angles < 2 * len(m) * len(pivots) / 3
+    near = np.argwhere(np.round(m @ m.T, 9) >= 0.92)
+    assert len(near) > 5 * len(m)
+    assert all((i, cell[j]) in met for i, j in near.tolist())
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_small_trees_and_equal_pivots(n):
+    rng = np.random.default_rng(n)
+    m = unit(rng.normal(size=(30, 4)))
+    tree = vectors.CellTree(np.vstack([m[:n], m[:n]]))
+    assert {c for _, c in visits_of(tree, m, 4.0)} == set(tree.assign(m)[0].tolist())
+
+
+def pairs_of(lists):
+    return {(i, j) for i, near in lists.items() for j, _ in near}
+
+
+def test_approximate_join_finds_nearly_all(spark):
+    """Groups of very different size, one of them a third of all rows."""
+    rng = np.random.default_rng(11)
+    groups = [clustered(20 + g, 1, int(n), dim=32, spread=0.03) for g, n in enumerate([900, *rng.integers(2, 40, 80)])]
+    m = np.vstack(groups)
+    m = np.vstack([m, np.tile(m[:1], (12, 1))])
+    ids = random.Random(5).sample(range(10**6), len(m))
+    exact = pairs_of(brute(ids, m, 10, 0.92))
     df = spark.createDataFrame(
-        [(i, [float(x) for x in v]) for i, v in enumerate(m)], "rep long, vec array<float>"
-    )
-    cells = vectors._assign_cells(df, pivots)
-    stats = {r.cell: r.r for r in cells.groupBy("cell").agg(F.max("angle").alias("r")).collect()}
-    limit = np.array([stats[i] for i in range(20)]) + np.arccos(0.92)
-    visits = vectors._count_visits(cells, pivots, limit).agg(F.sum("n")).first()[0]
-    assert visits < 20 * len(m) / 4
+        [(int(i), [float(x) for x in v]) for i, v in zip(ids, m)], "id long, v array<float>"
+    ).repartition(3)
+    rows = vectors.approximate_knn(df, "id", "v", block_rows=128).collect()
+    sims = unit(m) @ unit(m).T
+    at = {i: n for n, i in enumerate(ids)}
+    assert all(abs(r.sim - sims[at[r.id], at[r.neighbour]]) < 1e-6 and r.sim >= 0.92 for r in rows)
+    found = {(r.id, r.neighbour) for r in rows}
+    assert max(r["rank"] for r in rows) <= 9 and len(rows) == len(found)
+    assert len(found & exact) >= 0.9 * len(exact)
+
+
+def test_approximate_join_of_little(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, None), (5, [1.0, 0.0])], "id long, v array<float>")
+    found = {(r.id, r.neighbour) for r in vectors.approximate_knn(df, "id", "v").collect()}
+    assert found == {(1, 5), (5, 1), (1, 2), (2, 1), (5, 2), (2, 5)}
+    assert vectors.approximate_knn(df.limit(0), "id", "v").count() == 0
 
 
 def test_hashed_vectors(spark):
@@ -179,3 +238,60 @@ def test_cluster_order(spark):
     named = table.withColumn("name", F.concat(F.lit("n"), "member_id"))
     got = {r.cluster_id: r.members for r in clusters.cluster_lists(named, "name").collect()}
     assert got == {"cluster_0000": ["n1", "n5", "n3"], "cluster_0001": ["n7", "n9", "n8"]}
+
+
+# --- the join over n-grams
+
+def gram_vectors(text, n):
+    padded = f" {text.strip().lower()} "
+    return collections.Counter(padded[i:i + n] for i in range(len(padded) - n + 1))
+
+
+def brute_grams(rows, n, k, tau):
+    made = {i: gram_vectors(t, n) for i, t in rows if t is not None}
+    made = {i: v for i, v in made.items() if v}
+    norm = {i: sum(c * c for c in v.values()) for i, v in made.items()}
+    out = {}
+    for i, v in made.items():
+        near = []
+        for j, w in made.items():
+            sim = round(sum(c * w[g] for g, c in v.items()) / math.sqrt(norm[i] * norm[j]), 9)
+            if i != j and sim >= tau:
+                near.append((-sim, j))
+        out[i] = [(j, -s) for s, j in sorted(near)[: k - 1]]
+    return {i: v for i, v in out.items() if v}
+
+
+def names(seed, size):
+    rng = random.Random(seed)
+    stems = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(4, 9))) for _ in range(30)]
+    out = []
+    for _ in range(size):
+        words = [rng.choice(stems) for _ in range(rng.randrange(1, 6))]
+        if rng.random() < 0.5 and out:
+            words = out[rng.randrange(len(out))].split() or words
+            words[rng.randrange(len(words))] += rng.choice(["s", "x", ""])
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("tau, limit", [(0.92, None), (0.7, 6), (0.92, 3), (0.3, 0)])
+def test_gram_join_equals_all_pairs(spark, tau, limit):
+    texts = names(4, 150) + [None, "", "a", "  ", "ab", "AB ", "ab"] + ["crowded name of many"] * 15 + ["crowded name of manys"] * 3
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    found = {}
+    for r in grams.gram_join(df, "id", "t", k=6, min_sim=tau, long_posting=limit, block_rows=40).orderBy("id", "rank").collect():
+        found.setdefault(r.id, []).append((r.neighbour, r.sim))
+    expected = brute_grams(rows, 3, 6, tau)
+    assert found.keys() == expected.keys()
+    for i, near in expected.items():
+        assert [j for j, _ in found[i]] == [j for j, _ in near]
+        assert all(abs(s - r) < 2e-9 for (_, s), (_, r) in zip(found[i], near))
+
+
+def test_gram_join_of_nothing(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, t string")
+    assert grams.gram_join(df, "id", "t").count() == 0 and grams.gram_join(df.limit(0), "id", "t").count() == 0
+    with pytest.raises(ValueError):
+        grams.gram_join(df, "id", "t", min_sim=0.0)
