@@ -29,6 +29,23 @@ def group_sizes(df: DataFrame, levels: Levels = Levels()) -> DataFrame:
     return present.groupBy(levels.parent, levels.child).agg(_rows(df).alias("n"))
 
 
+def rollup(df: DataFrame, min_items: int = MIN_ITEMS, levels: Levels = Levels()) -> DataFrame:
+    """``(parent, child, level, n, n_children, n_thin)`` of every pair, every parent and the whole.
+
+    ``level`` is the grouping id: 0 for a pair, 1 for a parent, 3 for the whole, so
+    a NULL value stays apart from a level that is summed up. ``n_thin`` counts
+    children below ``min_items`` rows. Rows are counted by pair first; one expand
+    and one shuffle then work on group sizes only.
+    """
+    pairs = df.groupBy(levels.parent, levels.child).agg(_rows(df).alias("n"))
+    return pairs.rollup(levels.parent, levels.child).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("n_children"),
+        F.count_if(F.col("n") < min_items).alias("n_thin"),
+    )
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     counts = df.dropna(subset=[column]).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), column)

@@ -10,10 +10,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.replies import all_null, clean_reply, parse_rows
 from ..functions.text import bullet_list, let
+from ..sources.stages import discard, is_complete, new_path, stage_at
 from .batching import dealt, fixed_batches, pack_batches
 
 # Records per prompt, and what stands between template and data.
 CHUNK_ROWS = 25
+# Prompts asked between two commits of a resumable run.
+COMMIT_ROWS = 10_000
 INPUT_JOINT = "\n\nINPUT:\n"
 CLUSTER_JOINT = "\n\nInput cluster ("
 
@@ -97,6 +100,65 @@ def infer(
     return dealt(prompts, partitions).mapInArrow(run, schema)
 
 
+def prompt_key(prompt: Column, model_key: str) -> Column:
+    """What a reply is filed under: the model's name and the whole prompt."""
+    return F.sha2(F.concat_ws("\n", F.lit(model_key), prompt), 256)
+
+
+def infer_resumable(
+    df: DataFrame,
+    prompt_col: str,
+    make_model: Callable[[], Callable[[list[str]], Sequence[str | Exception | None]]],
+    keep: Sequence[str],
+    log: str,
+    model_key: str = "",
+    commit_rows: int = COMMIT_ROWS,
+    batch: int = 64,
+    partitions: int | None = None,
+) -> DataFrame:
+    """As ``infer``, with a log of answers under ``log``: a later run asks only what is missing there.
+
+    Distinct prompts are asked once, in portions of about ``commit_rows``, and a
+    portion's answers are committed before the next one is asked, so a run that
+    dies loses one portion at most. An answer is filed under the model's name and
+    the prompt; several tables and runs may share a log. Failed prompts are
+    reported in ``error`` and not filed: the next run asks them again. A NULL
+    prompt is not asked and gets an error.
+    """
+    spark = df.sparkSession
+    asked = df.select(prompt_key(F.col(prompt_col), model_key).alias("asked"), F.col(prompt_col).alias("asked_prompt"))
+    distinct = asked.where(F.col("asked_prompt").isNotNull()).groupBy("asked").agg(F.first("asked_prompt").alias("asked_prompt"))
+    filed = _filed(spark, log)
+    pending, pending_path = stage_at(distinct if filed is None else distinct.join(filed, "asked", "left_anti"), "prompts")
+    portions = -(-pending.count() // commit_rows)
+    portion = F.pmod(F.xxhash64("asked"), F.lit(max(portions, 1)))
+    failed = new_path(spark, "failed-prompts")
+    for i in range(portions):
+        answers, path = stage_at(infer(pending.where(portion == i), "asked_prompt", make_model, ["asked"], batch, partitions), "answers")
+        answers.where("error IS NOT NULL").select("asked", "error").write.mode("append").parquet(failed)
+        # The last write of a portion files it; until then nothing of it counts.
+        answers.where("error IS NULL").select("asked", "reply").write.mode("append").parquet(log)
+        discard(spark, path)
+    discard(spark, pending_path)
+    filed, key = _filed(spark, log), prompt_key(F.col(prompt_col), model_key)
+    answered = df.select(*keep, F.when(F.col(prompt_col).isNotNull(), key).alias("asked"))
+    # A portion that was written when its run died may be filed twice: the first answer by text counts.
+    replies = spark.createDataFrame([], FILED) if filed is None else filed.groupBy("asked").agg(F.min("reply").alias("reply"), F.lit(True).alias("answered"))
+    if filed is None:
+        replies = replies.withColumn("answered", F.lit(True))
+    errors = spark.read.schema("asked string, error string").parquet(failed) if portions else spark.createDataFrame([], "asked string, error string")
+    joined = answered.join(replies, "asked", "left").join(errors.groupBy("asked").agg(F.min("error").alias("error")), "asked", "left")
+    return joined.select(*keep, "reply", F.when(F.col("answered").isNull(), F.coalesce("error", F.lit("no prompt"))).alias("error"))
+
+
+FILED = "asked string, reply string"
+
+
+def _filed(spark, log: str) -> DataFrame | None:
+    """The log as far as it is committed; None when there is none yet."""
+    return spark.read.schema(FILED).parquet(log) if is_complete(spark, log) else None
+
+
 def replay(df: DataFrame, recorded: DataFrame, on: Sequence[str]) -> DataFrame:
     """Answer prompts from recorded ``(keys, reply)``; a missing reply is an error."""
     joined = df.join(recorded.select(*on, "reply"), list(on), "left")

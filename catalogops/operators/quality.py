@@ -55,3 +55,29 @@ def metrics_row(report_df: DataFrame, **extra: object) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: list[str], approximate: bool = False):
     count = F.approx_count_distinct if approximate else F.count_distinct
     return df.agg(*[count(c).alias(f"n_{c}") for c in columns])
+
+
+# log2 of the buckets of a distinct-count sketch; the relative error is about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, by: list[str], column: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """``(by…, sketch)``: one mergeable sketch of the distinct values of ``column`` per group; NULLs are no value.
+
+    Store it, and add later rows with :func:`merge_sketches`: the values
+    themselves are not needed again.
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, bits).alias("sketch"))
+
+
+def merge_sketches(*tables: DataFrame, by: list[str]) -> DataFrame:
+    """Sketches of all tables, united per group: of later batches, or of any coarser level."""
+    merged = tables[0].select(*by, "sketch")
+    for t in tables[1:]:
+        merged = merged.unionByName(t.select(*by, "sketch"))
+    return merged.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimates(sketches: DataFrame, out: str = "n_distinct") -> DataFrame:
+    """The number of distinct values that each sketch stands for."""
+    return sketches.withColumn(out, F.hll_sketch_estimate("sketch")).drop("sketch")

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import canonical, clusters, dedup, hierarchy, inference, quality, vectors
@@ -15,7 +15,7 @@ from ..operators.cascade import apply_rules
 from ..operators.rules import Levels
 from ..sources.exchange import write_metrics
 from ..sources.packs import RulePack
-from ..sources.stages import fingerprint, materialize, stage
+from ..sources.stages import fingerprint, is_complete, materialize, stage
 
 LEVELS = Levels()
 COLUMNS = (LEVELS.parent, LEVELS.child, LEVELS.item)
@@ -119,7 +119,15 @@ def curate(
         return materialize(df.sparkSession, f"{out}/{name}-{key}", build, reset)
 
     rows = df if "row_id" in df.columns else positions(df, df.columns, "row_id")
-    corrected = step("corrected", lambda: correct(rows, correct_pack, min_items))
+    # The first step's write sees every row anyway: it counts them on the way.
+    seen: list[Observation] = []
+
+    def watched() -> DataFrame:
+        seen.append(Observation("curate-input"))
+        return correct(rows.observe(seen[0], F.count(F.lit(1)).alias("n")), correct_pack, min_items)
+
+    corrected = step("corrected", watched)
+    input_rows = _remembered(df.sparkSession, f"{out}/input-rows-{key}", seen, rows)
     grouped = step("clusters", lambda: cluster_items(corrected, embed, k, min_sim))
     lists = clusters.cluster_lists(grouped, "member")
     answers = step("replies", lambda: name_clusters(lists))
@@ -132,9 +140,9 @@ def curate(
     write_metrics(
         quality.metrics_row(
             report,
-            input_rows=rows.count(),
-            input_file=",".join(sorted(df.inputFiles())[:10]),
-            batches=-(-rows.count() // inference.CHUNK_ROWS),
+            input_rows=input_rows,
+            input_file=",".join(sorted(df.inputFiles())),
+            batches=-(-input_rows // inference.CHUNK_ROWS),
             clusters_created=grouped.select("cluster_id").distinct().count(),
             duplicates_removed=canonical.changes(mapping).first()[0],
             processing_time_minutes=round((time.monotonic() - started) / 60, 2),
@@ -142,3 +150,15 @@ def curate(
         f"{out}/metrics",
     )
     return final_order(final), report
+
+
+def _remembered(spark: SparkSession, path: str, seen: list[Observation], rows: DataFrame) -> int:
+    """How many rows the first step has seen; kept beside it for runs that skip the step.
+
+    A job of its own counts them only where an earlier run died between the two writes.
+    """
+    if seen or not is_complete(spark, path):
+        n = seen[0].get["n"] if seen else rows.count()
+        spark.createDataFrame([(n,)], "n long").write.mode("overwrite").parquet(path)
+        return n
+    return spark.read.schema("n long").parquet(path).first()["n"]

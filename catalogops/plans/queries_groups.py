@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dedup, hierarchy as H, quality
+from ..operators import dedup, hierarchy as H, quality, upkeep
 from ..operators.rules import member_of
 from ..operators.tables import small_table
+from ..sources.stages import stage
 from .registry import (
     LISTINGS, LISTINGS_DIRTY, TAX, TAX_DIRTY, listings, listings_dirty, query, strip_sql, tax,
     tax_dirty,
@@ -332,3 +333,68 @@ def chk_scoped_members(spark, sf):
     """Conditional counts per parent, many conditions in one aggregate."""
     hits = F.count_if(member_of("subcategory", ["Brand#1", "Brand#2"])).alias("hits")
     return listings(spark, sf).groupBy("category").agg(F.count(F.lit(1)).alias("n"), hits)
+
+
+# --- kept up to date, rolled up, sketched
+
+def arrivals(spark, sf, n=3):
+    """The listings with a value and an item, as batches that arrive one after another."""
+    clean = dedup.drop_missing(listings_dirty(spark, sf), COLS.split(", "), ["product_category"])
+    return [clean.where(F.pmod(F.xxhash64("row_id"), F.lit(n)) == k) for k in range(n)]
+
+
+def kept_up(spark, sf):
+    """State and sizes after all batches; each batch meets only the state before it."""
+    state = sizes = None
+    for batch in arrivals(spark, sf):
+        batch = batch.dropDuplicates(COLS.split(", "))
+        after = stage(upkeep.kept_rows(state, batch, ignore_case=True), "kept-rows")
+        sizes = stage(upkeep.kept_sizes(sizes, state, after, batch, ignore_case=True), "kept-sizes")
+        state = after
+    return state, sizes
+
+
+KEPT = f"""{LISTINGS_DIRTY}, u AS (SELECT DISTINCT {COLS} FROM listings_dirty
+          WHERE category IS NOT NULL AND subcategory IS NOT NULL AND {strip_sql('product_category')} <> ''),
+        b AS (SELECT *, row_number() OVER (PARTITION BY lower({strip_sql('product_category')})
+              ORDER BY length(subcategory) DESC, subcategory, category, product_category) AS rn FROM u)"""
+
+
+@query("priority_dedup_kept", f"WITH {KEPT} SELECT {COLS} FROM b WHERE rn = 1")
+def priority_dedup_kept(spark, sf):
+    return kept_up(spark, sf)[0].select(*COLS.split(", "))
+
+
+@query(
+    "group_sizes_kept",
+    f"WITH {KEPT} SELECT category, subcategory, count(*) AS n FROM b WHERE rn = 1 GROUP BY ALL",
+)
+def group_sizes_kept(spark, sf):
+    return kept_up(spark, sf)[1]
+
+
+@query(
+    "hierarchy_rollup",
+    f"""WITH {LISTINGS_DIRTY}, p AS (SELECT category, subcategory, count(*) AS n FROM listings_dirty GROUP BY ALL)
+        SELECT category, subcategory, CAST(grouping(category, subcategory) AS INTEGER) AS level,
+          CAST(sum(n) AS BIGINT) AS n, count(*) AS n_children, count(*) FILTER (n < {MIN_ITEMS}) AS n_thin
+        FROM p GROUP BY ROLLUP (category, subcategory)""",
+)
+def hierarchy_rollup(spark, sf):
+    return H.rollup(listings_dirty(spark, sf), MIN_ITEMS)
+
+
+@query(
+    "distinct_sketches",
+    f"""WITH {LISTINGS_DIRTY} SELECT category, count(DISTINCT product_category) AS n_distinct FROM listings_dirty GROUP BY 1""",
+)
+def distinct_sketches(spark, sf):
+    """Sketches of two halves per (category, subcategory), stored, and united to the categories."""
+    rows = listings_dirty(spark, sf)
+    half = F.pmod(F.xxhash64("row_id"), F.lit(2))
+    made = [
+        stage(quality.distinct_sketches(rows.where(half == k), ["category", "subcategory"], "product_category"), "sketches")
+        for k in (0, 1)
+    ]
+    pairs = quality.merge_sketches(*made, by=["category", "subcategory"])
+    return quality.estimates(quality.merge_sketches(pairs, by=["category"]))

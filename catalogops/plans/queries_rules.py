@@ -7,9 +7,10 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import cascade, rules as R
+from ..operators import cascade, keywords, rules as R
 from ..operators.tables import mapping_table, small_table
 from ..sources import packs
+from ..sources.stages import stage
 from .registry import (
     LISTINGS_DIRTY, TAX, TAX_DIRTY, listings_dirty, query, read, strip_sql, tax, tax_dirty,
 )
@@ -486,3 +487,42 @@ _HIT_ROWS = " UNION ALL ".join(
 @query("rule_hits", f"WITH {LISTINGS_DIRTY}, {validate_sql('listings_dirty')} {_HIT_ROWS}")
 def rule_hits(spark, sf):
     return cascade.rule_hits(listings_dirty(spark, sf), demo_pack("validate"), strip=False)
+
+
+# --- keywords in a table: the words of one table, looked up in the texts of another
+
+KEYWORD_TABLE = """kw AS (SELECT w AS keyword, min(item_id) AS priority, 'item ' || min(item_id) % 7 AS label
+    FROM (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark)
+    WHERE length(w) >= 4 GROUP BY 1)"""
+
+
+def word_table(spark, sf):
+    """(keyword, priority, label), stored: every word of the benchmark, the first item's number as priority."""
+    split = F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("keyword")
+    words = read(spark, sf, "benchmark").select("item_id", split).where(F.length("keyword") >= 4)
+    first = words.groupBy("keyword").agg(F.min("item_id").alias("priority"))
+    label = F.concat(F.lit("item "), (F.col("priority") % 7).cast("string"))
+    return stage(first.withColumn("label", label), "keywords")
+
+
+@query(
+    "kw_table_hits",
+    f"""WITH {KEYWORD_TABLE} SELECT doc_id, count(*) AS n FROM documents JOIN kw ON contains(lower(text), keyword) GROUP BY 1""",
+)
+def kw_table_hits(spark, sf):
+    """How many different words of the table each document holds anywhere in its text."""
+    docs = documents(spark, sf)
+    found = keywords.hits(docs, "text", word_table(spark, sf)).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    return docs.join(found, "text").select("doc_id", "n")
+
+
+@query(
+    "kw_table_classify",
+    f"""WITH {KEYWORD_TABLE}, h AS (SELECT doc_id, min(struct_pack(priority := priority, label := label)) AS best
+          FROM documents JOIN kw ON contains(' ' || lower({strip_sql('text')}) || ' ', ' ' || keyword || ' ')
+            OR ends_with(lower({strip_sql('text')}), keyword) GROUP BY 1)
+        SELECT doc_id, coalesce(best.label, 'none') AS label FROM documents LEFT JOIN h USING (doc_id)""",
+)
+def kw_table_classify(spark, sf):
+    labelled = keywords.classify(documents(spark, sf), "text", word_table(spark, sf), "none", "label", "padded_suffix")
+    return labelled.select("doc_id", "label")

@@ -90,6 +90,28 @@ def infer_model(spark, sf):
     )
 
 
+@query(
+    "infer_resumed",
+    """SELECT event_id AS id, CASE WHEN event_type = 'error' THEN NULL ELSE upper(event_type) || ' ' || user_id END AS reply,
+         event_type = 'error' AS failed FROM events""",
+)
+def infer_resumed(spark, sf):
+    """A run over a half, then one over all that finds the half's answers in the log."""
+
+    def make_model():
+        def model(prompts):
+            return [ValueError(p) if p.startswith("error") else p.upper() for p in prompts]
+
+        return model
+
+    events = read(spark, sf, "events")
+    prompts = events.select(F.col("event_id").alias("id"), F.concat_ws(" ", "event_type", "user_id").alias("prompt"))
+    log = new_path(spark, "answers-log")
+    ask = lambda df: inference.infer_resumable(df, "prompt", make_model, ["id"], log, "upper")
+    ask(prompts.where("id % 2 = 0"))
+    return ask(prompts).select("id", "reply", F.col("error").isNotNull().alias("failed"))
+
+
 # --- synonym clusters: distinct (brand, name) pairs in runs of eight
 
 SYN = f"""{TAX}, named AS (SELECT DISTINCT subcategory, product_category FROM tax),

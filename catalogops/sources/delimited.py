@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +23,9 @@ ALIASES = (
 COLUMNS = ("category", "subcategory", "product_category")
 SEPARATORS = ("\t", ",")
 MIN_COLUMNS = 3
+# Bytes of a file that are read at a time until its first line ends, and files looked at side by side.
+_HEAD_BYTES = 1 << 16
+_HEAD_THREADS = 32
 
 
 def target_of(header: str, aliases=ALIASES) -> str | None:
@@ -53,14 +58,33 @@ def alias_columns(df: DataFrame, aliases=ALIASES, columns: Sequence[str] = COLUM
 
 
 def headers(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(file, first line) of every file under ``path``; empty files have none."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"), "value",
-    ).where("start = 0")
-    firsts = lines.groupBy("file").agg(F.min_by("value", "row").alias("line"))
-    return sorted((r.file, r.line) for r in firsts.collect())
+    """(file, first line) of every file under ``path``; empty files have none.
+
+    Spark lists the files, and the first block of each is read through Spark's file
+    systems, so what is read does not grow with the size of the files.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(uri: str) -> tuple[str, str]:
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            codec = codecs.getCodec(file)
+            source = codec.createInputStream(stream) if codec else stream
+            head = b""
+            while block := source.readNBytes(_HEAD_BYTES):
+                head += block
+                if b"\n" in block or b"\r" in block:
+                    break
+        finally:
+            stream.close()
+        lines = re.split(rb"\r\n|\r|\n", head, maxsplit=1)
+        return file.toString(), lines[0].decode("utf-8", "replace") if head else ""
+
+    with ThreadPoolExecutor(_HEAD_THREADS) as pool:
+        found = list(pool.map(first, spark.read.text(path).inputFiles()))
+    return sorted((file, line) for file, line in found if line)
 
 
 def read_delimited(
