@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import let
 from ..sources import stages
+from .pieces import free
 
 #: Fixed masks: 1 keeps a word, 0 ignores it. Whichever 3 of 12 words in a row differ, one of the masks fits
 #: between them at some place, so every window of WINDOW words (or whole item of 12) with SHARE agreement is hit.
@@ -23,9 +25,9 @@ SHORT_MASKS = ("1111", "11011", "11000011")
 WINDOW = 13
 #: ... in which at least this share agrees.
 SHARE = 0.75
-#: Items of fewer words say too little and are never reported.
-LEAST_WORDS = 8
-#: Benchmark seeds up to which they are broadcast (with the words of their items); more are joined by shuffle.
+#: Shorter items have to be there word for word: from FEW words on anywhere in a text, below as the whole of it.
+SHORT, FEW = 8, 5
+#: Benchmark seeds up to which they are broadcast, 24 bytes each; more are joined by shuffle.
 BROADCAST_SEEDS = 200_000
 
 
@@ -51,11 +53,16 @@ def seeds(df: DataFrame, words: str, masks: tuple[str, ...]) -> DataFrame:
     ).where("seed IS NOT NULL")
 
 
+def _trimmed(text: Column) -> Column:
+    """Without what is no word at either end, where a split would leave an empty word."""
+    return F.regexp_replace(text, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+
+
 def item_words(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, words) of the items that are long enough; the empty ends of a split do not count."""
-    trimmed = F.regexp_replace(F.col(text), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
-    return benchmark.select(F.col(item).alias("item_id"), word_hashes(trimmed).alias("words")).where(
-        F.size("words") >= LEAST_WORDS
+    """(item_id, words) of the items that have words."""
+    trimmed = _trimmed(F.col(text))
+    return benchmark.where(F.length(trimmed) > 0).select(
+        F.col(item).alias("item_id"), word_hashes(trimmed).alias("words")
     ).distinct()
 
 
@@ -71,84 +78,120 @@ def overlaps(
     document starts inside the item). Of several overlaps with one item the best
     is given, the first of equals. NULL and empty texts on either side overlap
     nothing; equal items with different ids are all reported; rows with equal
-    keys are one document. Items of 8 to 11 words have lighter masks of
-    their own, shorter ones are left out.
+    keys are one document. Items of 8 to 11 words have lighter masks of their
+    own; shorter ones must agree in every word, those of 1 to 4 words with the
+    whole of a text. Keys may have any names; a result named like a key gets an
+    underscore behind its own. Empty tables overlap nothing.
 
     The documents are read in one pass without a shuffle: seeds are made and
-    looked up inside one piece of generated code, and only hits leave it; they
-    are written before they are judged, else the optimizer would draw the
-    judging into that code and break it up. The benchmark's seeds are counted
-    before they are broadcast.
+    looked up inside one piece of generated code, and only numbers leave it: the
+    text's digest, the item and the place. Words are fetched for these hits
+    alone, so neither the broadcast nor the shuffles carry any others. Equal
+    texts are judged once.
     """
-    items, items_path = stages.stage_at(item_words(benchmark, item, item_text), "items")
-    paths = [items_path]
-    found = [_hits(docs, items.where(F.size("words") >= LONG), keys, text, MASKS, paths)]
-    short = items.where(F.size("words") < LONG)
-    if short.limit(1).count():
-        found.append(_hits(docs, short, keys, text, SHORT_MASKS, paths))
-    hits = found[0]
-    for more in found[1:]:
-        hits = hits.union(more)
-    hits, hits_path = stages.stage_at(hits, "hits")
-    for path in paths:
-        stages.discard(docs.sparkSession, path)
-    # Agreements on one diagonal, once for all the seeds that led there.
-    agree = F.col("agree")
-    width = F.least(F.size(agree), F.lit(WINDOW))
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size(agree) - width + 1),
-        lambda s: F.aggregate(F.slice(agree, s, width), F.lit(0), lambda total, x: total + x),
+    spark = docs.sparkSession
+    items, items_path = stages.stage_at(
+        item_words(benchmark, item, item_text).withColumn("_item", F.monotonically_increasing_id()), "items"
     )
-    total = F.aggregate(agree, F.lit(0), lambda t, x: t + x)
-    judged = hits.distinct().select(
-        *keys, "item_id", total.alias("n_agree"), F.array_max(windows).alias("window_agree"), "start",
-        F.ceil(width * SHARE).alias("needed"),
-    ).where("window_agree >= needed")
+    own = docs.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(text).cast("string").alias("_text")
+    ).where("_text IS NOT NULL")
+    own = own.withColumns({"_a": F.xxhash64("_text"), "_b": F.xxhash64(F.lit("b"), "_text")})
+    # Written before they are judged, else the optimizer would draw the judging into the code that finds them.
+    hits, hits_path = stages.stage_at(_hits(own, items), "hits")
+    judged, judged_path = stages.stage_at(_judged(own, items, hits), "judged")
+    found = own.join(judged, ["_a", "_b"])
     best = F.max(F.struct("window_agree", "n_agree", (-F.col("start")).alias("before"))).alias("best")
-    return judged.groupBy(*keys, "item_id").agg(best).select(
-        *keys, "item_id", F.col("best.n_agree").cast("long").alias("n_agree"),
-        F.col("best.window_agree").cast("long").alias("window_agree"), (-F.col("best.before")).cast("long").alias("start"),
+    names = [f"_key{i}" for i in range(len(keys))]
+    given = lambda c: free(c, keys)
+    out = found.groupBy(*names, "item_id").agg(best).select(
+        *[F.col(n).alias(k) for n, k in zip(names, keys)], F.col("item_id").alias(given("item_id")),
+        F.col("best.n_agree").cast("long").alias(given("n_agree")),
+        F.col("best.window_agree").cast("long").alias(given("window_agree")),
+        (-F.col("best.before")).cast("long").alias(given("start")),
     )
+    out, _ = stages.stage_at(out, "overlaps")
+    for path in (items_path, hits_path, judged_path):
+        stages.discard(spark, path)
+    return out
+
+
+def _hits(own: DataFrame, items: DataFrame) -> DataFrame:
+    """(_a, _b, _item, at): texts and where in them the first word of an item would stand, each once."""
+    size = F.size("words")
+    bands = [(size >= LONG, MASKS), ((size < LONG) & (size >= SHORT), SHORT_MASKS)]
+    bands += [(size == n, ("1" * n,)) for n in range(FEW, SHORT)]
+    present = {r[0] for r in items.select(F.least(size, F.lit(LONG))).distinct().collect()}
+    bands = [b for b, sizes in zip(bands, (
+        {LONG}, set(range(SHORT, LONG)), *({n} for n in range(FEW, SHORT))
+    )) if present & sizes]
+    met = [_met(own, items.where(where), masks) for where, masks in bands]
+    if present & set(range(1, FEW)):
+        first = F.when(F.rlike("_text", F.lit(r"^[^\p{L}\p{N}]")), 1).otherwise(0)
+        whole = own.select("_a", "_b", word_hashes(_trimmed(F.col("_text"))).alias("_words"), first.alias("at"))
+        few = items.where(size < FEW).select("_item", F.xxhash64("words").alias("seed"))
+        met.append(whole.where(F.size("_words") < FEW).withColumn("seed", F.xxhash64("_words")).join(few, "seed").select("_a", "_b", "_item", "at"))
+    if not met:
+        return own.select("_a", "_b", F.lit(0).cast("long").alias("_item"), F.lit(0).alias("at")).limit(0)
+    hits = met[0]
+    for more in met[1:]:
+        hits = hits.unionByName(more)
+    return hits.distinct()
+
+
+def _met(own: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """Hits of the items that these masks are for."""
+    wanted = seeds(items, "words", masks).select("seed", "_item", F.col("at").alias("item_at")).distinct()
+    placed = seeds(own.select("_a", "_b", word_hashes(F.col("_text")).alias("_words")), "_words", masks)
+    if wanted.count() <= BROADCAST_SEEDS:
+        wanted = F.broadcast(wanted)
+    return placed.select("_a", "_b", "at", "seed").join(wanted, "seed").select(
+        "_a", "_b", "_item", (F.col("at") - F.col("item_at")).alias("at")
+    ).distinct()
 
 
-def _diagonals(own: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(_row, _item, at): where the first word of an item would stand, by a join of numbers only."""
-    placed = seeds(own, "_words", masks).select("_row", "at", "seed")
-    light = seeds(items, "words", masks).select("seed", "_item", F.col("at").alias("item_at")).distinct()
-    return placed.join(light, "seed").select("_row", "_item", (F.col("at") - F.col("item_at")).alias("at")).distinct()
+def _judged(own: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
+    """(_a, _b, item_id, n_agree, window_agree, start) of the hits that are overlaps."""
+    texts = own.join(hits.select("_a", "_b").distinct(), ["_a", "_b"], "left_semi")
+    words = texts.groupBy("_a", "_b").agg(F.first("_text").alias("_text")).select(
+        "_a", "_b", word_hashes(F.col("_text")).alias("_words")
+    )
+    sized = hits.join(items.select("_item", F.size("words").alias("n")), "_item")
+    # Of a text only what lies beside the item goes on; -1 keeps the places before its start.
+    first = F.greatest(F.col("at"), F.lit(0))
+    last = F.least(F.col("at") + F.col("n"), F.size("_words"))
+    beside = sized.join(words, ["_a", "_b"]).select(
+        "_a", "_b", "_item", "at", F.slice("_words", first + 1, F.greatest(last - first, F.lit(0))).alias("_part"), (first - F.col("at")).alias("_skip"),
+    )
+    laid = F.transform("words", lambda w, k: F.when(F.get("_part", k - F.col("_skip")) == w, 1).otherwise(0))
 
+    def counted(agree: Column) -> Column:
+        width = F.least(F.size(agree), F.lit(WINDOW))
+        windows = F.transform(
+            F.sequence(F.lit(1), F.size(agree) - width + 1),
+            lambda s: F.aggregate(F.slice(agree, s, width), F.lit(0), lambda total, x: total + x),
+        )
+        return F.struct(
+            F.aggregate(agree, F.lit(0), lambda total, x: total + x).alias("n_agree"), F.array_max(windows).alias("window_agree"),
+            F.when(F.size(agree) < SHORT, F.size(agree)).otherwise(F.ceil(width * SHARE)).alias("needed"),
+        )
 
-def _hits(
-    docs: DataFrame, items: DataFrame, keys: list[str], text: str, masks: tuple[str, ...], paths: list[str]
-) -> DataFrame:
-    """Hits with their agreements; ``paths`` gets the tables to discard when they are written."""
-    wanted = seeds(items, "words", masks).select("seed", "item_id", F.col("at").alias("item_at"), "words").distinct()
-    own = docs.select(*keys, word_hashes(F.col(text)).alias("_words"))
-    start = F.col("at") - F.col("item_at")
-    if wanted.count() <= BROADCAST_SEEDS:
-        met = seeds(own, "_words", masks).join(F.broadcast(wanted), "seed")
-    else:
-        # Only numbers are shuffled with the seeds; the words of both sides follow for the hits alone.
-        own, path = stages.stage_at(own.withColumn("_row", F.monotonically_increasing_id()), "document-words")
-        paths.append(path)
-        items = items.withColumn("_item", F.xxhash64("item_id", "words"))
-        met = _diagonals(own, items, masks).join(items, "_item").join(own, "_row").withColumn("item_at", F.lit(0))
-    agree = F.transform("words", lambda w, k: F.when(F.get(F.col("_words"), start + k) == w, 1).otherwise(0))
-    return met.select(*keys, "item_id", start.alias("start"), agree.alias("agree"))
+    # let: the agreements of a hit are laid out once, not once for every window.
+    return beside.join(items.select("_item", "item_id", "words"), "_item").select(
+        "_a", "_b", "item_id", F.col("at").alias("start"), F.explode(F.array(let(laid, counted))).alias("x")
+    ).select("_a", "_b", "item_id", "start", "x.n_agree", "x.window_agree", "x.needed").where("window_agree >= needed").drop("needed")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that overlap no item, all their columns as they were.
 
     A document is told by its key and text, so rows that share a key are judged
-    one by one; equal rows are judged alike.
+    one by one; equal rows are judged alike. Columns may have any names.
     """
-    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    named = docs.select(F.col(key).alias("_key"), digest.alias("_digest"), F.col(text).alias("_text"))
-    dirty, _ = stages.stage_at(
-        overlaps(named, benchmark, ["_key", "_digest"], "_text")
-        .select("_key", F.col("_digest").alias("_dirty")).distinct(),
-        "contaminated",
-    )
-    told = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_dirty"))
-    return docs.withColumn("_digest", digest).join(dirty, told, "left_anti").drop("_digest")
+    digest = free("_digest", docs.columns)
+    told = docs.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    named = told.select(F.col(key).alias("_key"), F.col(digest).alias("_dirty"), F.col(text).alias("_text"))
+    dirty = overlaps(named, benchmark, ["_key", "_dirty"], "_text").select("_key", "_dirty").distinct()
+    dirty = dirty.select(F.col("_key").alias(free("_dirty_key", told.columns)), F.col("_dirty").alias(free("_dirty", told.columns)))
+    same = told[key].eqNullSafe(dirty[dirty.columns[0]]) & (told[digest] == dirty[dirty.columns[1]])
+    return told.join(dirty, same, "left_anti").drop(digest)

@@ -142,20 +142,24 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 
 #: The same in SQL: seeds as lists of words, joined, then agreements on each diagonal.
 OP8_SQL = r"""WITH
-  items AS (SELECT DISTINCT item_id, regexp_split_to_array(lower(regexp_replace(text,
-      '^[^\pL\pN]+|[^\pL\pN]+$', '', 'g')), '[^\pL\pN]+') AS w FROM benchmark WHERE text IS NOT NULL),
-  docs AS (SELECT doc_id, text, regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+') AS w FROM documents),
-  masks(span, kept) AS (VALUES (12, [1, 2, 3, 5, 6, 9, 11, 12]), (12, [1, 2, 4, 7, 8, 9, 10, 12]),
-    (12, [1, 3, 4, 5, 6, 8, 11, 12]), (8, range(1, 9)), (9, range(1, 10)), (10, range(1, 11)), (11, range(1, 12))),
-  item_seeds AS (SELECT item_id, w, span, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
-    FROM items JOIN masks ON CASE WHEN len(w) >= 12 THEN span = 12 ELSE span = len(w) END,
+  items AS (SELECT DISTINCT item_id, regexp_split_to_array(lower(t), '[^\pL\pN]+') AS w FROM (SELECT item_id,
+      regexp_replace(text, '^[^\pL\pN]+|[^\pL\pN]+$', '', 'g') AS t FROM benchmark) WHERE t <> ''),
+  docs AS (SELECT doc_id, text, regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+') AS w,
+    regexp_split_to_array(lower(regexp_replace(text, '^[^\pL\pN]+|[^\pL\pN]+$', '', 'g')), '[^\pL\pN]+') AS own,
+    CASE WHEN regexp_matches(text, '^[^\pL\pN]') THEN 1 ELSE 0 END AS first FROM documents),
+  masks(span, kept, low, high) AS (VALUES (6, [1, 2, 4, 5, 6], 12, 1000000000), (8, [1, 2, 4, 7, 8], 12, 1000000000),
+    (11, [1, 2, 8, 10, 11], 12, 1000000000), (10, [1, 2, 3, 9, 10], 12, 1000000000),
+    (4, [1, 2, 3, 4], 8, 11), (5, [1, 2, 4, 5], 8, 11), (8, [1, 2, 7, 8], 8, 11),
+    (5, range(1, 6), 5, 5), (6, range(1, 7), 6, 6), (7, range(1, 8), 7, 7)),
+  item_seeds AS (SELECT item_id, w, span, low, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
+    FROM items JOIN masks ON len(w) BETWEEN low AND high, unnest(range(0, len(w) - span + 1)) AS t(p)),
+  used AS (SELECT DISTINCT span, low FROM item_seeds),
+  doc_seeds AS (SELECT doc_id, text, span, low, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
+    FROM docs JOIN (SELECT masks.* FROM masks JOIN used USING (span, low)) AS m ON len(w) >= span,
       unnest(range(0, len(w) - span + 1)) AS t(p)),
-  spans AS (SELECT DISTINCT span FROM item_seeds),
-  doc_seeds AS (SELECT doc_id, text, span, p AS at, list_transform(kept, lambda k: w[p + k]) AS seed
-    FROM docs JOIN masks ON span IN (SELECT span FROM spans), unnest(range(0, len(w) - span + 1)) AS t(p)
-    WHERE len(w) >= span),
   hits AS (SELECT DISTINCT d.doc_id, d.text, i.item_id, i.w AS words, d.at - i.at AS start
-    FROM doc_seeds d JOIN item_seeds i ON hash(d.seed) = hash(i.seed) AND d.seed = i.seed),
+    FROM doc_seeds d JOIN item_seeds i ON hash(d.seed) = hash(i.seed) AND d.seed = i.seed AND d.span = i.span AND d.low = i.low
+    UNION SELECT doc_id, text, item_id, items.w, first FROM docs JOIN items ON len(items.w) < 5 AND own = items.w),
   agreed AS (SELECT hits.doc_id, item_id, start, least(len(words), 13) AS width,
       list_transform(range(0, len(words)), lambda k:
         CASE WHEN start + k >= 0 AND start + k < len(docs.w) AND docs.w[start + k + 1] = words[k + 1] THEN 1 ELSE 0 END) AS agree
@@ -164,7 +168,8 @@ OP8_SQL = r"""WITH
       list_max(list_transform(range(0, len(agree) - width + 1), lambda s: list_sum(agree[s + 1:s + width]))) AS window_agree
     FROM agreed),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
-      ORDER BY window_agree DESC, n_agree DESC, start) AS place FROM judged WHERE window_agree >= ceil(width * 0.75))
+      ORDER BY window_agree DESC, n_agree DESC, start) AS place FROM judged
+    WHERE window_agree >= CASE WHEN width < 8 THEN width ELSE ceil(width * 0.75) END)
 SELECT doc_id, item_id, CAST(n_agree AS BIGINT) AS n_agree, CAST(window_agree AS BIGINT) AS window_agree,
   CAST(start AS BIGINT) AS start FROM ranked WHERE place = 1"""
 

@@ -417,11 +417,12 @@ def test_passages_with_substitutions(spark):
         got[r.doc_id].add((r.item_id, r.n_agree, r.start))
     assert got[0] == {(0, 40, 30)} and got[1] == {(0, 37, 1)} and got[2] == {(1, 12, 0)}
     assert got[3] == {(2, 12, 0)} and got[4] == {(3, 9, 0)} and got[5] == {(4, 8, 0)}
+    assert got[6] == {(5, 7, 0)}
     assert got[7] == {(0, 14, -10)} and got[12] == {(0, 40, 0), (1, 13, 80)} and got[13] == {(0, 40, 9000)}
-    assert not any(got[k] for k in (6, 8, 9, 10, 11))
+    assert not any(got[k] for k in (8, 9, 10, 11))
     left = decontaminate.clean(docs, table)
     assert left.columns == docs.columns
-    assert sorted(r.doc_id for r in left.collect()) == [6, 8, 9, 10, 11]
+    assert sorted(r.doc_id for r in left.collect()) == [8, 9, 10, 11]
     assert decontaminate.overlaps(docs.limit(0), table, ["doc_id"]).count() == 0
     assert decontaminate.clean(docs, table.limit(0)).count() == len(texts)
 
@@ -454,17 +455,51 @@ def test_short_items_with_substitutions(spark):
     assert got == {(3 * k + c, k, 20) for k in range(4) for c in (0, 1)}
 
 
-def test_words_are_not_shuffled_with_the_seeds(spark, monkeypatch):
+def test_items_of_few_words(spark):
+    items = ["one", "two words", "a b c d", "five words in a row", "six words all in a row", "seven words all here in a row", "...", "!?x"]
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["One!", "two words", "(two words)", "say two words", "A b, c d.", "x a b c d", "now Five words, in a row now", "five words in row",
+             "six words all in a row", "many seven words all here in a row", "x", "...", "", None]
+    got = {(r.doc_id, r.item_id, r.n_agree, r.start) for r in decontaminate.overlaps(docs_of(spark, texts), table, ["doc_id"]).collect()}
+    assert got == {(0, 0, 1, 0), (1, 1, 2, 0), (2, 1, 2, 1), (4, 2, 4, 0), (6, 3, 5, 1), (8, 4, 6, 0), (9, 5, 7, 1), (10, 7, 1, 0)}
+
+
+def test_only_numbers_meet_the_seeds(spark, monkeypatch):
     rng = random.Random(23)
     item = prose(rng, 20)
     table = spark.createDataFrame([(0, item), (0, item.upper() + " x"), (1, item), (2, prose(rng, 9))], "item_id long, text string")
     docs = docs_of(spark, [item, prose(rng, 500) + " " + item]).union(docs_of(spark, [prose(rng, 30) + " " + item]))
-    expected = sorted(tuple(r) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect())
-    met, given = [], decontaminate._diagonals
-    monkeypatch.setattr(decontaminate, "_diagonals", lambda *a: met.append(given(*a)) or met[-1])
-    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
-    assert sorted(tuple(r) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect()) == expected and expected
-    assert met and all(dict(m.dtypes) == {"_row": "bigint", "_item": "bigint", "at": "int"} for m in met)
+    met, given = [], decontaminate._met
+    monkeypatch.setattr(decontaminate, "_met", lambda *a: met.append(given(*a)) or met[-1])
+    expected = None
+    for bound in (200_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", bound)
+        got = sorted(tuple(r) for r in decontaminate.overlaps(docs, table, ["doc_id"]).collect())
+        assert got and got == (expected or got)
+        expected = got
+    assert met and all(dict(m.dtypes) == {"_a": "bigint", "_b": "bigint", "_item": "bigint", "at": "int"} for m in met)
+
+
+def test_a_very_long_item(spark):
+    rng = random.Random(24)
+    long = prose(rng, 50_000)
+    table = spark.createDataFrame([(0, long)], "item_id long, text string")
+    words = long.split()
+    texts = [long, " ".join(words[1000:1040]), " ".join(w if k % 4 else "other" for k, w in enumerate(words[:400])), prose(rng, 50)]
+    got = {r.doc_id: (r.window_agree, r.start) for r in decontaminate.overlaps(docs_of(spark, texts), table, ["doc_id"]).collect()}
+    assert got == {0: (13, 0), 1: (13, -1000), 2: (10, 0)}
+
+
+@pytest.mark.parametrize("name", ["at", "seed", "start", "words", "agree", "item_id", "_a", "_item", "_text", "best", "n", "text_", "_words", "_dirty"])
+def test_keys_of_any_name(spark, name):
+    rng = random.Random(25)
+    item = prose(rng, 20)
+    table = spark.createDataFrame([(7, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, prose(rng, 20)), (None, item), (3, item + " " + item)], f"`{name}` long, text string")
+    got = sorted((tuple(r) for r in decontaminate.overlaps(docs, table, [name]).collect()), key=str)
+    assert got == [(1, 7, 20, 13, 0), (3, 7, 20, 13, 0), (None, 7, 20, 13, 0)]
+    left = decontaminate.clean(docs, table, key=name)
+    assert left.columns == docs.columns and [r[0] for r in left.collect()] == [2]
 
 
 def test_passages_beyond_the_broadcast_bound(spark, sf, monkeypatch):
