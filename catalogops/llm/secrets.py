@@ -11,10 +11,12 @@ those reported stays below a bound. All of it is column expressions.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import let
+
 #: Fixed patterns of the base kinds. The last two state the least length that the kind asks for:
 #: a maximal run of at least so many characters is the same as a maximal run that is long enough.
 ASSIGN = (
@@ -48,33 +50,98 @@ FALLBACK = 2 / STEPS
 MASK = "[SECRET]"
 
 
-def _spans(text: Column, pattern: str, kind: int, keep: int | None = None, least: int = 0) -> Column:
+#: Elements that are summed up together, so that a running value takes a short walk and not one from the start.
+_RUN = 256
+#: Code points of a stretch of text out of which pieces are cut.
+_STRETCH = 4096
+
+
+def _total(part: Column) -> Column:
+    return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+
+def _greatest(part: Column) -> Column:
+    return F.coalesce(F.array_max(part), F.lit(0))
+
+
+def _with_before(values: Column, fold: Callable[[Column], Column], join: Callable[[Column, Column], Column], body: Callable) -> Column:
+    """``body(before)``: ``before(i)`` is the fold (sum or maximum) of the values ahead of place ``i``.
+
+    Runs of ``_RUN`` values are folded once, so a place costs a run at most and not all that is ahead of it.
+    """
+    def folded(all_: Column, runs: Column, ahead: Column) -> Column:
+        def before(i: Column) -> Column:
+            run = F.floor(i / _RUN).cast("int")
+            inside = F.slice(all_, run * _RUN + 1, i - run * _RUN)
+            return join(F.coalesce(F.get(ahead, run), F.lit(0)), fold(inside))
+
+        return body(before)
+
+    def runs_of(all_: Column) -> Column:
+        last = F.floor((F.size(all_) - 1) / _RUN).cast("int")
+        places = F.when(F.size(all_) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda j: fold(F.slice(all_, j * _RUN + 1, F.lit(_RUN))))
+
+    return let(values, lambda all_: let(runs_of(all_), lambda runs: let(
+        F.transform(runs, lambda _, j: fold(F.slice(runs, F.lit(1), j))), lambda ahead: folded(all_, runs, ahead)
+    )))
+
+
+def _spans(text: Column, pattern: str, kind: int, keep: int | None = None, least: int = 0, said: bool = False) -> Column:
     """array<struct(start, kind, end)> of the matches, leftmost and not overlapping, in code points.
 
     What lies between the matches is split off by the same pattern; the lengths
     of both give the places. With ``keep`` a match counts only if that group has
-    at least ``least`` characters.
+    at least ``least`` characters. With ``said`` the structs hold the match too.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
-    lengths = F.transform(found, lambda m: F.char_length(m))
     group = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(keep or 0)), lambda g: F.char_length(g))
-    total = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
-    spans = F.transform(
-        F.arrays_zip(lengths.alias("length"), group.alias("group")),
-        lambda m, i: F.struct(
-            (total(F.slice(gaps, F.lit(1), i + 1)) + total(F.slice(lengths, F.lit(1), i))).alias("start"),
-            F.lit(kind).alias("kind"), m["length"].alias("length"), m["group"].alias("group"),
-        ),
+    parts = F.zip_with(
+        F.arrays_zip(found.alias("said"), group.alias("group")), gaps,
+        lambda m, g: F.struct(m["said"].alias("said"), m["group"].alias("group"), g.alias("gap"), F.char_length(m["said"]).alias("length")),
     )
-    kept = F.filter(spans, lambda s: s["group"] >= least)
-    ended = F.transform(kept, lambda s: F.struct(
-        s["start"].alias("start"), s["kind"].alias("kind"), (s["start"] + s["length"]).alias("end")
-    ))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    # The last gap has no match behind it.
+    matches = F.filter(parts, lambda m: m["said"].isNotNull())
+
+    def placed(m: Column) -> Column:
+        return _with_before(
+            F.transform(m, lambda x: x["gap"] + x["length"]), _total, lambda a, b: a + b,
+            lambda before: F.transform(m, lambda x, i: F.struct(
+                (before(i) + x["gap"]).alias("start"), F.lit(kind).alias("kind"),
+                (before(i) + x["gap"] + x["length"]).alias("end"), x["group"].alias("group"), x["said"].alias("said"),
+            )),
+        )
+
+    kept = F.filter(let(matches, placed), lambda s: s["group"] >= least)
+    names = ["start", "kind", "end", *(["said"] if said else [])]
+    ended = F.transform(kept, lambda s: F.struct(*[s[n].alias(n) for n in names]))
+    none = F.array().cast(f"array<struct<start:int,kind:int,end:int{',said:string' if said else ''}>>")
     return F.when(F.rlike(text, F.lit(pattern)), ended).otherwise(none)
 
 
+def _rank(values: Column, x: Column) -> Column:
+    """How many of the ascending values are below ``x``: a search by halves."""
+    turns = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
+    middle = lambda s: F.floor((s["low"] + s["high"]) / 2).cast("int")
+    below = lambda s: (s["low"] < s["high"]) & F.coalesce(F.get(values, middle(s)) < x, F.lit(False))
+    return F.aggregate(
+        turns, F.struct(F.lit(0).alias("low"), F.size(values).alias("high")),
+        lambda s, _: F.struct(
+            F.when(below(s), middle(s) + 1).otherwise(s["low"]).alias("low"),
+            F.when(below(s) | (s["low"] >= s["high"]), s["high"]).otherwise(middle(s)).alias("high"),
+        ),
+        lambda s: s["low"],
+    )
+
+
+def _apart(tokens: Column, spans: Column) -> Column:
+    """The tokens that no span touches: as many spans start before a token's end as end up to its start."""
+    starts, ends = (F.array_sort(F.transform(spans, lambda s: s[c])) for c in ("start", "end"))
+    free = lambda begun, ended: F.filter(tokens, lambda t: _rank(begun, t["end"]) == _rank(ended, t["start"] + 1))
+    return F.when(F.size(spans) == 0, tokens).otherwise(let(starts, lambda begun: let(ends, lambda ended: free(begun, ended))))
+
+
 def with_base_spans(df: DataFrame, text: str, name: str = "_base") -> DataFrame:
     """Add the spans of the fixed patterns, by start and then kind. NULL counts as empty."""
     plain = F.coalesce(F.col(text), F.lit(""))
@@ -238,16 +305,16 @@ def with_spans(docs: DataFrame, least_p: Mapping[tuple[str, int], float], text:
             limit = F.when((t["encoding"] == name) & (t["length_class"] == size), p).otherwise(limit)
         return F.coalesce(t["p"] >= limit, F.lit(False))
 
-    free = F.filter(
-        _spans(F.col("_plain"), TOKEN, RANDOM),
-        lambda t: ~F.exists("base_spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+    tokens = _spans(F.col("_plain"), TOKEN, RANDOM, said=True)
+    judged = randomness(F.transform("_free", lambda t: t["said"]))
+    random = F.transform(
+        F.filter("_free", lambda t, i: passes(F.get(F.col("_judged"), i))),
+        lambda t: F.struct(*[t[c].alias(c) for c in ("start", "kind", "end")]),
     )
-    judged = randomness(F.transform("_free", lambda t: F.substring(F.col("_plain"), t["start"] + 1, t["end"] - t["start"])))
-    random = F.filter("_free", lambda t, i: passes(F.get(F.col("_judged"), i)))
     return (
-        based.withColumn("_free", free).withColumn("_judged", judged)
+        based.withColumn("_tokens", tokens).withColumn("_free", _apart(F.col("_tokens"), F.col("base_spans"))).withColumn("_judged", judged)
         .withColumn("spans", F.array_sort(F.concat("base_spans", random)))
-        .drop("_plain", "_free", "_judged")
+        .drop("_plain", "_tokens", "_free", "_judged")
     )
 
 
@@ -266,20 +333,26 @@ def redact(docs: DataFrame, text: str = "text", mask: str = MASK) -> DataFrame:
 
     Columns stay as they are but for ``text``; NULL stays NULL.
     """
-    scanned = scan(docs, text)
-    plain = F.col(text)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cut = F.aggregate(
-        "spans", start,
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when((s["start"] > a["at"]) | (a["at"] == 0), F.concat(
-                a["out"], F.substring(plain, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)
-            )).otherwise(a["out"]).alias("out"),
-        )),
-        lambda a: F.concat(a["out"], F.substring(plain, a["at"] + 1, F.char_length(plain))),
+    scanned = scan(docs, text).withColumn("_stretches", F.regexp_extract_all(
+        F.coalesce(F.col(text), F.lit("")), F.lit(rf"(?s).{{1,{_STRETCH}}}"), F.lit(0)
+    ))
+
+    def cut(start: Column, end: Column) -> Column:
+        """The text from ``start`` to ``end``, out of the stretches that hold it."""
+        first, last = (F.floor(x / _STRETCH).cast("int") for x in (start, end))
+        held = F.array_join(F.slice("_stretches", first + 1, last - first + 1), "")
+        return F.substring(held, start - first * _STRETCH + 1, end - start)
+
+    # Ahead of a span everything is written up to the farthest end of those before it.
+    kept = _with_before(
+        F.transform("spans", lambda s: s["end"]), _greatest, lambda a, b: F.greatest(a, b),
+        lambda before: F.transform("spans", lambda s, i: let(before(i), lambda at: F.when(
+            (s["end"] > at) & ((s["start"] > at) | (at == 0)), F.concat(cut(at, s["start"]), F.lit(mask))
+        ).otherwise(""))),
     )
-    return scanned.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(plain)).select(*docs.columns)
+    end = F.array_max(F.transform("spans", lambda s: s["end"]))
+    masked = F.concat(F.array_join(kept, ""), cut(end, F.char_length(text)))
+    return scanned.withColumn(text, F.when(F.size("spans") > 0, masked).otherwise(F.col(text))).select(*docs.columns)
 
 
 def spans_text(spans: Column) -> Column:

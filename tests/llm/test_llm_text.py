@@ -395,6 +395,31 @@ def test_recall_of_planted_links(spark):
     assert sum(got.values()) >= 0.99 * sum(true.values()) and all(got[i] <= true[i] for i in true)
 
 
+# --- long texts with many secrets
+
+def test_spans_and_masks_of_a_long_text(spark):
+    rng = random.Random(26)
+    letters = "abcdefABCDEFGHxyz0123456789"
+    tokens = ["".join(rng.choice(letters) for _ in range(rng.choice([24, 32, 40]))) for _ in range(5000)]
+    text = "".join(rng.choice(["token = ", "é ", "secret:", " AKIA", "😀 0123456789abcdef0", "password=abcdefabcdefabcdef99 "]) + t + rng.choice([" ", "\n", "."]) for t in tokens)
+    docs = docs_of(spark, [text, "no secret here", None, "", text[:70]])
+    rows = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    for k, t in ((0, text), (4, text[:70])):
+        assert [(s.start, s.kind, s.end) for s in rows[k].base_spans] == base_spans(t)
+        extra = [s for s in rows[k].spans if s.kind == secrets.RANDOM]
+        assert all(not any(b.start < s.end and s.start < b.end for b in rows[k].base_spans) for s in extra)
+        assert all(re.fullmatch(secrets.TOKEN, t[s.start:s.end]) for s in extra)
+    assert len(rows[0].base_spans) > 2500 and any(s.kind == secrets.RANDOM for s in rows[0].spans)
+    masked = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    out, at = "", 0
+    for s in rows[0].spans:
+        if s.end > at:
+            out += text[at:s.start] + secrets.MASK if s.start > at or at == 0 else ""
+            at = s.end
+    assert masked[0] == out + text[at:]
+    assert masked[1] == "no secret here" and masked[2] is None and masked[3] == ""
+
+
 # --- contamination
 
 def test_passages_with_substitutions(spark):
