@@ -32,7 +32,7 @@ _NAME_PARTS = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Content that is not markup, up to the element's own end tag.
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s"
     " samp small span strike strong sub sup time tt u var wbr".split()
@@ -40,9 +40,10 @@ INLINE = frozenset(
 #: Elements that are no part of an article by their name.
 NOT_ARTICLE = frozenset(
     "nav footer aside form script style noscript template iframe button select option dialog menu"
-    " textarea svg math object canvas audio video head".split()
+    " textarea canvas audio video head".split()
 )
-#: Words that name such parts in a class, id or role.
+#: Words that name such parts as a class, id or role. They act outside articles only, and on whole names or on
+#: names made of nothing else but such words and those of ``_LAYOUT_WORDS``.
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo promotion"
     " nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer masthead"
@@ -55,6 +56,13 @@ _TEASER_WORDS = frozenset(
     "teaser teasers promo promotion related recommended sponsor sponsored advert advertisement ad ads".split()
 )
 _COMMENT_WORDS = frozenset("comment comments disqus reply replies respond".split())
+#: The only words that act inside articles, as class or role: adverts and the comments of readers.
+_SURE_WORDS = _COMMENT_WORDS | frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored disqus".split())
+#: Words that say nothing about what a part holds.
+_LAYOUT_WORDS = frozenset(
+    "site page main top bottom left right inner outer bar box list item items wrap wrapper container section block slot"
+    " area group panel link links button buttons global primary secondary form".split()
+)
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr main menu nav ol p pre section table ul".split()
@@ -79,12 +87,13 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks as (place, text, article number, inside main), and layouts as (place, children).
+    """Blocks as (place, text, article number, inside main, named as no article), and layouts as (place, children).
 
-    ``teasers`` are the numbers of the articles that their markup names so.
+    All blocks are there for the tree, also those that the markup names as menus
+    and the like. ``teasers`` are the numbers of the articles named so.
     """
 
-    blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)
+    blocks: list[tuple[int, str, int, bool, bool]] = field(default_factory=list)
     layouts: list[tuple[int, int]] = field(default_factory=list)
     teasers: set[int] = field(default_factory=set)
 
@@ -94,20 +103,31 @@ def _signed(text: str, seed: int = 0) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
-def _attributes(text: str) -> tuple[str, set[str], bool]:
-    """Classes as written, the words of class, id and role, and whether the element is hidden."""
-    classes, words, hidden = "", set(), False
+def _attributes(text: str) -> tuple[str, list[str], list[str], bool]:
+    """Classes as written, the names in class and role, those in id, and whether the element is hidden."""
+    classes, names, ids, hidden = "", [], [], False
     for name, *values, alone in _ATTRIBUTE.findall(text):
         value = next((v for v in values if v), "").lower()
         name = name.lower()
         if alone:
             hidden = True
-        elif name in ("class", "id", "role"):
-            words.update(_NAME_PARTS.findall(value))
+        elif name in ("class", "role"):
+            names += value.split()
             classes = value if name == "class" else classes
+        elif name == "id":
+            ids += value.split()
         elif name == "style" and "display:none" in value.replace(" ", ""):
             hidden = True
-    return classes, words, hidden
+    return classes, names, ids, hidden
+
+
+def _names_any(names: list[str], words: frozenset[str]) -> bool:
+    """Is some name one of the words, or put together from them and words of layout?"""
+    for name in names:
+        parts = set(_NAME_PARTS.findall(name))
+        if parts & words and not parts - words - _LAYOUT_WORDS:
+            return True
+    return False
 
 
 def parse(source: str) -> Page:
@@ -122,8 +142,8 @@ def parse(source: str) -> Page:
             text = " ".join(_html.unescape("".join(held)).split())
             held.clear()
             top = next(e for e in reversed(stack) if e.tag not in INLINE)
-            if text and not top.noise:
-                page.blocks.append((top.place, text, top.article, top.main))
+            if text:
+                page.blocks.append((top.place, text, top.article, top.main, top.noise))
 
     def close(upto: int) -> None:
         while len(stack) > upto:
@@ -173,27 +193,32 @@ def parse(source: str) -> Page:
                 k -= 1
             if k and stack[k].tag in _CLOSES_SELF[tag]:
                 close(k)
-        classes, words, hidden = _attributes(m[3]) if "=" in m[3] or "hidden" in m[3] else ("", set(), False)
+        classes, names, ids, hidden = _attributes(m[3]) if "=" in m[3] or "hidden" in m[3] else ("", [], [], False)
         if tag in ("article", "main", "body") and stack[-1].noise and not stack[-1].comments:
             # An unclosed menu or advert does not swallow the article after it.
             close(next(k for k in range(1, len(stack)) if stack[k].noise))
         top = stack[-1]
-        named = bool(words & NOISE_WORDS) and tag not in ("html", "body", "article", "main")
-        site_head = (tag == "header" or "header" in words and tag == "div") and not top.article
+        frame = tag in ("html", "body", "article", "main")
+        if top.article:
+            named, site_head = not frame and _names_any(names, _SURE_WORDS), False
+        else:
+            named = not frame and _names_any(names + ids, NOISE_WORDS)
+            site_head = tag == "header" or tag == "div" and _names_any(names + ids, frozenset({"header"}))
         noise = top.noise or hidden or named or tag in NOT_ARTICLE or site_head
-        if tag == "article" and words & _COMMENT_WORDS:
+        commented = _names_any(names + ids if not top.article else names, _COMMENT_WORDS)
+        if tag == "article" and commented:
             noise = True
-        comments = top.comments or bool(words & _COMMENT_WORDS)
+        comments = top.comments or commented
         article = top.article
         if tag == "article" and not article and not noise:
             articles += 1
             article = articles
-            if words & _TEASER_WORDS:
+            if _names_any(names + ids, _TEASER_WORDS):
                 page.teasers.add(article)
         place = top.place if tag in INLINE else _signed(f"{tag}.{classes}", top.place)
         if tag not in INLINE:
             top.children.append(place)
-        main = top.main or tag == "main" or "main" in words and tag in ("div", "section")
+        main = top.main or tag == "main" or "main" in names + ids and tag in ("div", "section")
         stack.append(Element(tag, place, noise, comments, article, main))
     flush()
     close(0)
@@ -203,8 +228,8 @@ def parse(source: str) -> Page:
 def site_features(page: Page) -> set[tuple[int, int, int]]:
     """(place, kind, feature): kind 0 the page itself, 1 content, 2 presentation."""
     return (
-        {(p, 0, 0) for p, _, _, _ in page.blocks}
-        | {(p, 1, _signed(text)) for p, text, _, _ in page.blocks}
+        {(p, 0, 0) for p, *_ in page.blocks}
+        | {(p, 1, _signed(text)) for p, text, *_ in page.blocks}
         | {(p, 2, layout) for p, layout in page.layouts}
     )
 
@@ -217,20 +242,21 @@ def main_text(page: Page, low: set[int]) -> str:
     where the low branches would take more than half of the text, as they do on
     a site of near copies.
     """
+    own = [(p, t, a, m) for p, t, a, m, named in page.blocks if not named]
     sizes: dict[int, int] = {}
-    for _, text, article, _ in page.blocks:
+    for _, text, article, _ in own:
         if article:
             sizes[article] = sizes.get(article, 0) + len(text)
     if sizes:
         best = set(sizes) - page.teasers or {max(sizes, key=lambda k: (sizes[k], -k))}
-        blocks = [(p, t) for p, t, a, _ in page.blocks if a in best]
+        blocks = [(p, t) for p, t, a, _ in own if a in best]
         held: dict[int, int] = {}
         for p, t in blocks:
             held[p] = held.get(p, 0) + len(t)
         if 2 * sum(n for p, n in held.items() if p in low) > sum(held.values()):
             low = low - {max(held, key=held.__getitem__)}
     else:
-        blocks = [(p, t) for p, t, _, m in page.blocks if m] or [(p, t) for p, t, _, _ in page.blocks]
+        blocks = [(p, t) for p, t, _, m in own if m] or [(p, t) for p, t, _, _ in own]
     kept = [t for p, t in blocks if p not in low]
     return " ".join(kept or [t for _, t in blocks])
 

@@ -1,6 +1,7 @@
 """Sharding, URL rules, archives, page text and encoding against short sequential versions."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -215,6 +216,70 @@ def test_style_tree_cuts_what_all_pages_share(spark):
     assert min(r.content for r in tree) == pytest.approx(0) and max(r.pages for r in tree) == 30
 
 
+@pytest.mark.parametrize("part", [
+    "<h2 id='sharing-data'>kept</h2>", "<div class='search-algorithms'>kept</div>", "<section id='related-work'><p>kept</p></section>",
+    "<p class='alert'>kept</p>", "<p><math><mi>kept</mi></math></p>", "<svg><text>kept</text></svg>", "<object>kept</object>",
+])
+def test_articles_keep_what_their_markup_names(part):
+    assert html.main_text(html.parse(f"<article><p>a</p>{part}<p>z</p></article>"), set()) == "a kept z"
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='ad'>x</div>", "<div class='ad-slot'>x</div>", "<ol class='comment-list'><li>x</ol>", "<aside>x</aside>", "<nav>x</nav>",
+    "<form>x</form>", "<p hidden>x</p>", "<script>x</script>", "<style>x</style>",
+])
+def test_articles_lose_what_is_none_of_them(part):
+    assert html.main_text(html.parse(f"<article><p>a</p>{part}<p>z</p></article>"), set()) == "a z"
+
+
+@pytest.mark.parametrize("part, kept", [
+    ("<div class='cookie-banner'>x</div>", False), ("<div id='sidebar'>x</div>", False), ("<div role='navigation'>x</div>", False),
+    ("<div class='search-algorithms'>x</div>", True), ("<div class='noticeboard-history'>x</div>", True),
+])
+def test_names_outside_articles(part, kept):
+    assert html.main_text(html.parse(f"<p>a</p>{part}"), set()) == ("a x" if kept else "a")
+
+
+def plain_tree(pages):
+    """Importance of every place of one site, by dictionaries."""
+    seen = {p: html.site_features(html.parse(p)) for p in set(pages)}
+    counts = Counter(f for features in seen.values() for f in features)
+    out = {}
+    for place in {p for p, kind, _ in counts if kind == 0}:
+        n = counts[place, 0, 0]
+        texts, layouts = ([c for (p, k, _), c in counts.items() if p == place and k == kind] for kind in (1, 2))
+        if n == 1:
+            out[place] = (1, 1.0, 1.0)
+            continue
+        content = 1 - sum(math.log(c) for c in texts) / len(texts) / math.log(n)
+        total = sum(layouts)
+        entropy = -sum(c / total * math.log(c / total) for c in layouts) if total else 0.0
+        out[place] = (n, content, min(1.0, entropy / math.log(n)))
+    return out
+
+
+def test_tree_equals_the_plain_one_and_cuts_without_any_name(spark):
+    rng = random.Random(31)
+    sources = []
+    for k in range(25):
+        story = "".join(f"<p>{rng.choice('abc')} story {rng.randrange(1000)}</p>" for _ in range(rng.randrange(1, 4)))
+        sources.append(
+            "<div class=q1><a href=/>Home</a><a href=/n>News</a></div><div class=q2>We use small files.</div>"
+            f"<article><h1>Title {k}</h1>{story}<div class=q3>Tell your friends</div></article><div class=q4>All rights</div>"
+        )
+    sources += sources[:4] + ["<div class=q1>alone</div>"]
+    pages = spark.createDataFrame([(k, "http://t.org/x", h) for k, h in enumerate(sources)], "page_id long, url string, html string")
+    got = {r.place: (r.pages, r.content, r.presentation) for r in html.style_tree(pages).collect()}
+    expected = plain_tree(sources)
+    assert got.keys() == expected.keys()
+    assert all(got[p] == pytest.approx(expected[p]) for p in expected)
+    texts = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert all(texts[k].startswith(f"Title {k} ") and "friends" not in texts[k] and "story" in texts[k] for k in range(25))
+    bare = spark.createDataFrame([(k, "http://u.org/x", h.replace("article", "div")) for k, h in enumerate(sources[:25])], "page_id long, url string, html string")
+    for r in html.extract(bare).collect():
+        assert r.text.startswith(f"Title {r.page_id} ") and not any(w in r.text for w in ("Home", "files", "friends", "rights"))
+
+
 # --- encoding
 
 @pytest.fixture(scope="module")
