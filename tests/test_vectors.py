@@ -197,12 +197,12 @@ def edges_frame(spark, lists):
     return spark.createDataFrame(rows, "id long, neighbour long, sim double, rank int")
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_leaders_equal_the_sequential_loop(spark, seed):
+@pytest.mark.parametrize("seed, block", [(0, 50_000), (1, 4), (2, 7), (3, 20)])
+def test_leaders_equal_the_sequential_loop(spark, seed, block):
     rng = random.Random(seed)
     n = 60
     lists = {i: rng.sample([j for j in range(n) if j != i], rng.randint(0, 3)) for i in range(n)}
-    got = clusters.leader_assignment(edges_frame(spark, lists))
+    got = clusters.leader_assignment(edges_frame(spark, lists), block)
     assert {r.member: r.leader for r in got.collect()} == sequential_leaders(range(n), lists)
 
 
@@ -227,6 +227,17 @@ def test_chain_of_many_rounds_and_of_one(spark):
     assert got == [(2, 0)]
 
 
+def test_rounds_follow_blocks_and_not_the_chain(spark, monkeypatch):
+    rounds = []
+    stage_at = clusters.stage_at
+    monkeypatch.setattr(clusters, "stage_at", lambda df, name: rounds.append(name) or stage_at(df, name))
+    far = 1 << 60  # ids beyond what a double holds
+    lists = {far + i: [far + i + 1] for i in range(400)} | {i: [i + 1, 5000] for i in range(1000, 1400)}
+    got = {r.member: r.leader for r in clusters.leader_assignment(edges_frame(spark, lists), 200).collect()}
+    assert got == sequential_leaders(lists, lists)
+    assert len(rounds) - 1 <= 5  # 801 listed ids in blocks of 200; the first write is no round
+
+
 def test_no_edges_no_clusters(spark):
     empty = edges_frame(spark, {1: [2]}).where("id > 5")
     assert clusters.cluster_table(clusters.leader_assignment(empty)).count() == 0
