@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.replies import clean_reply
 from ..functions.text import col, folded, word_prefix
+from ..sources.stages import discard, stage, stage_at
 
 REPLY = "struct<canonical_name: string, merged: array<string>>"
 
@@ -133,6 +134,116 @@ def merge_key(
     return F.array_join(words, " ")
 
 
+# Words shorter than this are another word when one letter changes ("cat", "cot").
+SPELLED = 5
+# How many times as frequent a word must be to be the standard of another one.
+DOMINANCE = 2.0
+
+
+# Words up to one letter longer meet by what is left without one letter, words from there on by halves.
+LONG = 24
+
+
+def _meeting_forms(word: Column) -> Column:
+    """Texts of which two words have one in common if one edit makes them equal.
+
+    Up to ``LONG`` + 1 letters: the word, and what is left of it without each of
+    its letters. From there on, where those would be long and many: its front
+    and back half for its own length and for a word that is one letter shorter,
+    as one edit leaves one half alone.
+    """
+    n = F.length(word)
+    short = F.transform(
+        F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, n))
+    )
+    half = lambda m: F.floor(m / 2).cast("int")
+    halves = [
+        form for m in (n, n - 1) for form in (
+            F.concat(F.lit("<"), m.cast("string"), F.substring(word, F.lit(1), half(m))),
+            F.concat(F.lit(">"), m.cast("string"), F.substring(word, n - m + half(m) + 1, m - half(m))),
+        )
+    ]
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(
+        F.when(n <= LONG + 1, F.concat(F.array(word), short)).otherwise(none),
+        F.when(n > LONG, F.array(*halves)).otherwise(none),
+    ))
+
+
+def name_words(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(keep, pos, word)``: the words of a name in the form that merge keys compare."""
+    words = F.split(merge_key(column, spellings={}), " ")
+    return df.select(*keep, F.posexplode(words).alias("pos", "word"))
+
+
+def spelling_classes(
+    words: DataFrame, word: str = "word", least: int = SPELLED, dominance: float = DOMINANCE
+) -> DataFrame:
+    """``(variant, standard)`` of words that are another word with one letter added, left out or changed.
+
+    ``words`` holds one row per occurrence. A word of at least ``least`` letters
+    and no digit is a variant of the most frequent word within one edit that is
+    at least ``dominance`` times as frequent as it, ties to the alphabetically
+    first; that word may be a variant itself, and the last of the walk is the
+    standard. Counts rise along it, so the walk ends and there are no circles.
+    Words with digits are sizes and codes and never meet; NULL is no word. A
+    ``dominance`` of one or less is refused: equal counts have no order.
+
+    Words meet by equality of ``_meeting_forms`` and are then compared. Copies
+    are counted before any shuffle, and a form of a short word is shared only by
+    words that are one letter more than it.
+    """
+    if dominance <= 1:
+        raise ValueError("dominance must be above 1")
+    spark = words.sparkSession
+    w = F.col("word")
+    counted = stage(
+        words.select(F.col(word).alias("word")).where((F.length("word") >= least) & ~w.rlike("[0-9]"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n")),
+        "word-counts",
+    )
+    forms = counted.select("word", "n", F.explode(_meeting_forms(w)).alias("form"))
+    other = forms.select(F.col("word").alias("other"), F.col("n").alias("m"), "form")
+    near = (F.col("m") >= dominance * F.col("n")) & (F.levenshtein("word", "other", 1) == 1)
+    chosen = F.min(F.struct((-F.col("m")).alias("rank"), "other"))["other"].alias("standard")
+    hops = forms.join(other, "form").where(near).groupBy("word").agg(chosen)
+    return _last_hop(spark, hops.withColumnRenamed("word", "variant"))
+
+
+def _last_hop(spark: SparkSession, hops: DataFrame) -> DataFrame:
+    """Follow ``standard`` to its end, twice as far in each round."""
+    here, path = stage_at(hops, "spelling-hops")
+    while True:
+        onward = here.select(F.col("variant").alias("_from"), F.col("standard").alias("_to"))
+        joined, next_path = stage_at(
+            here.join(onward, F.col("standard") == F.col("_from"), "left").select(
+                "variant", F.coalesce("_to", "standard").alias("standard"), F.col("_to").isNotNull().alias("_moved")
+            ),
+            "spelling-hops",
+        )
+        discard(spark, path)
+        here, path = joined.drop("_moved"), next_path
+        if joined.where("_moved").isEmpty():
+            return here
+
+
+def respelled_key(df: DataFrame, column: str, classes: DataFrame, name: str = "merge_key") -> DataFrame:
+    """Add the merge key of ``column`` with every word in its standard spelling.
+
+    ``classes`` is ``(variant, standard)``; it grows with the words and carries
+    no broadcast hint. Each different name is looked up once; a NULL name has a
+    NULL key.
+    """
+    names = df.select(F.col(column).alias("_name")).where(F.col(column).isNotNull()).distinct()
+    table = classes.select(F.col("variant").alias("word"), "standard")
+    spelled = name_words(names, "_name", ["_name"]).join(table, "word", "left")
+    placed = F.struct("pos", F.coalesce("standard", "word").alias("w"))
+    keys = spelled.groupBy("_name").agg(F.array_join(F.array_sort(F.collect_list(placed))["w"], " ").alias("_key"))
+    return df.join(keys, F.col(column) == F.col("_name"), "left").select(
+        *[c for c in df.columns if c != name], F.col("_key").alias(name)
+    )
+
+
 def title(c: Column | str) -> Column:
     """Upper-case first letters, keep the rest, and write ``&`` for ``And``."""
     words = F.transform(
@@ -162,11 +273,18 @@ def pick_names(
 
 
 def merge_by_key(
-    df: DataFrame, column: str, entity_words: Sequence[str] = (), **key_options
+    df: DataFrame, column: str, entity_words: Sequence[str] = (), classes: DataFrame | None = None, **key_options
 ) -> DataFrame:
-    """Synonym map ``(member, canonical)`` from merge keys, without a model."""
+    """Synonym map ``(member, canonical)`` from merge keys, without a model.
+
+    With ``classes`` (``spelling_classes``) spelling variants merge too, in
+    place of the listed ``spellings``.
+    """
     names = df.select(F.col(column).alias("member")).dropna().distinct()
-    keyed = names.withColumn("merge_key", merge_key("member", **key_options))
+    if classes is not None:
+        keyed = respelled_key(names, "member", classes)
+    else:
+        keyed = names.withColumn("merge_key", merge_key("member", **key_options))
     best = pick_names(keyed, "merge_key", "member", entity_words)
     merged = best.where("n_names > 1").select("merge_key", "canonical")
     return keyed.join(merged, "merge_key").select("member", "canonical")

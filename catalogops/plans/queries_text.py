@@ -261,6 +261,58 @@ def merge_key_groups(spark, sf):
     )
 
 
+# --- spelling variants by rule, over all words of all texts
+
+# Of two words of five or more letters that one edit makes equal, the first two or the last two letters agree.
+SPELLING = """counted AS MATERIALIZED (SELECT word, count(*) AS n FROM said WHERE length(word) >= 5 AND NOT regexp_matches(word, '[0-9]') GROUP BY 1),
+  met AS (SELECT a.word AS variant, b.word AS other, b.n AS m FROM counted a JOIN counted b
+          ON a.word[1:2] = b.word[1:2] AND b.n >= 2 * a.n AND abs(length(a.word) - length(b.word)) <= 1
+          UNION SELECT a.word, b.word, b.n FROM counted a JOIN counted b
+          ON a.word[-2:] = b.word[-2:] AND b.n >= 2 * a.n AND abs(length(a.word) - length(b.word)) <= 1),
+  hops AS MATERIALIZED (SELECT variant, other AS standard FROM met WHERE levenshtein(variant, other) = 1
+          QUALIFY row_number() OVER (PARTITION BY variant ORDER BY m DESC, other) = 1),
+  walked(variant, standard) AS (SELECT variant, standard FROM hops
+          UNION ALL SELECT w.variant, h.standard FROM walked w JOIN hops h ON h.variant = w.standard),
+  classes AS (SELECT * FROM walked WHERE standard NOT IN (SELECT variant FROM hops))"""
+
+
+@query(
+    "spelling_classes",
+    f"""WITH RECURSIVE said AS (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents),
+      {SPELLING} SELECT variant, standard FROM classes""",
+)
+def spelling_classes(spark, sf):
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    return canonical.spelling_classes(read(spark, sf, "documents").select(F.explode(words).alias("word")))
+
+
+SLIPS = """names AS (SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN replace(p_name, 'dg', 'g') WHEN 1 THEN replace(p_name, 'z', 's')
+    WHEN 2 THEN replace(p_name, 'lt', 'llt') ELSE p_name END || ' ' || p_size AS name FROM part),
+  placed AS (SELECT name, unnest(string_split(lower(name), ' ')) AS form, generate_subscripts(string_split(lower(name), ' '), 1) AS pos
+    FROM names),
+  worded AS (SELECT name, pos, regexp_replace(form, '([^s0-9]{3})s$', '\\1') AS word FROM placed),
+  said AS (SELECT word FROM worded)"""
+
+
+@query(
+    "respelled_groups",
+    f"""WITH RECURSIVE {SLIPS}, {SPELLING},
+      keyed AS (SELECT name, string_agg(coalesce(standard, word), ' ' ORDER BY pos) AS merge_key
+        FROM (SELECT DISTINCT name, pos, word FROM worded) LEFT JOIN classes ON variant = word GROUP BY 1)
+      SELECT merge_key, count(*) AS n_names FROM keyed GROUP BY 1""",
+)
+def respelled_groups(spark, sf):
+    name, kind = F.col("p_name"), F.col("p_partkey") % 9
+    slip = (
+        F.when(kind == 0, F.replace(name, F.lit("dg"), F.lit("g"))).when(kind == 1, F.replace(name, F.lit("z"), F.lit("s")))
+        .when(kind == 2, F.replace(name, F.lit("lt"), F.lit("llt"))).otherwise(name)
+    )
+    names = read(spark, sf, "part").select(F.concat_ws(" ", slip, F.col("p_size").cast("string")).alias("name"))
+    classes = canonical.spelling_classes(canonical.name_words(names, "name"))
+    keyed = canonical.respelled_key(names.distinct(), "name", classes)
+    return keyed.groupBy("merge_key").agg(F.count(F.lit(1)).alias("n_names"))
+
+
 @query(
     "canonical_pick",
     f"""WITH {NAMES}, u AS (SELECT DISTINCT merge_key, name FROM keyed),

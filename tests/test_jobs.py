@@ -1,6 +1,7 @@
 """Sources, inference, canonical names, resumable steps, streaming, whole job."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,84 @@ def test_merge_keys(spark, a, b, same):
     assert (r.a == r.b) is same
 
 
+def one_edit(a, b):
+    """Whether one letter added, left out or changed makes them equal."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    at = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+    return a[at:] == b[at + 1:] if len(a) < len(b) else a[at + 1:] == b[at + 1:]
+
+
+def plain_classes(counts, least=5):
+    words = [w for w in counts if len(w) >= least and not any(c.isdigit() for c in w)]
+    hop = {}
+    for w in words:
+        near = [(-counts[o], o) for o in words if counts[o] >= 2 * counts[w] and one_edit(w, o)]
+        if near:
+            hop[w] = min(near)[1]
+    last = lambda w: last(hop[w]) if w in hop else w
+    return {w: last(w) for w in hop}
+
+
+def edited(rng, word, letters="abcdefghijklmnopqrstuvwxyz"):
+    at, kind = rng.randrange(len(word)), rng.randrange(3)
+    return word[:at] + ("" if kind == 0 else rng.choice(letters)) + word[at + (kind < 2):]
+
+
+def spelled(spark, counts):
+    rows = [(w, n) for w, n in counts.items()]
+    df = spark.createDataFrame(rows, "word string, n int").selectExpr("word", "explode(sequence(1, n)) AS i")
+    return {r.variant: r.standard for r in canonical.spelling_classes(df).collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_spelling_classes_are_the_plain_ones(spark, seed):
+    rng = random.Random(seed)
+    # Few letters make dense neighbourhoods; lengths run across the one where halves take over.
+    counts = {}
+    for size in (4, 5, 6, 23, 24, 25, 26, 40):
+        for _ in range(12):
+            word = "".join(rng.choice("ab") for _ in range(size))
+            counts[word] = rng.randint(1, 40)
+            for _ in range(4):
+                word = edited(rng, word, "ab")
+                counts[word] = rng.randint(1, 40)
+    counts |= {"size12a": 9, "size12b": 1, "x" * 5000: 3, "x" * 4999: 1}
+    assert spelled(spark, counts) == plain_classes(counts)
+
+
+def test_planted_spelling_variants(spark):
+    rng = random.Random(7)
+    words = {"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(5, 11))) for _ in range(600)}
+    counts = {w: rng.randint(20, 200) for w in sorted(words)}
+    planted = {}
+    for w in rng.sample(sorted(words), 300):
+        v = edited(rng, w)
+        if v not in counts and len(v) >= 5:
+            planted[v] = w
+            counts[v] = rng.randint(1, 9)
+    got = spelled(spark, counts)
+    right = sum(got.get(v) == w for v, w in planted.items())
+    assert right >= 0.98 * len(planted) and right >= 0.98 * len(got)
+
+
+def test_respelled_keys_and_names(spark):
+    names = ["Grey Widget 10"] * 4 + ["grey widgets 10", "Grey Widgget 10", "Grey Widget 12", "Hot Widget", "Hot Wiget", None, ""]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    classes = canonical.spelling_classes(canonical.name_words(df, "p"))
+    keys = {r.p: r.merge_key for r in canonical.respelled_key(df, "p", classes).collect()}
+    assert keys["Grey Widgget 10"] == keys["grey widgets 10"] == "grey widget 10" != keys["Grey Widget 12"]
+    assert keys[None] is None and keys[""] == ""
+    merged = {r.member: r.canonical for r in canonical.merge_by_key(df, "p", classes=classes).collect()}
+    assert merged["Hot Wiget"] == merged["Hot Widget"] and "Grey Widget 12" not in merged
+    empty = canonical.spelling_classes(df.where("p = 'none'").withColumnRenamed("p", "word"))
+    assert empty.count() == 0
+    with pytest.raises(ValueError):
+        canonical.spelling_classes(df, "p", dominance=1)
+
+
 def test_merge_by_key_picks_a_name(spark):
     names = ["paint roller", "Paint Rollers", "PAINT-ROLLERS", "PVC And ABS tubes", "PVC & ABS Tube", "Lonely"]
     df = spark.createDataFrame([(n,) for n in names], "p string")
