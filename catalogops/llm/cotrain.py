@@ -307,11 +307,15 @@ def fit(
     sample, _ = stages.stage_at(label_sample(labels, key, label), "label-sample")
     small = F.broadcast(sample)  # at most LABELLED rows
     columns = (text, lang, source, length)
+    given = docs.join(small, F.col(key) == F.col("_label_key")).select(
+        *[F.col(c).cast("double" if c == length else "string").alias(n)
+          for c, n in zip(columns, ("text", "lang", "source", "length"))], "_label_key", "_y", "_teaches",
+    )
+    # One row of a key, that of the least text digest: the sample stays bounded where keys repeat.
+    order = F.struct(F.md5("text").alias("digest"), "source", "lang", "length", "text")
+    one = given.groupBy("_label_key", "_y", "_teaches").agg(F.min(order).alias("one"))
     labelled, labelled_path = stages.stage_at(
-        docs.join(small, F.col(key) == F.col("_label_key")).select(
-            *[F.col(c).cast("double" if c == length else "string").alias(n)
-              for c, n in zip(columns, ("text", "lang", "source", "length"))], "_y", "_teaches",
-        ), "labelled",
+        one.select(*[F.col(f"one.{n}").alias(n) for n in ("text", "lang", "source", "length")], "_y", "_teaches"), "labelled"
     )
     counts, shapes, hot, y, teaches = _start(labelled)
     if not (0 < y.sum() < len(y)) or not counts[0].any() or not counts[1].any():

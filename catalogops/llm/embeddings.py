@@ -119,11 +119,12 @@ def link(
         .withColumn("_node", F.monotonically_increasing_id()),
         "vectors",
     )
-    sizes = {r[0]: r[1] for r in nodes.groupBy(F.size("_vec").alias("d")).count().orderBy(F.desc("count")).limit(64).collect()}
-    bits, tables = table_shape(sum(sizes.values()), threshold, recall)
+    # One row comes back, however many lengths there are: all vectors counted, and the commonest length.
+    sizes = nodes.groupBy(F.size("_vec").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    total, main = sizes.agg(F.sum("n"), F.max(F.struct("n", "d"))["d"]).first()
+    bits, tables = table_shape(total or 0, threshold, recall)
     models: dict[int, Quantiser] = {}
-    if sizes:
-        main = next(iter(sizes))
+    if main is not None:
         sample = (
             nodes.where(F.size("_vec") == main).select("_vec", F.xxhash64("_vec").alias("h")).orderBy("h").limit(FIT_ROWS)
             .select("_vec").toArrow()
