@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and tokens that pass for random.
 
 Tokens of letters and digits are given the encoding their characters suggest.
-Three tests of randomness (even use of the alphabet, runs, serial correlation)
-are combined into one p-value; names, words and counters fail one of them. How
+Tests of randomness (even use of the alphabet, runs in the order of the alphabet
+and in kinds of symbols, serial correlation) are combined into one p-value;
+names, words and counters fail one of them. How
 large the p-value must be is set for each encoding and length class from all
 tokens of the corpus, so that the expected share of structured tokens among
 those reported stays below a bound. All of it is column expressions.
@@ -25,7 +26,7 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 ASSIGN_LENGTH = 12
-TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+TOKEN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 KINDS = ("assign", "access", "hex", "random")
 RANDOM = len(KINDS) - 1
 
@@ -34,11 +35,13 @@ ENCODINGS = {
     "hex": (r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
     "base32": (r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     "base36": (r"^(?=.*[0-9])(?=.*[a-zA-Z])([0-9a-z]+|[0-9A-Z]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    "letters": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     "base64": (
         r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+=*$",
         "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     ),
 }
+_VOWELS = "aeiouAEIOU"
 #: Expected share of structured tokens among the reported ones, at most.
 FALSE_DISCOVERIES = 0.05
 #: Steps of the p-value at which that share is estimated.
@@ -170,13 +173,54 @@ def _with(s: Column, kept: str, **more: Column) -> Column:
     return F.struct(*[s[f].alias(f) for f in kept.split()], *[c.alias(n) for n, c in more.items()])
 
 
+def _kind_shares(symbols: str) -> dict[str, float]:
+    """Of a random symbol of the alphabet: sums of squares and cubes of the shares of kinds, share of vowels in letters."""
+    kinds = [sum(map(test, symbols)) / len(symbols) for test in (str.isupper, str.islower, str.isdigit)]
+    kinds.append(1 - sum(kinds))
+    letters = [c for c in symbols if c.isalpha()]
+    return {"squares": sum(k ** 2 for k in kinds), "cubes": sum(k ** 3 for k in kinds),
+            "vowels": sum(c in _VOWELS for c in letters) / len(letters)}
+
+
+def _wording(name: Column, text: Column) -> Column:
+    """How much like words a token looks: near standard normal for random symbols, large for joined words.
+
+    Words keep to one kind of symbols (upper or lower case, digits, signs) for
+    longer, and their vowels and consonants take turns more often. Both are
+    counted by runs, with the exact mean and variance for independent symbols.
+    """
+    def share(of: str) -> Column:
+        chosen = F.lit(0.5)
+        for known, (_, symbols) in ENCODINGS.items():
+            chosen = F.when(name == known, _kind_shares(symbols)[of]).otherwise(chosen)
+        return chosen
+
+    def z(changes: Column, pairs: Column, triples: Column, once: Column, twice: Column) -> Column:
+        var = pairs * once * (1 - once) + 2 * triples * (twice - once * once)
+        return F.when(var > 0, (changes - pairs * once) / F.sqrt(var)).otherwise(0.0)
+
+    runs = lambda t, pattern: F.regexp_count(t, F.lit(pattern)).cast("double")
+    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[A-Z]", "U"), "[a-z]", "l"), "[0-9]", "0")
+    sounds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z]", " "), f"[{_VOWELS}]", "0"), "[A-Za-z]", "1")
+    n = F.char_length(text).cast("double")
+    by_kind = z(runs(kinds, "U+|l+|0+|[^Ul0]+") - 1, n - 1, n - 2, 1 - share("squares"), 1 - 2 * share("squares") + share("cubes"))
+    letters = F.char_length(F.replace(sounds, F.lit(" "))).cast("double")
+    both = share("vowels") * (1 - share("vowels"))
+    by_sound = z(
+        runs(sounds, "0+|1+") - runs(sounds, "[01]+"), letters - runs(sounds, "[01]+"),
+        letters - runs(sounds, "[01]+") - runs(sounds, "[01]{2,}"), 2 * both, both,
+    )
+    return (by_sound - by_kind) / math.sqrt(2)
+
+
 def randomness(tokens: Column) -> Column:
     """array<struct(encoding, length_class, p)> of an array of tokens; small p means not random.
 
-    p is that of the worst of three tests by Sidak's rule, so it is near uniform
+    p is that of the worst of four tests by Sidak's rule, so it is near uniform
     for random tokens of every length: chi-squared of the symbol counts with its
     exact mean and variance for the length, runs above and below the middle of
-    the alphabet, and correlation of neighbours. p is NULL without an encoding.
+    the alphabet, runs of kinds of symbols and of vowels (``_wording``), and
+    correlation of neighbours. p is NULL without an encoding.
     Each step is a map over the array whose structs hold what the next one needs.
     """
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda t, x: t + x)
@@ -193,42 +237,42 @@ def randomness(tokens: Column) -> Column:
     folded = F.transform(named, lambda s: _with(
         s, "encoding", alphabet=alphabet_of(s["encoding"]),
         text=F.when(s["encoding"] == "base64", F.translate(s["plain"], "-_", "+/"))
-        .when(s["encoding"] == "base32", s["plain"]).otherwise(F.lower(s["plain"])),
+        .when(s["encoding"].isin("base32", "letters"), s["plain"]).otherwise(F.lower(s["plain"])),
     ))
     coded = F.transform(folded, lambda s: _with(
-        s, "encoding alphabet", n=F.char_length(s["text"]).cast("double"), k=F.char_length(s["alphabet"]).cast("double"),
+        s, "encoding alphabet", wording=_wording(s["encoding"], s["text"]), n=F.char_length(s["text"]).cast("double"), k=F.char_length(s["alphabet"]).cast("double"),
         x=F.transform(letters(s["text"]), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double")),
         squares=total(F.transform(letters(s["alphabet"]), lambda c: F.pow(
             (F.char_length(s["text"]) - F.char_length(F.replace(s["text"], c))).cast("double"), F.lit(2.0)
         ))),
     ))
     centred = F.transform(coded, lambda s: _with(
-        s, "encoding n k squares", half=F.transform(s["x"], lambda v: F.when(v >= s["k"] / 2, 1.0).otherwise(0.0)),
+        s, "encoding wording n k squares", half=F.transform(s["x"], lambda v: F.when(v >= s["k"] / 2, 1.0).otherwise(0.0)),
         x=F.transform(s["x"], lambda v: v - total(s["x"]) / s["n"]),
     ))
     summed = F.transform(centred, lambda s: _with(
-        s, "encoding n k squares", high=total(s["half"]),
+        s, "encoding wording n k squares", high=total(s["half"]),
         changes=total(F.zip_with(head(s["half"]), tail(s["half"]), lambda u, v: F.abs(u - v))),
         around=total(F.transform(s["x"], lambda v: v * v)),
         along=total(F.zip_with(head(s["x"]), tail(s["x"]), lambda u, v: u * v)),
     ))
     scored = F.transform(summed, lambda s: _with(
-        s, "encoding n changes around along", both=2 * s["high"] * (s["n"] - s["high"]),
+        s, "encoding wording n changes around along", both=2 * s["high"] * (s["n"] - s["high"]),
         z_chi=(s["k"] * s["squares"] / s["n"] - s["n"] - (s["k"] - 1)) / F.sqrt(2 * (s["k"] - 1) * (s["n"] - 1) / s["n"]),
     ))
     spread = F.transform(scored, lambda s: _with(
-        s, "encoding n changes both z_chi", var=s["both"] * (s["both"] - s["n"]) / (s["n"] * s["n"] * (s["n"] - 1)),
+        s, "encoding wording n changes both z_chi", var=s["both"] * (s["both"] - s["n"]) / (s["n"] * s["n"] * (s["n"] - 1)),
         z_serial=F.when(s["around"] > 0, F.abs(s["along"] / s["around"] + 1 / s["n"]) * F.sqrt(s["n"])).otherwise(20.0),
     ))
     tails = F.transform(spread, lambda s: _with(
-        s, "encoding n", chi=_upper_tail(s["z_chi"]), serial=2 * _upper_tail(s["z_serial"]),
+        s, "encoding n", wording=_upper_tail(s["wording"]), chi=_upper_tail(s["z_chi"]), serial=2 * _upper_tail(s["z_serial"]),
         runs=2 * _upper_tail(
             F.when(s["var"] > 0, F.abs(s["changes"] - s["both"] / s["n"]) / F.sqrt(s["var"])).otherwise(20.0)
         ),
     ))
     return F.transform(tails, lambda s: _with(
         s, "encoding", length_class=F.floor(F.log2(s["n"]) * 2).cast("int"),
-        p=F.when(s["encoding"].isNotNull(), 1 - F.pow(1 - F.least(s["chi"], s["serial"], s["runs"], F.lit(1.0)), F.lit(3.0))),
+        p=F.when(s["encoding"].isNotNull(), 1 - F.pow(1 - F.least(s["chi"], s["serial"], s["runs"], s["wording"], F.lit(1.0)), F.lit(4.0))),
     ))
 
 

@@ -71,7 +71,7 @@ def test_random_tokens_are_told_from_names(spark):
 ALPHABETS = {name: symbols for name, (_, symbols) in secrets.ENCODINGS.items()}
 
 
-def planted_recall(spark, sizes=(1, 2, 10, 100), lengths=(24, 40, 64), pool=400):
+def planted_recall(spark, sizes=(1, 2, 10, 100), lengths=(16, 20, 24, 40, 64), pool=400):
     """Share of random keys reported when so many are alone in their class: (encoding, length, size) -> share."""
     rng = random.Random(24)
     rows = [(name, n, "".join(rng.choice(a) for _ in range(n))) for name, a in ALPHABETS.items() for n in lengths for _ in range(pool)]
@@ -107,6 +107,121 @@ def test_random_tokens_of_sparse_classes_are_found(spark):
         assert bool(row.spans) == (p >= secrets.FALLBACK)
 
 
+def upper_tail(z):
+    return 1 / (1 + np.exp(min(700.0, 1.5976 * z + 0.07056 * z ** 3)))
+
+
+def runs_z(labels, shares):
+    """Standardised count of changes in sequences of independent labels, ``labels`` being a list of sequences."""
+    same, thrice = (sum(p ** k for p in shares) for k in (2, 3))
+    pairs, triples = (sum(max(0, len(x) - k) for x in labels) for k in (1, 2))
+    changes = sum(a != b for x in labels for a, b in zip(x, x[1:]))
+    once, twice = 1 - same, 1 - 2 * same + thrice
+    var = pairs * once * (1 - once) + 2 * triples * (twice - once ** 2)
+    return (changes - pairs * once) / var ** 0.5 if var > 0 else 0.0
+
+
+def plain_p(token):
+    """The battery in plain Python: (encoding, p)."""
+    name = next((n for n, (pattern, _) in secrets.ENCODINGS.items() if re.search(pattern, token)), None)
+    if name is None:
+        return None, None
+    text, symbols = token.rstrip("="), secrets.ENCODINGS[name][1]
+    text = text.replace("-", "+").replace("_", "/") if name == "base64" else text if name in ("base32", "letters") else text.lower()
+    n, k, x = len(text), len(symbols), np.array([symbols.index(c) for c in text], float)
+    squares = sum(text.count(c) ** 2 for c in symbols)
+    chi = upper_tail((k * squares / n - n - (k - 1)) / (2 * (k - 1) * (n - 1) / n) ** 0.5)
+    half, c = x >= k / 2, x - x.mean()
+    both = 2 * half.sum() * (n - half.sum())
+    var = both * (both - n) / (n * n * (n - 1))
+    runs = 2 * upper_tail(abs((half[1:] != half[:-1]).sum() - both / n) / var ** 0.5 if var > 0 else 20.0)
+    serial = 2 * upper_tail(abs((c[1:] * c[:-1]).sum() / (c * c).sum() + 1 / n) * n ** 0.5 if (c * c).sum() > 0 else 20.0)
+    kind = lambda c: "U" if c.isupper() else "l" if c.islower() else "0" if c.isdigit() else "+"
+    kinds = [sum(kind(c) == g for c in symbols) / k for g in "Ul0+"]
+    vowels = sum(c in "aeiouAEIOU" for c in symbols) / sum(c.isalpha() for c in symbols)
+    sounds = [[c in "aeiouAEIOU" for c in part] for part in re.findall("[A-Za-z]+", text)]
+    wording = upper_tail((runs_z(sounds, [vowels, 1 - vowels]) - runs_z([list(map(kind, text))], kinds)) / 2 ** 0.5)
+    return name, 1 - (1 - min(chi, runs, serial, wording, 1.0)) ** 4
+
+
+WORDS = (
+    "account adapter archive backup banner branch bridge browser buffer build button camera catalog channel client cluster column "
+    "config console context counter customer database default delivery device display document driver editor engine event export "
+    "factory field filter folder format gateway global handler header history image index input invoice journal kernel language "
+    "layout library local manager market matrix member message method mobile module monitor network number object option order "
+    "package panel partner password payment person picture plugin policy portal power printer process profile project provider "
+    "query queue random reader record region release report request resource result review router sample schema screen script "
+    "search section sender service session shadow signal silver socket source status storage stream summary system table target "
+    "template test theme ticket timer title topic track traffic transfer upload user value vector version video window worker"
+).split()
+
+
+def identifier(rng, kind):
+    """Names as code, paths and products have them: joined words and numbers."""
+    word, big = lambda: rng.choice(WORDS), lambda: rng.choice(WORDS).capitalize()
+    if kind == 0:
+        return "".join(big() for _ in range(rng.randint(3, 6))) + str(rng.randint(0, 2030))
+    if kind == 1:
+        return "/".join(rng.choice([word, big])() for _ in range(rng.randint(3, 5))) + big() + str(rng.randint(1, 2030))
+    if kind == 2:
+        parts = [big, big, lambda: str(rng.randint(1, 4000)), lambda: big() + str(rng.randint(1, 99)), lambda: f"{rng.randint(1, 512)}GB"]
+        return "-".join(rng.choice(parts)() for _ in range(rng.randint(4, 6)))
+    if kind == 3:
+        return word() + "".join(big() for _ in range(rng.randint(2, 5)))
+    return "".join(word() for _ in range(rng.randint(3, 4))) + str(rng.randint(1, 2030))
+
+
+def test_battery_is_the_plain_one(spark):
+    rng = random.Random(26)
+    tokens = [identifier(rng, k) for k in range(5) for _ in range(30)]
+    tokens += ["".join(rng.choice(a) for _ in range(n)) for a in ALPHABETS.values() for n in (16, 33, 200) for _ in range(10)]
+    tokens += ["a1" * 8, "0" * 30 + "a", "A" * 16, "a" * 16 + "B", "+/-_" * 5, "aB3" * 2000, "x1-_Y" * 4 + "=="]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for r in df.select("t", F.explode(secrets.randomness(F.array("t"))).alias("r")).select("t", "r.*").collect():
+        name, p = plain_p(r.t)
+        assert r.encoding == name and (r.p is None if p is None else abs(r.p - p) < 1e-9), r.t
+
+
+def test_spans_are_those_of_the_plain_battery(spark):
+    rng = random.Random(27)
+    tokens = [identifier(rng, k % 5) for k in range(150)]
+    tokens += ["".join(rng.choice(a) for _ in range(n)) for a in ALPHABETS.values() for n in (16, 24, 40) for _ in range(8)]
+    rng.shuffle(tokens)
+    texts = [" é ".join(tokens[i:i + 3]) for i in range(0, len(tokens), 3)]
+    found = {t: plain_p(t) for x in texts for t in re.findall(secrets.TOKEN, x)}
+    size = lambda t: int(np.floor(np.log2(len(t.rstrip("="))) * 2))
+    held = {}
+    for t, (name, p) in found.items():
+        if name:
+            held.setdefault((name, size(t)), [0] * secrets.STEPS)[min(int(p * secrets.STEPS), secrets.STEPS - 1)] += 1
+    least = secrets.least_steps(held)
+    for r in secrets.scan(docs_of(spark, texts)).collect():
+        want = [
+            (m.start(), m.end()) for m in re.finditer(secrets.TOKEN, r.text)
+            if found[m[0]][0] and found[m[0]][1] >= least.get((found[m[0]][0], size(m[0])), 2)
+            and not any(a < m.end() and m.start() < b for a, _, b in base_spans(r.text))
+        ]
+        assert [(s.start, s.end) for s in r.spans if s.kind == secrets.RANDOM] == want
+
+
+def test_structured_identifiers_alone(spark):
+    rng = random.Random(28)
+    said = ["MyVeryLongClassNameForTesting2", "github/workflows/BuildAndTest2024yml", "MacBookPro16Inch2021-Silver-512GB"]
+    tokens = list(dict.fromkeys(said + [t for t in (identifier(rng, k % 5) for k in range(3000)) if len(t) >= 16]))
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    judged = df.select(F.explode(secrets.randomness(F.array("t"))).alias("r")).where("r.p IS NOT NULL").select("r.*").collect()
+    reported = 0
+    for at in range(0, len(judged), 14):  # corpora that hold 14 of them and nothing else
+        held = {}
+        for r in judged[at:at + 14]:
+            counts = held.setdefault((r.encoding, r.length_class), [0] * secrets.STEPS)
+            counts[min(int(r.p * secrets.STEPS), secrets.STEPS - 1)] += 1
+        least = secrets.least_steps(held)
+        reported += sum(r.p >= least.get((r.encoding, r.length_class), 2) for r in judged[at:at + 14])
+    assert reported <= 0.02 * len(judged), reported / len(judged)
+    assert not any(r.spans for r in secrets.scan(docs_of(spark, said)).collect())
+
+
 def test_p_values_of_random_tokens_are_even(spark):
     rng = random.Random(6)
     tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (24, 40, 64) for _ in range(700)]
