@@ -182,7 +182,33 @@ def _kind_shares(symbols: str) -> dict[str, float]:
             "vowels": sum(c in _VOWELS for c in letters) / len(letters)}
 
 
-def _wording(name: Column, text: Column) -> Column:
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_SIGNS = "+/-_"
+
+
+def _kinds(text: Column) -> Column:
+    """Upper and lower case, digits and signs as ``U``, ``l``, ``0`` and what the sign is."""
+    return F.translate(text, _UPPER + _LOWER + _DIGITS, "U" * 26 + "l" * 26 + "0" * 10)
+
+
+def _sounds(text: Column) -> Column:
+    """Vowels as ``0``, consonants as ``1``, all else as blanks."""
+    letters = _UPPER + _LOWER
+    spoken = "".join("0" if c in _VOWELS else "1" for c in letters)
+    return F.translate(text, letters + _DIGITS + _SIGNS, spoken + " " * len(_DIGITS + _SIGNS))
+
+
+def _run_counts(s: Column) -> dict[str, Column]:
+    """Runs of ``kinds`` and ``sounds``, and the letters and groups of letters of the latter."""
+    runs = lambda t, pattern: F.regexp_count(t, F.lit(pattern)).cast("double")
+    return {
+        "kind_runs": runs(s["kinds"], "U+|l+|0+|[^Ul0]+"), "sound_runs": runs(s["sounds"], "0+|1+"),
+        "spoken": F.char_length(F.replace(s["sounds"], F.lit(" "))).cast("double"),
+        "groups": runs(s["sounds"], "[01]+"), "long_groups": runs(s["sounds"], "[01]{2,}"),
+    }
+
+
+def _wording(s: Column) -> Column:
     """How much like words a token looks: near standard normal for random symbols, large for joined words.
 
     Words keep to one kind of symbols (upper or lower case, digits, signs) for
@@ -192,24 +218,17 @@ def _wording(name: Column, text: Column) -> Column:
     def share(of: str) -> Column:
         chosen = F.lit(0.5)
         for known, (_, symbols) in ENCODINGS.items():
-            chosen = F.when(name == known, _kind_shares(symbols)[of]).otherwise(chosen)
+            chosen = F.when(s["encoding"] == known, _kind_shares(symbols)[of]).otherwise(chosen)
         return chosen
 
     def z(changes: Column, pairs: Column, triples: Column, once: Column, twice: Column) -> Column:
         var = pairs * once * (1 - once) + 2 * triples * (twice - once * once)
         return F.when(var > 0, (changes - pairs * once) / F.sqrt(var)).otherwise(0.0)
 
-    runs = lambda t, pattern: F.regexp_count(t, F.lit(pattern)).cast("double")
-    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[A-Z]", "U"), "[a-z]", "l"), "[0-9]", "0")
-    sounds = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z]", " "), f"[{_VOWELS}]", "0"), "[A-Za-z]", "1")
-    n = F.char_length(text).cast("double")
-    by_kind = z(runs(kinds, "U+|l+|0+|[^Ul0]+") - 1, n - 1, n - 2, 1 - share("squares"), 1 - 2 * share("squares") + share("cubes"))
-    letters = F.char_length(F.replace(sounds, F.lit(" "))).cast("double")
+    by_kind = z(s["kind_runs"] - 1, s["n"] - 1, s["n"] - 2, 1 - share("squares"), 1 - 2 * share("squares") + share("cubes"))
     both = share("vowels") * (1 - share("vowels"))
-    by_sound = z(
-        runs(sounds, "0+|1+") - runs(sounds, "[01]+"), letters - runs(sounds, "[01]+"),
-        letters - runs(sounds, "[01]+") - runs(sounds, "[01]{2,}"), 2 * both, both,
-    )
+    pairs = s["spoken"] - s["groups"]
+    by_sound = z(s["sound_runs"] - s["groups"], pairs, pairs - s["long_groups"], 2 * both, both)
     return (by_sound - by_kind) / math.sqrt(2)
 
 
@@ -239,15 +258,16 @@ def randomness(tokens: Column) -> Column:
         text=F.when(s["encoding"] == "base64", F.translate(s["plain"], "-_", "+/"))
         .when(s["encoding"].isin("base32", "letters"), s["plain"]).otherwise(F.lower(s["plain"])),
     ))
-    coded = F.transform(folded, lambda s: _with(
-        s, "encoding alphabet", wording=_wording(s["encoding"], s["text"]), n=F.char_length(s["text"]).cast("double"), k=F.char_length(s["alphabet"]).cast("double"),
+    seen = F.transform(folded, lambda s: _with(s, "encoding alphabet text", kinds=_kinds(s["text"]), sounds=_sounds(s["text"])))
+    coded = F.transform(seen, lambda s: _with(
+        s, "encoding alphabet", **_run_counts(s), n=F.char_length(s["text"]).cast("double"), k=F.char_length(s["alphabet"]).cast("double"),
         x=F.transform(letters(s["text"]), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double")),
         squares=total(F.transform(letters(s["alphabet"]), lambda c: F.pow(
             (F.char_length(s["text"]) - F.char_length(F.replace(s["text"], c))).cast("double"), F.lit(2.0)
         ))),
     ))
     centred = F.transform(coded, lambda s: _with(
-        s, "encoding wording n k squares", half=F.transform(s["x"], lambda v: F.when(v >= s["k"] / 2, 1.0).otherwise(0.0)),
+        s, "encoding n k squares", wording=_wording(s), half=F.transform(s["x"], lambda v: F.when(v >= s["k"] / 2, 1.0).otherwise(0.0)),
         x=F.transform(s["x"], lambda v: v - total(s["x"]) / s["n"]),
     ))
     summed = F.transform(centred, lambda s: _with(
