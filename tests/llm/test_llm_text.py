@@ -430,6 +430,17 @@ def test_calibrating_labels_do_not_teach(spark):
     assert seen == [240 - len(held)] * cotrain.ROUNDS
 
 
+def test_sample_holds_one_row_of_a_repeated_key(spark, monkeypatch):
+    rng = random.Random(29)
+    docs = docs_of(spark, [prose(rng, 30, "abc" if k % 2 else "xyz") for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    repeated = docs.union(docs_of(spark, [prose(rng, 5) for _ in range(300)]).withColumn("doc_id", F.lit(0).cast("long")))
+    seen = []
+    monkeypatch.setattr(cotrain, "_calibrated", lambda labelled, m: seen.append(labelled.count()))
+    cotrain.fit(repeated, labels, rounds=0)
+    assert seen == [40]
+
+
 def test_quality_without_usable_labels(spark):
     docs = docs_of(spark, ["a b", "c"])
     for labels in ([], [(0, 1)], [(0, 1), (1, 1)], [(77, 0)]):
