@@ -426,7 +426,13 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
 
 def round_trip_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: tokens, SHA-256 of the ids as little-endian uint32, SHA-256 of the text decoded from them."""
+    """Per row: tokens, SHA-256 of the ids as little-endian uint32, SHA-256 of the text decoded from them.
+
+    A NULL text is the empty text, which has no tokens and the digests of
+    nothing. Texts are encoded whole, however long. Rows with equal or NULL keys
+    stay separate rows, an empty table gives an empty table, and columns other
+    than key and text are not read.
+    """
     chosen = df.select(key, F.col(text).cast("string").alias(text))
     only = (
         lambda batches: (b.select([key, "ids"]) for b in batches),

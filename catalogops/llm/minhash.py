@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..sources import stages
 from .components import connected_components
 from .groups import dealt, local_components, whole_groups
+from .pieces import free
 from .shingles import counted, mix, shingle_hashes
 
 #: log2 of the number of hashed counters of document frequencies: a fixed half megabyte, whatever the corpus.
@@ -32,6 +33,8 @@ RARITY = 0.25
 BLOCK = 256
 #: Texts of each side of a group of the second comparison, by hash: those not yet in the main class, and those they ask.
 REST = 512
+#: Bytes of text of a block, or of one side of such a group, on average; a longer text is one of its own.
+GROUP_BYTES = 8_000_000
 #: Bytes of text handled at a time inside a task.
 PIECE_BYTES = 1_000_000
 
@@ -54,6 +57,12 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
             yield start, [t or "" for t in texts.slice(start, end - start).to_pylist()]
 
 
+def _parts(most: int) -> Column:
+    """Blocks that the rows of an aggregate need: about ``most`` rows and GROUP_BYTES of text each."""
+    by_bytes = F.ceil(F.sum("bytes") / GROUP_BYTES)
+    return F.greatest(F.ceil(F.count(F.lit(1)) / most), by_bytes).cast("int")
+
+
 def _counter(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
@@ -277,6 +286,9 @@ def _compare(grouped: DataFrame, weights: np.ndarray, settings: Settings) -> Dat
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(key, digest, class_id, class_digest) of every row: near duplicates share both of the latter.
 
+    A result named like the key gets an underscore behind its own name; other
+    columns of ``docs`` are not read and may have any names.
+
     ``class_id`` is their least key, which two classes may share where keys
     repeat; ``class_digest``, the least digest of their texts, is never shared.
 
@@ -286,27 +298,29 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     least only where there is no other. An empty table gives an empty table.
 
     Copies become one node before anything meets. Entries of a band beyond
-    ``BLOCK`` texts are compared inside random blocks first; texts that are
+    ``BLOCK`` texts or ``GROUP_BYTES`` are compared inside random blocks first; texts that are
     then outside the main class of a family of large entries are compared with
-    all of the family, as pairs of hash blocks of about ``REST`` texts in tasks of
-    their own. No pair is left out and none is emitted: tasks return a spanning
+    all of the family, as pairs of hash blocks of about ``REST`` texts and at most
+    about ``GROUP_BYTES`` in tasks of their own. No pair is left out and none is emitted: tasks return a spanning
     tree of the links they found.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    named = rows.withColumn("digest", F.unhex(F.md5("text")))
+    named = rows.withColumns({"digest": F.unhex(F.md5("text")), "bytes": F.octet_length("text").cast("long")})
     weights = shingle_weights(rows, "text", settings.width)
     nodes, nodes_path = stages.stage_at(
         signatures(named, "text", weights, settings).groupBy("digest")
-        .agg(F.min("key").alias("least"), F.first("_bands").alias("bands"))
+        .agg(F.min("key").alias("least"), F.first("_bands").alias("bands"), F.first("bytes").alias("bytes"))
         .withColumn("node", F.monotonically_increasing_id()),
         "texts",
     )
-    entries = nodes.select("node", F.posexplode("bands").alias("band", "code")).select(
-        "node", F.xxhash64("band", "code").alias("entry")
+    entries = nodes.select("node", "bytes", F.posexplode("bands").alias("band", "code")).select(
+        "node", "bytes", F.xxhash64("band", "code").alias("entry")
     )
-    shared = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head")).where("n > 1")
-    members, members_path = stages.stage_at(entries.join(shared, "entry"), "members")
+    shared = entries.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("head"), _parts(BLOCK).alias("blocks")
+    ).where("n > 1")
+    members, members_path = stages.stage_at(entries.drop("bytes").join(shared, "entry"), "members")
     # Entries with the same few members say the same; one of them is enough.
     same = members.groupBy("entry", "n", "head").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"))
     chosen = same.groupBy("n", "head", "sum").agg(F.min("entry").alias("entry")).select("entry")
@@ -314,17 +328,16 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     wanted = members.select("node").distinct().join(nodes.select("node", "digest", "least"), "node")
     texts, texts_path = stages.stage_at(
         named.join(wanted, (named["digest"] == wanted["digest"]) & named["key"].eqNullSafe(wanted["least"]))
-        .select("node", "text").dropDuplicates(["node"]),
+        .select("node", "bytes", "text").dropDuplicates(["node"]),
         "met-texts",
     )
-    blocks = F.ceil(F.col("n") / BLOCK)
     first = members.join(texts, "node").select(
-        F.xxhash64("entry", F.pmod(F.xxhash64("node", "entry"), blocks)).alias("group"),
+        F.xxhash64("entry", F.pmod(F.xxhash64("node", "entry"), F.col("blocks"))).alias("group"),
         F.lit(True).alias("asks"), F.lit(False).alias("main"), F.lit(True).alias("among"), "node", "text",
     )
     links, links_path = stages.stage_at(_compare(first, weights, settings), "links")
     paths = [nodes_path, members_path, texts_path, links_path]
-    large = members.where(F.col("n") > BLOCK)
+    large = members.where("blocks > 1")
     if large.limit(1).count():
         for more, path in _rest(large, links, texts, weights, settings):
             paths.append(path)
@@ -344,36 +357,41 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings:
     for path in paths:
         stages.discard(spark, path)
     light = docs.select(F.col(key).alias("key"), F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("digest"))
-    return light.join(answers, "digest").select(F.col("key").alias(key), "digest", "class_id", "class_digest")
+    results = [F.col(c).alias(free(c, [key])) for c in ("digest", "class_id", "class_digest")]
+    return light.join(answers, "digest").select(F.col("key").alias(key), *results)
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row of every class: that with the least key, and the lesser digest among texts of that key.
 
-    A NULL key is greater than any other. All columns stay as they were. Rows
-    that agree in key and text are copies, of which one stays.
+    A NULL key is greater than any other. All columns stay as they were, whatever
+    their names. Rows that agree in key and text are copies, of which one stays.
+    An empty table gives an empty table.
     """
-    found = classes(docs, key, text, settings)
-    rows = found.groupBy("class_digest", F.col(key).alias("_key"), "digest").agg(F.count(F.lit(1)).alias("_copies"))
-    first = F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "digest", "_copies")).alias("_one")
+    found = classes(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text", settings)
+    rows = found.groupBy("class_digest", "key", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "digest", "copies")).alias("one")
+    own, kept_digest, copies, digest = (free(c, docs.columns) for c in ("_key", "_kept", "_copies", "_digest"))
     kept, _ = stages.stage_at(
-        rows.groupBy("class_digest").agg(first)
-        .select(F.col("_one._key").alias("_key"), F.col("_one.digest").alias("_kept"), F.col("_one._copies").alias("_copies")),
+        rows.groupBy("class_digest").agg(first).select(
+            F.col("one.key").alias(own), F.col("one.digest").alias(kept_digest), F.col("one.copies").alias(copies)
+        ),
         "kept",
     )
-    named = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
-    told = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_digest") == F.col("_kept"))
-    out = named.join(kept, told, "left_semi") if not kept.where("_copies > 1").limit(1).count() else (
-        named.join(kept.where("_copies = 1"), told, "left_semi").unionByName(
-            named.join(kept.where("_copies > 1"), told, "left_semi").dropDuplicates([key, "_digest"])
+    named = docs.withColumn(digest, F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
+    told = F.col(key).eqNullSafe(F.col(own)) & (F.col(digest) == F.col(kept_digest))
+    several = F.col(copies) > 1
+    out = named.join(kept, told, "left_semi") if not kept.where(several).limit(1).count() else (
+        named.join(kept.where(~several), told, "left_semi").unionByName(
+            named.join(kept.where(several), told, "left_semi").dropDuplicates([key, digest])
         )
     )
-    return out.drop("_digest")
+    return out.drop(digest)
 
 
 def _cut(rows: DataFrame, name: str) -> DataFrame:
-    """The rows with ``name``, their hash block of about REST rows of the family, and the number of those."""
-    sizes = rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / REST).cast("int").alias(f"{name}s"))
+    """The rows with ``name``, their hash block of about REST rows and GROUP_BYTES of the family, and the number of those."""
+    sizes = rows.groupBy("family").agg(_parts(REST).alias(f"{name}s"))
     return rows.join(sizes, "family").withColumn(name, F.pmod(F.xxhash64("node"), F.col(f"{name}s")).cast("int"))
 
 

@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..sources import stages
 
-#: Bytes of records after which an archive file is full; a longer record has one of its own.
-ARCHIVE_BYTES = 4_000_000
+#: Bytes of records after which an archive file is full; a longer record has one of its own. A task holds one
+#: file in memory, several times over, so this bounds the memory of a task and the number of files.
+ARCHIVE_BYTES = 32_000_000
 #: Smallest payload of which a second copy becomes a revisit.
 REVISIT_BYTES = 1000
 
@@ -196,13 +197,18 @@ def _inflate(data: bytes) -> bytes:
 
 
 def arc_archives(
-    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "20240101000000"
+    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", date: str = "20240101000000",
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> DataFrame:
     """Whole ARC files, one a row: the payloads in UTF-8 as HTTP responses, both versions in turn.
 
     A NULL payload is empty, a NULL url is ``-``, a NULL key leaves the key out.
+    Repeated rows stay separate records, an empty table gives no file, other
+    columns are not read. A file is full at ``archive_bytes``.
     """
-    chosen = pages.select(F.col(key).cast("long"), F.col(url).cast("string"), F.col(payload).cast("binary"))
+    chosen = pages.select(
+        F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), F.col(payload).cast("binary").alias("payload")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
@@ -225,7 +231,7 @@ def arc_archives(
                     size = len(held[0])
                 held.append(arc_record(version, u.as_py(), date, block, size, name))
                 size += len(held[-1])
-                if size >= ARCHIVE_BYTES:
+                if size >= archive_bytes:
                     yield close()
         if held:
             yield close()
@@ -270,13 +276,16 @@ def arc_records(archives: DataFrame, blocks: bool) -> DataFrame:
     return archives.mapInArrow(run, schema)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
+def convert(
+    spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES, archive_bytes: int = ARCHIVE_BYTES
+) -> None:
     """Convert all ARC files of a folder to WARC files in another.
 
     Of records with equal payloads of at least ``least`` bytes the one with the
     largest key is the response and the others revisit it; rows tied on that
     key are all responses, and a missing key is smaller than any. Other records
-    are kept whole.
+    are kept whole. A folder without records gives one without; a WARC file is
+    full at ``archive_bytes``.
 
     Digests that recur are counted first and written as a table; it is joined
     to the records by digest, in memory while small, else with hot digests split.
@@ -306,7 +315,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REV
             for row, block in zip(rows, batch.column(batch.num_columns - 1)):
                 held.append(warc_record(row, block.as_py()))
                 size += len(held[-1])
-                if size >= ARCHIVE_BYTES:
+                if size >= archive_bytes:
                     yield _archive(held)
                     held, size = [], 0
         if held:

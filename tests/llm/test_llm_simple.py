@@ -155,11 +155,15 @@ def test_revisits_odd_payloads_and_empty_tables(spark):
             (None, "n", "z" * 2000), (None, "m", "z" * 2000), (9, "w", big), (9, "w", big)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
 
-    def run(df):
+    def run(df, **sizes):
         arcs, warcs = stages.new_path(spark, "arc"), stages.new_path(spark, "warc")
-        warc.write_archives(warc.arc_archives(df), arcs)
-        warc.convert(spark, arcs, warcs)
-        return warc.warc_records(warc.read_archives(spark, warcs)).collect()
+        warc.write_archives(warc.arc_archives(df, **sizes), arcs)
+        warc.convert(spark, arcs, warcs, **sizes)
+        archives = warc.read_archives(spark, warcs)
+        files.append(archives.count())
+        return warc.warc_records(archives).collect()
+
+    files = []
 
     got = run(pages)
     assert len(got) == 10 and all(r.digest_ok for r in got)
@@ -168,6 +172,12 @@ def test_revisits_odd_payloads_and_empty_tables(spark):
     assert kinds[3, "response", None] == kinds[4, "response", None] == 1 and kinds[None, "response", None] == 2
     assert {r.payload_bytes for r in got if r.key in (1, 2, 9)} == {len(big.encode())}
     assert len({r.record_id for r in got}) == 10
+    # Sizes change the files, not the records; columns named like internal ones are not read.
+    clashing = pages.withColumns({"key": F.lit(7), "value": F.lit("v"), "block": F.lit(b"b")}).coalesce(1)
+    small_files = run(clashing, archive_bytes=1)
+    assert files[-1] >= 10 and Counter((r.key, r.record_type, r.refers_to, r.payload_digest) for r in small_files) == Counter(
+        (r.key, r.record_type, r.refers_to, r.payload_digest) for r in got
+    )
     assert run(pages.limit(0)) == []
 
 

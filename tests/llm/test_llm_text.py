@@ -363,6 +363,48 @@ def test_groups_of_the_second_comparison_are_bounded(spark, monkeypatch):
     assert all(got[a] == got[b] for a in range(220) for b in (expected[a],) if (b, a) not in close)
 
 
+def test_groups_are_bounded_by_bytes(spark, monkeypatch):
+    """Few but long texts: rows alone would put each family into one group."""
+    rng = random.Random(23)
+    monkeypatch.setattr(minhash, "GROUP_BYTES", 20_000)
+    long, short = prose(rng, 700), prose(rng, 40)
+    texts = [edited(rng, long, 2) for _ in range(30)] + [edited(rng, long, 60) for _ in range(20)]
+    texts += [short, short + " and more", prose(rng, 30_000), "", None]
+    compare_groups, largest = minhash._compare, []
+
+    def watched(grouped, *more):
+        sizes = grouped.groupBy("group").agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"))
+        largest.append(sizes.where("n > 1").agg(F.max("b")).first()[0] or 0)
+        return compare_groups(grouped, *more)
+
+    monkeypatch.setattr(minhash, "_compare", watched)
+    got = {r.doc_id: r.class_id for r in minhash.classes(docs_of(spark, texts)).collect()}
+    expected, close = classes_by_brute_force(texts, lambda g: 1.0)
+    assert {got[k] for k in range(30)} == {0} and max(expected[:30]) == 0
+    assert all(got[a] == got[b] for a in range(len(texts)) for b in (expected[a],) if (b, a) not in close)
+    together = sum(len(t.encode()) for t in texts[:50])
+    assert len(largest) > 1 and max(largest) < together / 2
+
+
+def test_near_duplicates_beside_any_names(spark):
+    rng = random.Random(24)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(3, a, 1), (1, edited(rng, a, 1), 2), (2, b, 3), (2, b, 4), (5, None, 5)]
+    internal = ["_key", "_kept", "_copies", "_digest", "key", "digest", "copies", "node", "bytes", "blocks", "bands", "class_digest"]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, x long")
+    wide = plain.withColumns({n: F.col("x") for n in internal})
+    kept = minhash.keep_first(wide)
+    assert kept.columns == wide.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
+    for name in internal:
+        found = minhash.classes(plain.withColumnRenamed("doc_id", name), name)
+        assert found.columns[0] == name and len(set(found.columns)) == 4
+    for name in ("digest", "_key", "_digest"):
+        one = minhash.keep_first(plain.withColumnRenamed("doc_id", name), name)
+        assert sorted(r[0] for r in one.collect()) == [1, 2, 5]
+    digests = minhash.classes(plain.withColumnRenamed("doc_id", "digest"), "digest")
+    assert sorted((r["digest"], r["class_id"]) for r in digests.collect()) == [(1, 1), (2, 2), (2, 2), (3, 1), (5, 5)]
+
+
 def test_recall_on_documents(spark, sf):
     docs = queries.read(spark, sf, "documents").select("doc_id", "text").collect()
     got = {r.doc_id: r.class_id for r in queries.op5(spark, sf).collect()}
