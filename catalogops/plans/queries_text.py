@@ -423,13 +423,14 @@ _HASH = _STEP.format(
 )
 
 
-@query(
-    "embed_hash",
-    f"""WITH c AS (SELECT doc_id, list_transform(string_split(' ' || lower({strip_sql('text')}) || ' ', ''),
+BUCKETS = f"""c AS (SELECT doc_id, list_transform(string_split(' ' || lower({strip_sql('text')}) || ' ', ''),
             lambda ch: unicode(ch)) AS codes FROM documents),
-        h AS (SELECT doc_id, unnest(list_transform(range(1, len(codes) - 1), lambda i: {_HASH})) AS h FROM c)
-        SELECT doc_id, CAST(xor(h, h // 8589934592) % 256 AS INTEGER) AS bucket, count(*) AS n FROM h GROUP BY ALL""",
-)
+        h AS (SELECT doc_id, unnest(list_transform(range(1, len(codes) - 1), lambda i: {_HASH})) AS h FROM c),
+        buckets AS MATERIALIZED (
+            SELECT doc_id, CAST(xor(h, h // 8589934592) % 256 AS INTEGER) AS bucket, count(*) AS n FROM h GROUP BY ALL)"""
+
+
+@query("embed_hash", f"WITH {BUCKETS} SELECT * FROM buckets")
 def embed_hash(spark, sf):
     """Vectors turned back into the counts they were made of."""
     docs = read(spark, sf, "documents").select("doc_id", "text")
@@ -445,7 +446,19 @@ def embed_hash(spark, sf):
     ).where("n > 0")
 
 
-@query("similar_texts")
+# Counts are whole numbers, so the division and the cast give the encoder's single-precision values bit for bit.
+@query(
+    "similar_texts",
+    f"""WITH {BUCKETS},
+        norms AS (SELECT doc_id, sqrt(CAST(sum(n * n) AS DOUBLE)) AS norm FROM buckets GROUP BY 1),
+        cells AS (SELECT doc_id, norm, CAST(unnest(range(256)) AS INTEGER) AS bucket FROM norms),
+        v AS MATERIALIZED (SELECT doc_id, list(CAST(CAST(coalesce(n, 0) / norm AS FLOAT) AS DOUBLE) ORDER BY bucket) AS v
+              FROM cells LEFT JOIN buckets USING (doc_id, bucket) GROUP BY 1),
+        near AS (SELECT a.doc_id AS id, b.doc_id AS neighbour, {COSINE} AS sim
+                 FROM v a JOIN v b ON a.doc_id <> b.doc_id WHERE {COSINE} >= {vectors.MIN_SIMILARITY}),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, neighbour) AS rank FROM near)
+        SELECT id, neighbour, sim, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank < {vectors.NEIGHBOURS}""",
+)
 def similar_texts(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     encoded = vectors.embed_hashed(docs, "text", partitions=cores(spark))
