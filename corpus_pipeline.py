@@ -4,6 +4,13 @@ Documents that the quality classifier rejects go; of each class of near
 duplicates one stays; documents that hold a benchmark passage go; secrets are
 masked; what is left is encoded. All but the last stage return the columns of
 ``documents``.
+
+NULL texts count as empty ones and stay NULL; empty and very long texts are
+handled whole. Rows that agree in key and text are copies, of which one stays;
+other rows that share a key are judged one by one. An empty table gives an empty
+table. Further columns pass through all stages but the last; ``p_content``,
+``p_metadata``, ``p_quality``, ``keep`` and names that begin with an underscore
+are reserved for the stages.
 """
 
 from __future__ import annotations
