@@ -4,7 +4,9 @@ The loop of ``functions.text`` is right for lists that a rule spells out. A tabl
 of keywords stays on the cluster: each distinct text is cut into the substrings
 that have a keyword's length, and those that pass a filter of fixed size meet the
 keywords in an equality join. The work follows the texts and the number of
-different lengths, not the number of keywords.
+different lengths, not the number of keywords. A substring carries its text's
+digest, never the text, so what is sorted and shuffled does not grow with the
+length of a text times its keywords.
 """
 
 from __future__ import annotations
@@ -76,12 +78,19 @@ def _keys(match: str) -> Column:
     }[match]
 
 
-def hits(df: DataFrame, c: str, keywords: DataFrame, match: str = "substring") -> DataFrame:
+def digest(c: Column | str) -> Column:
+    """32 bytes that stand for a text; NULL for NULL."""
+    return F.unhex(F.sha2(col(c), 256))
+
+
+def hits(df: DataFrame, c: str, keywords: DataFrame, match: str = "substring", digests: bool = False) -> DataFrame:
     """``(text, keyword)``: every keyword that each distinct value of column ``c`` holds, once.
 
     ``keywords`` has a column ``keyword`` in lower case, in any number. The same
     matches as those of ``functions.text``. NULLs hold and match nothing; an empty
-    keyword, and one of more than LONGEST code points, is an error.
+    keyword, and one of more than LONGEST code points, is an error. ``digests``
+    gives ``(text_digest, keyword)`` instead: long texts are best joined by
+    ``digest`` after the hits are counted or chosen from.
     """
     listed = keywords.where(F.col("keyword").isNotNull()).select("keyword", F.explode(_keys(match)).alias("key")).distinct()
     lengths = sorted(r[0] for r in listed.select(F.char_length("key")).distinct().limit(2 * LONGEST).collect())
@@ -98,7 +107,8 @@ def hits(df: DataFrame, c: str, keywords: DataFrame, match: str = "substring") -
         sizes, allowed = shared.value
         for batch in batches:
             texts, cuts = [], []
-            for text, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, form in zip(batch.column(0).to_pylist(), batch.column(1)):
+                form = form.as_py()
                 found: set[str] = set()
                 for length, h in zip(sizes, _window_hashes(_codes(form), sizes)):
                     slot = _slots(h)
@@ -107,12 +117,16 @@ def hits(df: DataFrame, c: str, keywords: DataFrame, match: str = "substring") -
                 cuts += found
                 texts += [text] * len(found)
                 if len(cuts) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(cuts, pa.string())], names=["text", "key"])
+                    yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(cuts, pa.string())], names=["text_digest", "key"])
                     texts, cuts = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(cuts, pa.string())], names=["text", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(cuts, pa.string())], names=["text_digest", "key"])
 
-    forms = df.select(F.col(c).alias("text")).distinct().where(F.col("text").isNotNull()).select("text", F.explode(_forms("text", match)).alias("form"))
-    return forms.mapInArrow(cut, "text string, key string").join(listed, "key").select("text", "keyword").distinct()
+    distinct = df.select(F.col(c).alias("text")).distinct().where(F.col("text").isNotNull())
+    forms = distinct.select(digest("text").alias("text_digest"), F.explode(_forms("text", match)).alias("form"))
+    found = forms.mapInArrow(cut, "text_digest binary, key string").join(listed, "key").select("text_digest", "keyword").distinct()
+    if digests:
+        return found
+    return distinct.withColumn("text_digest", digest("text")).join(found, "text_digest").select("text", "keyword")
 
 
 def _filter(listed: DataFrame) -> np.ndarray:
@@ -136,8 +150,8 @@ def _filter(listed: DataFrame) -> np.ndarray:
 
 def mark(df: DataFrame, c: str, keywords: DataFrame, out: str, match: str = "substring") -> DataFrame:
     """Add the boolean ``out``: column ``c`` holds some keyword; False for NULL."""
-    holding = hits(df, c, keywords, match).select(F.col("text").alias("_holding")).distinct()
-    joined = df.drop(out).join(holding, F.col(c) == F.col("_holding"), "left")
+    holding = hits(df, c, keywords, match, digests=True).select(F.col("text_digest").alias("_holding")).distinct()
+    joined = df.drop(out).join(holding, digest(c) == F.col("_holding"), "left")
     return joined.withColumn(out, F.col("_holding").isNotNull()).drop("_holding")
 
 
@@ -146,7 +160,7 @@ def classify(df: DataFrame, c: str, keywords: DataFrame, default: str, out: str,
 
     ``keywords`` is (keyword, priority, label); ties go to the first label by name.
     """
-    found = hits(df, c, keywords, match).join(keywords.select("keyword", "priority", "label"), "keyword")
-    first = found.groupBy(F.col("text").alias("_held")).agg(F.min(F.struct("priority", "label")).alias("_first"))
-    joined = df.drop(out).join(first, F.col(c) == F.col("_held"), "left")
+    found = hits(df, c, keywords, match, digests=True).join(keywords.select("keyword", "priority", "label"), "keyword")
+    first = found.groupBy(F.col("text_digest").alias("_held")).agg(F.min(F.struct("priority", "label")).alias("_first"))
+    joined = df.drop(out).join(first, digest(c) == F.col("_held"), "left")
     return joined.withColumn(out, F.coalesce(F.col("_first.label"), F.lit(default))).drop("_held", "_first")

@@ -44,6 +44,19 @@ def test_first_priority_labels(spark):
     assert keywords.hits(df, "t", table.limit(0)).count() == 0
 
 
+def test_long_texts_are_not_copied_for_each_keyword(spark, tmp_path):
+    words = [f"w{i:04d}x" for i in range(400)]
+    df = spark.createDataFrame([(i, f"{i} " + " ".join(words) + " y" * 20_000) for i in range(40)], "id long, t string")
+    table = spark.createDataFrame([(w, i, w) for i, w in enumerate(words)], "keyword string, priority int, label string")
+    held = keywords.hits(df, "t", table, digests=True)
+    assert held.columns == ["text_digest", "keyword"] and held.count() == 40 * 400
+    # What a substring carries between the tasks: 32 bytes for its text, whatever the text's length.
+    for made in (held, keywords.classify(df, "t", table, "none", "out"), keywords.mark(df, "t", table, "out")):
+        cut = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line and "cut(" in line]
+        assert cut and all("text_digest" in line.split("],")[0].split("cut(")[1] and "text#" not in line for line in cut)
+    assert {r.out for r in keywords.classify(df, "t", table, "none", "out").collect()} == {words[0]}
+
+
 def test_bad_keywords_are_refused(spark):
     df = spark.createDataFrame([("a",)], "t string")
     for bad in ("", "y" * 300):
