@@ -512,8 +512,9 @@ def word_table(spark, sf):
 def kw_table_hits(spark, sf):
     """How many different words of the table each document holds anywhere in its text."""
     docs = documents(spark, sf)
-    found = keywords.hits(docs, "text", word_table(spark, sf)).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
-    return docs.join(found, "text").select("doc_id", "n")
+    held = keywords.hits(docs, "text", word_table(spark, sf), digests=True)
+    found = held.groupBy("text_digest").agg(F.count(F.lit(1)).alias("n"))
+    return docs.select("doc_id", keywords.digest("text").alias("text_digest")).join(found, "text_digest").select("doc_id", "n")
 
 
 @query(
