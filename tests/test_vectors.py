@@ -67,6 +67,25 @@ def test_knn_with_one_crowded_cell(spark):
     assert got == brute(ids, m, 4, 0.92)
 
 
+@pytest.mark.parametrize("tau", [0.92, -1.0])
+def test_blocks_meet_without_copies_of_vectors(spark, monkeypatch, tau):
+    """Each vector is stored in one block, blocks meet without a shuffle, and each vector gets its best back once a task."""
+    made, meeting = [], vectors._meeting_blocks
+
+    def meet(blocks, *args):
+        made.append((blocks, meeting(blocks, *args)))
+        return made[-1][1]
+
+    monkeypatch.setattr(vectors, "_meeting_blocks", meet)
+    m = np.vstack([clustered(8, 1, 300, spread=0.05), clustered(9, 20, 5)])
+    ids = random.Random(4).sample(range(5000), len(m))
+    assert spark_knn(spark, ids, m, k=4, min_sim=tau, block_rows=32) == brute(ids, m, 4, tau)
+    blocks, partial = made[0]
+    assert sum(len(r.reps) // 8 for r in blocks.collect()) == len(m) and blocks.count() > 10
+    assert "Exchange hash" not in partial._jdf.queryExecution().executedPlan().toString()
+    assert partial.count() <= 4 * len(m) * partial.rdd.getNumPartitions()
+
+
 def test_knn_ties_and_zero_vectors(spark):
     m = np.array([[1, 0], [0, 1], [1, 0], [0, -1], [0, 0], [1, 1]], dtype="float32")
     for tau in (0.0, 0.7, -1.0):
