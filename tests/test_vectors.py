@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -325,3 +326,27 @@ def test_gram_join_of_nothing(spark):
     assert grams.gram_join(df, "id", "t").count() == 0 and grams.gram_join(df.limit(0), "id", "t").count() == 0
     with pytest.raises(ValueError):
         grams.gram_join(df, "id", "t", min_sim=0.0)
+
+
+def test_packed_vectors_are_the_same_bit_for_bit():
+    rng = np.random.default_rng(3)
+    for kind in ("float32", "float64"):
+        m = np.vstack([rng.integers(0, 9, (5, 400)) / 7, rng.normal(size=(3, 400)), np.zeros((1, 400)), np.full((1, 400), -0.0)]).astype(kind)
+        packed = vectors._packed(pa.array(list(m)))
+        assert np.array_equal(vectors._unpacked(packed), vectors._unit(m.astype("float64")))
+        assert np.array_equal(vectors._unpacked(packed.slice(2)), vectors._unit(m[2:].astype("float64")))
+        assert max(map(len, packed.to_pylist()[:5])) < m[0].nbytes / 3
+    assert vectors._packed(pa.array(list(m)).slice(3)).to_pylist() == packed.to_pylist()[3:]
+
+
+def test_approximate_join_returns_short_lists(spark, monkeypatch):
+    """One list for each row of a table, of the vector's best in three blocks, not one for each pair of blocks."""
+    m = clustered(31, 1, 600, spread=0.02)
+    compared = vectors._beside(4, 0.92, 64)
+    codes = vectors.Codes(unit(m), 3, 10)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "rep long, vec array<float>").repartition(1)
+    coded = vectors._coded(df, codes, 1).coalesce(1).sortWithinPartitions("table", "code", "rep")
+    found = coded.mapInArrow(compared, "rep long, others array<long>, sims array<double>").collect()
+    assert len(found) == 600 * 3 * 2 and max(len(r.others) for r in found) == 4
+    sims = unit(m) @ unit(m).T
+    assert all(abs(sims[r.rep, o] - s) < 1e-6 and list(r.sims) == sorted(r.sims, reverse=True) for r in found for o, s in zip(r.others, r.sims))
