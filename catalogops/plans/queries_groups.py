@@ -338,16 +338,19 @@ def chk_scoped_members(spark, sf):
 # --- kept up to date, rolled up, sketched
 
 def arrivals(spark, sf, n=3):
-    """The listings with a value and an item, as batches that arrive one after another."""
-    clean = dedup.drop_missing(listings_dirty(spark, sf), COLS.split(", "), ["product_category"])
-    return [clean.where(F.pmod(F.xxhash64("row_id"), F.lit(n)) == k) for k in range(n)]
+    """The listings with a value and an item, once a batch, as batches that arrive one after another."""
+    names = COLS.split(", ")
+    clean = dedup.drop_missing(listings_dirty(spark, sf), names, ["product_category"])
+    dealt = clean.withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(n)))
+    # Stored: the parts meet the lines once, not once for each step and batch.
+    stored = stage(dealt.dropDuplicates([*names, "batch"]), "kept-arrivals")
+    return [stored.where(F.col("batch") == k).drop("batch") for k in range(n)]
 
 
 def kept_up(spark, sf):
     """State and sizes after all batches; each batch meets only the state before it."""
     state = sizes = None
     for batch in arrivals(spark, sf):
-        batch = batch.dropDuplicates(COLS.split(", "))
         after = stage(upkeep.kept_rows(state, batch, ignore_case=True), "kept-rows")
         sizes = stage(upkeep.kept_sizes(sizes, state, after, batch, ignore_case=True), "kept-sizes")
         state = after
