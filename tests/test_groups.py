@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogops.operators import batching, dedup, hierarchy as H
+from catalogops.plans import queries_groups, registry
 
 SCHEMA = "row_id long, category string, subcategory string, product_category string"
 
@@ -142,3 +143,20 @@ def test_check_reports_every_kind(spark):
         "closed_set", "unique_child", "forbidden_child", "entity_child", "thin_group",
         "format_dups", "service_child", "forbidden_pairs", "multi_parent",
     }
+
+
+def test_batches_are_joined_once(spark, tmp_path):
+    """The batches hold every line's listing, once a batch, and read what is stored: no join is run again for them."""
+    parts = [(i, f"item {i}", f"Brand#{i % 3}", f"TYPE {i % 2}") for i in range(20)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    lines = [(i, i % 21 or None) for i in range(400)] * 2
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    batches = queries_groups.arrivals(spark, str(tmp_path))
+    assert all("Join" not in b._jdf.queryExecution().executedPlan().toString() for b in batches)
+    names = ["category", "subcategory", "product_category"]
+    rows = registry.listings_dirty(spark, str(tmp_path))
+    for k, batch in enumerate(batches):
+        there = {(r.category, r.subcategory, r.product_category) for r in rows.where(F.pmod(F.xxhash64("row_id"), F.lit(3)) == k).collect()}
+        expected = {x for x in there if None not in x and x[2].strip()}
+        got = [(r.category, r.subcategory, r.product_category) for r in batch.select(*names).collect()]
+        assert len(got) == len(set(got)) and set(got) == expected and got
