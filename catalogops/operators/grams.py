@@ -3,8 +3,9 @@
 Each text is the sparse vector of how often its n-grams occur. In one order for
 all texts, rare n-grams first, only the front of a text is indexed: so much that
 what is left is shorter than the threshold, and no text can reach it without
-sharing an indexed n-gram. Pairs that meet are bounded from their shared front
-before any vector is fetched.
+sharing an indexed n-gram. The index is stored once, in blocks of texts; blocks
+meet where they are read, and pairs are bounded from their shared front before
+any whole text is looked at.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import folded
@@ -23,15 +23,21 @@ from .batching import dealt
 from .vectors import DIGITS, MIN_SIMILARITY, NEIGHBOURS, nearest_copies
 
 #: Counters that put n-grams in order; fewer or more change the work, never the result.
-ORDER_BITS = 18
-#: Texts behind one n-gram of the index up to which its pairs are formed one by one.
-LONG_POSTING = 512
-#: Texts on either side of a block where postings are longer.
-BLOCK_ROWS = 1024
-#: Characters of text, or n-grams of pairs, that a task handles at a time.
+ORDER_BITS = 20
+#: Texts of a block behind one n-gram of the index up to which its pairs are formed one by one.
+LONG_POSTING = 128
+#: Texts and characters of a block, on average at most; few texts are cut finer, down to so many.
+BLOCK_ROWS, BLOCK_CHARS, _LEAST_BLOCK = 2048, 8_000_000, 256
+#: Pairs behind n-grams, or n-grams of pairs, that a task handles at a time.
 PIECE = 1_000_000
+#: Tasks for each file's worth of blocks.
+_TASKS_PER_FILE = 4
 #: Columns of the dense product of two blocks.
 _COLUMNS = 4096
+#: Multiplications of a dense product in the time of one step of a search; near pairs for each text of a crowd.
+_SEARCH, _CROWD = 300, 32
+#: Rows of best lists that a task holds at most before it returns them.
+_HELD = 2_000_000
 _SLACK = 1e-9
 
 
@@ -52,23 +58,6 @@ def _slots(grams: np.ndarray) -> np.ndarray:
     return (grams.view(np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
 
 
-def _lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays], dtype=np.int64)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.zeros(0, kind)]).astype(kind)))
-
-
-def _slices(rows: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    part = np.cumsum(sizes + 1) // PIECE
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
-    for start, end in zip(cuts[:-1], cuts[1:]):
-        if end > start:
-            yield rows.slice(start, end - start)
-
-
-def _pieces(rows: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    return _slices(rows, pc.fill_null(pc.binary_length(rows.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-
-
 def _slot_counts(texts: DataFrame, n: int) -> np.ndarray:
     """How often the n-grams of each counter occur: a fixed number of counters."""
 
@@ -76,7 +65,7 @@ def _slot_counts(texts: DataFrame, n: int) -> np.ndarray:
         held = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                held += np.bincount(_slots(gram_hashes(text, n)), minlength=len(held))
+                np.add.at(held, _slots(gram_hashes(text, n)), 1)
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
 
@@ -93,147 +82,206 @@ def _rests(counts: np.ndarray, min_sim: float) -> np.ndarray:
     return rest[: int(np.argmax(rest < min_sim - _SLACK)) + 1]
 
 
-_VECTORS = "rep long, grams array<long>, counts array<int>, square double, most double, total double, rests array<double>"
+_BLOCK = "block int, reps binary, texts array<string>, bounds binary, grams binary, rows binary, counts binary, rests binary"
+
 
+def _blocks(texts: DataFrame, n: int, min_sim: float, order: np.ndarray, parts: int) -> DataFrame:
+    """One row for each block of (rep, text): its texts by rep and the index of their fronts, sorted by n-gram.
 
-def _vectors(texts: DataFrame, n: int, min_sim: float, order: np.ndarray) -> DataFrame:
-    """Sparse vectors of (rep, text), their n-grams in the common order; texts too short for one have none."""
+    Texts too short for an n-gram are left out. ``bounds`` are square, largest count, total and what is left
+    behind the front of each text; ``rests`` what is left behind each indexed n-gram, rounded up.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(order)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in _pieces(batch, 1):
-                reps, grams, counts, rests = [], [], [], []
-                for rep, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                    gram, count = np.unique(gram_hashes(text, n), return_counts=True)
-                    if len(gram):
-                        rank = np.lexsort((gram, shared.value[_slots(gram)]))
-                        reps.append(rep)
-                        grams.append(gram[rank])
-                        counts.append(count[rank])
-                        rests.append(_rests(count[rank], min_sim))
-                number = lambda f: pa.array([float(f(c.astype(np.float64))) for c in counts], pa.float64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(reps, pa.int64()), _lists(grams, np.int64), _lists(counts, np.int32),
-                    number(lambda c: (c * c).sum()), number(np.max), number(np.sum),
-                    _lists(rests, np.float64),
-                ], names=[c.split(" ")[0] for c in _VECTORS.split(", ")])
-
-    return texts.select("rep", "text").mapInArrow(run, _VECTORS)
-
-
-def _postings(vectors: DataFrame) -> DataFrame:
-    """(gram, rep, weight, and what bounds a pair): one row for each indexed n-gram."""
-    size = F.size("rests")
-    front = F.arrays_zip(F.slice("grams", 1, size).alias("gram"), F.slice("counts", 1, size).alias("count"), F.col("rests").alias("rest"))
-    return vectors.select("rep", "square", "most", "total", F.element_at("rests", -1).alias("last"), F.explode(front).alias("x")).select(
-        F.col("x.gram").alias("gram"), "rep", (F.col("x.count") / F.sqrt("square")).alias("weight"), F.col("x.rest").alias("rest"),
-        "last", "square", "most", "total",
-    )
-
-
-def _meeting(postings: DataFrame, min_sim: float) -> DataFrame:
-    """(a, b) with a < b: pairs that share an indexed n-gram and may still reach the threshold.
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("rep")
+        reps, held, bounds, fronts = [], [], [], []
+        for rep, text in zip(rows.column("rep").to_pylist(), rows.column("text").to_pylist()):
+            gram, count = np.unique(gram_hashes(text, n), return_counts=True)
+            if len(gram):
+                rank = np.lexsort((gram, shared.value[_slots(gram)]))
+                rest = _rests(count[rank], min_sim)
+                front = rank[: len(rest)]
+                fronts.append((gram[front], np.full(len(front), len(reps)), count[front], rest))
+                exact = count.astype(np.float64)
+                bounds.append(((exact * exact).sum(), exact.max(), exact.sum(), rest[-1]))
+                reps.append(rep)
+                held.append(text)
+        gram, row, count, rest = (np.concatenate(x) for x in zip(*fronts)) if fronts else np.zeros((4, 0))
+        rank = np.argsort(gram, kind="stable")
+        up = np.nextafter(rest[rank].astype(np.float32), np.float32(np.inf))
+        blob = lambda values, kind: pa.array([np.asarray(values).astype(kind).tobytes()], pa.binary())
+        return pa.table({
+            "block": rows.column("block")[:1], "reps": blob(reps, np.int64), "texts": pa.array([held], pa.list_(pa.string())),
+            "bounds": blob(bounds, np.float64), "grams": blob(gram[rank], np.int64), "rows": blob(row[rank], np.int32),
+            "counts": blob(count[rank], np.int32), "rests": blob(up, np.float32),
+        })
+
+    block = F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int").alias("block")
+    # Files of few blocks each, so that the join has tasks for every core.
+    return texts.select(block, "rep", "text").repartition(parts, "block").groupBy("block").applyInArrow(run, _BLOCK)
+
+
+class _Block:
+    """A stored block as arrays over what was read, and the whole vectors of the texts asked for so far."""
+
+    def __init__(self, fields: dict[str, pa.Array], at: int, n: int):
+        values = lambda name, kind: np.frombuffer(fields[name][at].as_buffer(), kind)
+        self.number, self.n, self.texts, self.held = fields["block"][at].as_py(), n, fields["texts"][at].values, {}
+        self.reps, self.rows, self.rests = values("reps", np.int64), values("rows", np.int32), values("rests", np.float32)
+        self.square, self.most, self.total, self.last = values("bounds", np.float64).reshape(-1, 4).T
+        self.weights = values("counts", np.int32) / np.sqrt(self.square)[self.rows]
+        grams = values("grams", np.int64)
+        self.starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(grams)), bool), grams[1:] != grams[:-1]]))
+        self.sizes = np.diff(self.starts, append=len(grams))
+        self.grams = grams[self.starts]
+
+    def vectors(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(n-grams, counts) of the whole texts in these rows."""
+        new = [r for r in rows.tolist() if r not in self.held]
+        for row, text in zip(new, self.texts.take(pa.array(new, pa.int64())).to_pylist()):
+            self.held[row] = np.unique(gram_hashes(text, self.n), return_counts=True)
+        return [self.held[r] for r in rows.tolist()]
+
+
+def _summed(cell: np.ndarray, shared: np.ndarray, rest_a: np.ndarray, rest_b: np.ndarray):
+    """Each cell once, with the sum of what is shared and the least rests."""
+    rank = np.argsort(cell, kind="stable")
+    cell = cell[rank]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(cell)), bool), cell[1:] != cell[:-1]]))
+    if not len(cell):
+        return cell, shared, rest_a, rest_b
+    least = (np.minimum.reduceat(rest[rank], starts) for rest in (rest_a, rest_b))
+    return cell[starts], np.add.reduceat(shared[rank], starts), *least
+
+
+def _candidates(a: _Block, b: _Block, min_sim: float, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two blocks that share an indexed n-gram and may still reach the threshold, by the row of ``a``.
 
     A dot product is at most one side's total times the other's largest count. And it is at most what
     the shared fronts give, plus what comes behind the last n-gram they share: the product of what is
     left there on both sides, or of what is left on one side at the end of its front (the one that ends
-    first; the larger product covers either case) and on the other behind that n-gram.
+    first; the larger product covers either case) and on the other behind that n-gram. N-grams of more
+    than ``limit`` texts on both sides, taken together, are multiplied as columns; what is behind them is
+    taken to be all.
     """
-    bounds = ("rep", "weight", "rest", "last", "square", "most", "total")
-    side = lambda s: postings.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in bounds])
-    reachable = F.least(F.col("most_a") * F.col("total_b"), F.col("most_b") * F.col("total_a"))
-    near = side("a").join(side("b"), "gram").where(
-        (F.col("rep_a") < F.col("rep_b"))
-        & (reachable >= (min_sim - _SLACK) * F.sqrt(F.col("square_a") * F.col("square_b")))
-    )
-    least = lambda c: F.min(c).alias(c)
-    met = near.groupBy(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).agg(
-        F.sum(F.col("weight_a") * F.col("weight_b")).alias("shared"), *map(least, ("rest_a", "rest_b", "last_a", "last_b")),
-    )
-    behind = F.greatest(F.col("last_a") * F.col("rest_b"), F.col("last_b") * F.col("rest_a"))
-    return met.where(F.col("shared") + behind >= min_sim - _SLACK).select("a", "b")
-
-
-def _dots(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(rep, other, sim) both ways for the given pairs, from whole vectors; dot products are whole numbers."""
-    side = lambda s: vectors.select(F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("grams", "counts", "square")])
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "grams_a", "counts_a", "square_a", "grams_b", "counts_b", "square_b"
-    )
+    width = len(b.reps)
+    parts = []
+    both = np.sort(np.concatenate([a.grams, b.grams]))
+    common = both[1:][both[1:] == both[:-1]]
+    in_a, in_b = np.searchsorted(a.grams, common), np.searchsorted(b.grams, common)
+    size = a.sizes[in_a] * b.sizes[in_b]
+    long = size > limit * limit
+    product = np.zeros((len(a.reps), width) if long.any() else 0)
+    for some in np.array_split(np.flatnonzero(long), math.ceil(long.sum() / _COLUMNS) or 1):
+        if len(some):
+            dense = []
+            for block, own in ((a, in_a[some]), (b, in_b[some])):
+                column = np.repeat(np.arange(len(own)), block.sizes[own])
+                entry = np.arange(len(column)) + np.repeat(block.starts[own] - np.cumsum(block.sizes[own]) + block.sizes[own], block.sizes[own])
+                dense.append(np.zeros((len(block.reps), len(own))))
+                dense[-1][block.rows[entry], column] = block.weights[entry]
+            product += dense[0] @ dense[1].T
+    cell = np.flatnonzero(product)
+    parts.append((cell, product.ravel()[cell], np.ones(len(cell), np.float32), np.ones(len(cell), np.float32)))
+    in_a, in_b, size = in_a[~long], in_b[~long], size[~long]
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // PIECE)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)]):
+        many = size[start:end]
+        own = np.repeat(np.arange(start, end), many)
+        within = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+        down, across = np.divmod(within, b.sizes[in_b[own]])
+        left, right = a.starts[in_a[own]] + down, b.starts[in_b[own]] + across
+        cell = a.rows[left].astype(np.int64) * width + b.rows[right]
+        parts.append(_summed(cell, a.weights[left] * b.weights[right], a.rests[left], b.rests[right]))
+        if sum(len(part[0]) for part in parts) > len(a.reps) * width + 4 * PIECE:
+            parts = [_summed(*map(np.concatenate, zip(*parts)))]
+    cell, shared, rest_a, rest_b = _summed(*map(np.concatenate, zip(*parts)))
+    row, column = np.divmod(cell, max(width, 1))
+    behind = np.maximum(a.last[row] * rest_b, b.last[column] * rest_a)
+    reachable = np.minimum(a.most[row] * b.total[column], b.most[column] * a.total[row])
+    near = shared + behind >= min_sim - _SLACK
+    near &= reachable >= (min_sim - _SLACK) * np.sqrt(a.square[row] * b.square[column])
+    near &= a.reps[row] != b.reps[column]
+    return row[near], column[near]
+
+
+def _dots(a: _Block, b: _Block, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Dot products of the whole texts in the given pairs of rows, by the row of ``a``; they are whole numbers."""
+    dot = np.zeros(len(row))
+    if not len(row):
+        return dot
+    rows, columns = np.unique(row), np.unique(column)
+    left, right = a.vectors(rows), b.vectors(columns)
+    # A crowd: where most pairs are near, a dense product of all may be less work than one search for each.
+    crowd = len(row) > _CROWD * (len(rows) + len(columns))
+    flat = [np.concatenate([grams for grams, _ in side]) for side in (left, right)] if crowd else []
+    distinct = np.intersect1d(*flat) if crowd else ()
+    if crowd and len(row) * len(flat[1]) * _SEARCH > len(rows) * len(columns) ** 2 * len(distinct):
+        product = np.zeros((len(rows), len(columns)))
+        for start in range(0, len(distinct), _COLUMNS):
+            parts, some = [], distinct[start : start + _COLUMNS]
+            for side in (left, right):
+                dense = np.zeros((len(side), len(some)))
+                for i, (grams, counts) in enumerate(side):
+                    at = np.minimum(np.searchsorted(some, grams), len(some) - 1)
+                    there = some[at] == grams
+                    dense[i, at[there]] = counts[there]
+                parts.append(dense)
+            product += parts[0] @ parts[1].T
+        return product[np.searchsorted(rows, row), np.searchsorted(columns, column)]
+    at_right = np.searchsorted(columns, column)
+    for (grams, counts), start, end in zip(left, np.searchsorted(row, rows), np.searchsorted(row, rows, "right")):
+        for i in range(start, end):
+            others, times = right[at_right[i]]
+            at = np.minimum(np.searchsorted(grams, others), len(grams) - 1)
+            there = grams[at] == others
+            dot[i] = counts[at[there]] @ times[there]
+    return dot
+
+
+def _best(k: int, rep: np.ndarray, other: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rank = np.lexsort((other, -sim, rep))
+    rep, other, sim = rep[rank], other[rank], sim[rank]
+    keep = np.arange(len(rep)) - np.searchsorted(rep, rep) < k
+    return rep[keep], other[keep], sim[keep]
+
+
+def _meeting(blocks: DataFrame, n: int, k: int, min_sim: float, limit: int) -> DataFrame:
+    """(rep, other, sim): the ``k`` best of each text, itself included, among the blocks that a task has for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, best = None, {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for found in best.values():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["rep", "other", "sim"])
+            best.clear()
+
         for batch in batches:
-            sizes = sum(batch.column(k).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for k in (2, 5))
-            for rows in _slices(batch, sizes):
-                flat = [rows.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3, 5, 6)]
-                lengths = [rows.column(k).value_lengths().to_numpy(zero_copy_only=False) for k in (2, 5)]
-                distinct, number = np.unique(np.concatenate([flat[0], flat[2]]), return_inverse=True)
-                owner = [np.repeat(np.arange(rows.num_rows), n) for n in lengths]
-                key_a = owner[0] * len(distinct) + number[: len(flat[0])]
-                key_b = owner[1] * len(distinct) + number[len(flat[0]):]
-                _, at_a, at_b = np.intersect1d(key_a, key_b, assume_unique=True, return_indices=True)
-                dot = np.bincount(owner[0][at_a], flat[1][at_a].astype(np.float64) * flat[3][at_b], rows.num_rows)
-                sim = dot / np.sqrt(rows.column(4).to_numpy() * rows.column(7).to_numpy())
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sim)], names=["a", "b", "sim"])
-
-    found = both.mapInArrow(run, "a long, b long, sim double")
-    ways = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("other")), F.struct(F.col("b").alias("rep"), F.col("a").alias("other"))))
-    return found.select(ways.alias("x"), F.round("sim", DIGITS).alias("sim")).select("x.rep", "x.other", "sim")
-
-
-def _dense(table: pa.Table, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, count) of the entries whose n-gram is among the sorted ``columns``."""
-    grams = table.column("grams").combine_chunks()
-    flat = grams.flatten().to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(len(grams)), grams.value_lengths().to_numpy(zero_copy_only=False))
-    at = np.minimum(np.searchsorted(columns, flat), max(len(columns) - 1, 0))
-    there = columns[at] == flat if len(columns) else np.zeros(len(flat), bool)
-    return owner[there], at[there], table.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)[there]
-
-
-def _block_nearest(k: int, min_sim: float):
-    """At most ``k`` of the right block for each row of the left one."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["rep", "other", "sim"]
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names)
-        right = right.sort_by("rep")
-        flat = [t.column("grams").combine_chunks().flatten().to_numpy(zero_copy_only=False) for t in (left, right)]
-        columns = np.intersect1d(*flat)
-        entries = [_dense(t, columns) for t in (left, right)]
-        dot = np.zeros((left.num_rows, right.num_rows))
-        for start in range(0, len(columns), _COLUMNS):
-            parts = []
-            for (row, at, count), t in zip(entries, (left, right)):
-                use = (at >= start) & (at < start + _COLUMNS)
-                dense = np.zeros((t.num_rows, min(_COLUMNS, len(columns) - start)))
-                dense[row[use], at[use] - start] = count[use]
-                parts.append(dense)
-            dot += parts[0] @ parts[1].T
-        ids, others = left.column("rep").to_numpy(), right.column("rep").to_numpy()
-        sim = np.round(dot / np.sqrt(np.outer(left.column("square").to_numpy(), right.column("square").to_numpy())), DIGITS)
-        sim[ids[:, None] == others[None, :]] = -1
-        row, at = np.nonzero(sim >= min_sim)
-        value = sim[row, at]
-        rank = np.lexsort((at, -value, row))
-        row, at, value = row[rank], at[rank], value[rank]
-        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-        return pa.table([pa.array(ids[row[keep]]), pa.array(others[at[keep]]), pa.array(value[keep])], names)
-
-    return run
-
-
-def _crowded(vectors: DataFrame, reps: DataFrame, k: int, min_sim: float, block_rows: int) -> DataFrame:
-    """Nearest among the texts behind long postings: all their blocks, at most ``k`` rows back for each text and block."""
-    inside = stage(vectors.join(reps, "rep", "left_semi").select("rep", "grams", "counts", "square"), "grams-crowded")
-    parts = max(1, math.ceil(inside.count() / block_rows))
-    block = F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    left = inside.select("*", block.alias("i")).select("*", every.alias("j"))
-    right = inside.select("*", block.alias("j")).select("*", every.alias("i"))
-    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_block_nearest(k, min_sim), "rep long, other long, sim double")
+            sides = [dict(zip([f.name for f in side.type], side.flatten())) for side in batch.columns]
+            for i in range(batch.num_rows):
+                if a is None or a.number != sides[0]["block"][i].as_py():
+                    a = _Block(sides[0], i, n)
+                b = a if a.number == sides[1]["block"][i].as_py() else _Block(sides[1], i, n)
+                row, column = _candidates(a, b, min_sim, limit)
+                sim = np.round(_dots(a, b, row, column) / np.sqrt(a.square[row] * b.square[column]), DIGITS)
+                passed = sim >= min_sim
+                left, right, sim = a.reps[row[passed]], b.reps[column[passed]], sim[passed]
+                # A text is its own nearest: its copies are among its neighbours.
+                ways = [(a, left, right, sim), (a, a.reps, a.reps, np.ones(len(a.reps))) if a is b else (b, right, left, sim)]
+                for block, *found in ways:
+                    held = best.get(block.number)
+                    best[block.number] = _best(k, *(map(np.concatenate, zip(held, found)) if held else found))
+                if sum(len(found[0]) for found in best.values()) > _HELD:
+                    yield from out()
+        yield from out()
+
+    side = lambda name: blocks.select(F.struct("*").alias(name))
+    met = side("a").crossJoin(side("b")).where(F.col("a.block") <= F.col("b.block"))
+    # The pairs of one block with many others follow each other: a task keeps one best list for each of its blocks.
+    tasks = _TASKS_PER_FILE * blocks.rdd.getNumPartitions()
+    return met.coalesce(tasks).mapInArrow(run, "rep long, other long, sim double")
 
 
 def gram_join(
@@ -244,11 +292,12 @@ def gram_join(
 
     Texts are compared without case and outer white space; ids are longs. Returns
     ``(id, neighbour, sim, rank)``, ties by id. A NULL text, and one that has no
-    n-gram, is near to nothing. Equal texts are compared once. The pairs of one
-    n-gram are formed only up to ``long_posting`` texts; the texts behind longer
-    postings are compared with one another in blocks, which return at most ``k``
-    rows for each text, so that no crowd of similar texts ever becomes all its
-    pairs in a table.
+    n-gram, is near to nothing. Equal texts are compared once. Blocks of about
+    ``block_rows`` texts, each with its part of the index, are stored once and meet in
+    a join that reads them again, so disk holds the index once, however many blocks
+    each meets. A task holds two blocks and at most the ``k`` best of each text so far,
+    so that no crowd of similar texts ever becomes all its pairs in a table. Pairs of
+    one n-gram are formed one by one only up to ``long_posting`` texts of a block.
     """
     if not min_sim > 0:
         raise ValueError("min_sim has to be above 0: texts without a common n-gram are in no index")
@@ -257,28 +306,17 @@ def gram_join(
     text = folded(text_col)
     source = df.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("vec"), text.alias("text")).dropna()
     copies = Window.partitionBy("vec").orderBy("id")
-    first = stage(source.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k), "grams-copies")
-    texts = dealt(first.where("copy = 1").select(F.col("id").alias("rep"), "text"), partitions)
-    order = _slot_counts(texts, n)
-    vectors, vectors_path = stage_at(_vectors(texts, n, min_sim, order), "grams-vectors")
-
-    postings = _postings(vectors)
-    long, long_path = stage_at(
-        postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("gram"), "grams-long"
-    )
-    if long.isEmpty():
-        pairs, crowd = _meeting(postings, min_sim), None
-    else:
-        pairs = _meeting(postings.join(long, "gram", "left_anti"), min_sim)
-        crowd = postings.join(long, "gram", "left_semi").select("rep").distinct()
-    pairs, pairs_path = stage_at(pairs, "grams-pairs")
-    found = _dots(pairs, vectors).where(F.col("sim") >= min_sim)
-    # A text is its own nearest: its copies are among its neighbours.
-    own = vectors.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("sim"))
-    nearest = found.unionByName(own)
-    if crowd is not None:
-        nearest = nearest.unionByName(_crowded(vectors, crowd, k, min_sim, block_rows)).distinct()
-    nearest = stage(nearest, "grams-nearest")
-    for path in (pairs_path, long_path, vectors_path):
-        discard(spark, path)
+    first = source.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
+    first = stage(first.withColumn("text", F.when(F.col("copy") == 1, F.col("text"))), "grams-copies")
+    texts = first.where("copy = 1").select(F.col("id").alias("rep"), "text")
+    order = _slot_counts(dealt(texts, partitions), n)
+    total, chars = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    # Few texts are cut finer, so that every core has blocks.
+    rows = min(block_rows, max(_LEAST_BLOCK, math.ceil(total / (2 * (partitions or 1)))))
+    parts = max(1, math.ceil(total / rows), math.ceil(chars / BLOCK_CHARS))
+    blocks, blocks_path = stage_at(_blocks(texts, n, min_sim, order, parts), "grams-blocks")
+    best = Window.partitionBy("rep").orderBy(F.desc("sim"), "other")
+    nearest = _meeting(blocks, n, k, min_sim, limit).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
+    nearest = stage(nearest.drop("n"), "grams-nearest")
+    discard(spark, blocks_path)
     return nearest_copies(source.select("id", "vec"), first.select("id", "vec"), nearest, k)

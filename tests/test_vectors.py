@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogops.operators import clusters, grams, vectors
+from catalogops.sources import stages
 
 
 def unit(m):
@@ -321,6 +322,29 @@ def test_gram_join_equals_all_pairs(spark, tau, limit):
         assert all(abs(s - r) < 2e-9 for (_, s), (_, r) in zip(found[i], near))
 
 
+def test_gram_index_is_stored_once_and_blocks_meet_without_a_shuffle(spark, monkeypatch):
+    stored = {}
+
+    def keep(df, name):
+        out, path = stages.stage_at(df, name)
+        stored[name] = df._jdf.queryExecution().executedPlan().toString(), out.collect() if "blocks" in name else []
+        return out, path
+
+    monkeypatch.setattr(grams, "stage_at", keep)
+    monkeypatch.setattr(grams, "stage", lambda df, name: keep(df, name)[0])
+    # A crowd: all texts share n-grams, and each has near ones.
+    rows = [(i, f"the very same beginning of them all {i % 40:03d} {'x' * (i % 3)}") for i in range(240)]
+    found = {}
+    for r in grams.gram_join(spark.createDataFrame(rows, "id long, t string"), "id", "t", k=4, min_sim=0.9, long_posting=3, block_rows=20).orderBy("id", "rank").collect():
+        found.setdefault(r.id, []).append(r.neighbour)
+    assert found == {i: [j for j, _ in near] for i, near in brute_grams(rows, 3, 4, 0.9).items()}
+    held = [text for block in stored["grams-blocks"][1] for text in block.texts]
+    assert len(held) == len(set(held)) == 120 and len(stored["grams-blocks"][1]) > 2
+    plan = stored["grams-nearest"][0]
+    met = plan[plan.index("MapInArrow"):]
+    assert "Exchange hash" not in met and ("CartesianProduct" in met or "BroadcastNestedLoopJoin" in met)
+
+
 def test_gram_join_of_nothing(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id long, t string")
     assert grams.gram_join(df, "id", "t").count() == 0 and grams.gram_join(df.limit(0), "id", "t").count() == 0
