@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import folded
 from ..sources.stages import discard, stage, stage_at
-from .batching import dealt
 from .vectors import DIGITS, MIN_SIMILARITY, NEIGHBOURS, nearest_copies
 
 #: Counters that put n-grams in order; fewer or more change the work, never the result.
-ORDER_BITS = 20
+ORDER_BITS = 19
 #: Texts of a block behind one n-gram of the index up to which its pairs are formed one by one.
 LONG_POSTING = 128
-#: Texts and characters of a block, on average at most; few texts are cut finer, down to so many.
+#: Texts and characters of a block at most (one longer text is one block); few texts are cut finer, down to so many.
 BLOCK_ROWS, BLOCK_CHARS, _LEAST_BLOCK = 2048, 8_000_000, 256
+#: A row of a block, and a rest in steps, take two bytes.
+_STEPS = 65535
 #: Pairs behind n-grams, or n-grams of pairs, that a task handles at a time.
 PIECE = 1_000_000
 #: Tasks for each file's worth of blocks.
@@ -82,23 +83,47 @@ def _rests(counts: np.ndarray, min_sim: float) -> np.ndarray:
     return rest[: int(np.argmax(rest < min_sim - _SLACK)) + 1]
 
 
-_BLOCK = "block int, reps binary, texts array<string>, bounds binary, grams binary, rows binary, counts binary, rests binary"
+_BLOCK = (
+    "block long, reps binary, texts array<string>, bounds binary, grams binary, sizes binary, rows binary, counts binary, rests binary"
+)
 
 
-def _blocks(texts: DataFrame, n: int, min_sim: float, order: np.ndarray, parts: int) -> DataFrame:
-    """One row for each block of (rep, text): its texts by rep and the index of their fronts, sorted by n-gram.
+def _blocks(texts: DataFrame, n: int, min_sim: float, order: np.ndarray, block_rows: int) -> DataFrame:
+    """One row for each block of (rep, text), cut where the texts lie: its texts and the index of their fronts.
 
     Texts too short for an n-gram are left out. ``bounds`` are square, largest count, total and what is left
-    behind the front of each text; ``rests`` what is left behind each indexed n-gram, rounded up.
+    behind the front of each text. The index is in the order of n-grams: each one, bytes of equal weight together
+    as they compress best so, how many texts it has, their rows, its counts there, and what is left behind it,
+    in steps of 1 / 65535, rounded up.
     """
     shared = texts.sparkSession.sparkContext.broadcast(order)
+    names = [c.split(" ")[0] for c in _BLOCK.split(", ")]
 
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rep")
-        reps, held, bounds, fronts = [], [], [], []
-        for rep, text in zip(rows.column("rep").to_pylist(), rows.column("text").to_pylist()):
-            gram, count = np.unique(gram_hashes(text, n), return_counts=True)
-            if len(gram):
+    def made(block: int, reps: list, held: list, bounds: list, fronts: list) -> pa.RecordBatch:
+        gram, row, count, rest = (np.concatenate(x) for x in zip(*fronts))
+        rank = np.argsort(gram, kind="stable")
+        distinct, sizes = np.unique(gram, return_counts=True)
+        blob = lambda values, kind: pa.array([np.asarray(values).astype(kind).tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([
+            pa.array([block]), blob(reps, np.int64), pa.array([held], pa.list_(pa.string())), blob(bounds, np.float64),
+            blob(distinct.view(np.uint8).reshape(-1, 8).T, np.uint8), blob(sizes, np.uint16), blob(row[rank], np.uint16),
+            blob(count[rank], np.int32), blob(np.ceil(rest[rank] * _STEPS), np.uint16),
+        ], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, chars, lists = 0, 0, ([], [], [], [])
+        for batch in batches:
+            for at in range(batch.num_rows):
+                number, rep, text = (column[at].as_py() for column in batch.columns)
+                gram, count = np.unique(gram_hashes(text, n), return_counts=True)
+                if not len(gram):
+                    continue
+                reps, held, bounds, fronts = lists
+                if reps and (len(reps) == block_rows or chars + len(text) > BLOCK_CHARS):
+                    yield made(block, *lists)
+                    chars, lists = 0, ([], [], [], [])
+                    reps, held, bounds, fronts = lists
+                block, chars = (block if reps else number), chars + len(text)
                 rank = np.lexsort((gram, shared.value[_slots(gram)]))
                 rest = _rests(count[rank], min_sim)
                 front = rank[: len(rest)]
@@ -107,19 +132,11 @@ def _blocks(texts: DataFrame, n: int, min_sim: float, order: np.ndarray, parts:
                 bounds.append(((exact * exact).sum(), exact.max(), exact.sum(), rest[-1]))
                 reps.append(rep)
                 held.append(text)
-        gram, row, count, rest = (np.concatenate(x) for x in zip(*fronts)) if fronts else np.zeros((4, 0))
-        rank = np.argsort(gram, kind="stable")
-        up = np.nextafter(rest[rank].astype(np.float32), np.float32(np.inf))
-        blob = lambda values, kind: pa.array([np.asarray(values).astype(kind).tobytes()], pa.binary())
-        return pa.table({
-            "block": rows.column("block")[:1], "reps": blob(reps, np.int64), "texts": pa.array([held], pa.list_(pa.string())),
-            "bounds": blob(bounds, np.float64), "grams": blob(gram[rank], np.int64), "rows": blob(row[rank], np.int32),
-            "counts": blob(count[rank], np.int32), "rests": blob(up, np.float32),
-        })
+        if lists[0]:
+            yield made(block, *lists)
 
-    block = F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int").alias("block")
-    # Files of few blocks each, so that the join has tasks for every core.
-    return texts.select(block, "rep", "text").repartition(parts, "block").groupBy("block").applyInArrow(run, _BLOCK)
+    # A block has the number of its first row.
+    return texts.select(F.monotonically_increasing_id().alias("block"), "rep", "text").mapInArrow(run, _BLOCK)
 
 
 class _Block:
@@ -128,13 +145,12 @@ class _Block:
     def __init__(self, fields: dict[str, pa.Array], at: int, n: int):
         values = lambda name, kind: np.frombuffer(fields[name][at].as_buffer(), kind)
         self.number, self.n, self.texts, self.held = fields["block"][at].as_py(), n, fields["texts"][at].values, {}
-        self.reps, self.rows, self.rests = values("reps", np.int64), values("rows", np.int32), values("rests", np.float32)
+        self.reps, self.rows, self.rests = values("reps", np.int64), values("rows", np.uint16).astype(np.int64), values("rests", np.uint16) / _STEPS
         self.square, self.most, self.total, self.last = values("bounds", np.float64).reshape(-1, 4).T
         self.weights = values("counts", np.int32) / np.sqrt(self.square)[self.rows]
-        grams = values("grams", np.int64)
-        self.starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(grams)), bool), grams[1:] != grams[:-1]]))
-        self.sizes = np.diff(self.starts, append=len(grams))
-        self.grams = grams[self.starts]
+        self.grams = np.ascontiguousarray(values("grams", np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+        self.sizes = values("sizes", np.uint16).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def vectors(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(n-grams, counts) of the whole texts in these rows."""
@@ -183,7 +199,7 @@ def _candidates(a: _Block, b: _Block, min_sim: float, limit: int) -> tuple[np.nd
                 dense[-1][block.rows[entry], column] = block.weights[entry]
             product += dense[0] @ dense[1].T
     cell = np.flatnonzero(product)
-    parts.append((cell, product.ravel()[cell], np.ones(len(cell), np.float32), np.ones(len(cell), np.float32)))
+    parts.append((cell, product.ravel()[cell], np.ones(len(cell)), np.ones(len(cell))))
     in_a, in_b, size = in_a[~long], in_b[~long], size[~long]
     cuts = np.flatnonzero(np.diff(np.cumsum(size) // PIECE)) + 1
     for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(size)]):
@@ -192,7 +208,7 @@ def _candidates(a: _Block, b: _Block, min_sim: float, limit: int) -> tuple[np.nd
         within = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
         down, across = np.divmod(within, b.sizes[in_b[own]])
         left, right = a.starts[in_a[own]] + down, b.starts[in_b[own]] + across
-        cell = a.rows[left].astype(np.int64) * width + b.rows[right]
+        cell = a.rows[left] * width + b.rows[right]
         parts.append(_summed(cell, a.weights[left] * b.weights[right], a.rests[left], b.rests[right]))
         if sum(len(part[0]) for part in parts) > len(a.reps) * width + 4 * PIECE:
             parts = [_summed(*map(np.concatenate, zip(*parts)))]
@@ -280,7 +296,7 @@ def _meeting(blocks: DataFrame, n: int, k: int, min_sim: float, limit: int) -> D
     side = lambda name: blocks.select(F.struct("*").alias(name))
     met = side("a").crossJoin(side("b")).where(F.col("a.block") <= F.col("b.block"))
     # The pairs of one block with many others follow each other: a task keeps one best list for each of its blocks.
-    tasks = _TASKS_PER_FILE * blocks.rdd.getNumPartitions()
+    tasks = max(1, _TASKS_PER_FILE * blocks.rdd.getNumPartitions())
     return met.coalesce(tasks).mapInArrow(run, "rep long, other long, sim double")
 
 
@@ -292,7 +308,7 @@ def gram_join(
 
     Texts are compared without case and outer white space; ids are longs. Returns
     ``(id, neighbour, sim, rank)``, ties by id. A NULL text, and one that has no
-    n-gram, is near to nothing. Equal texts are compared once. Blocks of about
+    n-gram, is near to nothing. Equal texts are compared once. Blocks of
     ``block_rows`` texts, each with its part of the index, are stored once and meet in
     a join that reads them again, so disk holds the index once, however many blocks
     each meets. A task holds two blocks and at most the ``k`` best of each text so far,
@@ -309,12 +325,11 @@ def gram_join(
     first = source.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k)
     first = stage(first.withColumn("text", F.when(F.col("copy") == 1, F.col("text"))), "grams-copies")
     texts = first.where("copy = 1").select(F.col("id").alias("rep"), "text")
-    order = _slot_counts(dealt(texts, partitions), n)
-    total, chars = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    order = _slot_counts(texts, n)
     # Few texts are cut finer, so that every core has blocks.
-    rows = min(block_rows, max(_LEAST_BLOCK, math.ceil(total / (2 * (partitions or 1)))))
-    parts = max(1, math.ceil(total / rows), math.ceil(chars / BLOCK_CHARS))
-    blocks, blocks_path = stage_at(_blocks(texts, n, min_sim, order, parts), "grams-blocks")
+    rows = min(block_rows, _STEPS, max(_LEAST_BLOCK, math.ceil(texts.count() / (2 * (partitions or 1)))))
+    # A file for each block, so that the join has tasks for every core and each holds few blocks.
+    blocks, blocks_path = stage_at(_blocks(texts, n, min_sim, order, rows), "grams-blocks", maxRecordsPerFile=1)
     best = Window.partitionBy("rep").orderBy(F.desc("sim"), "other")
     nearest = _meeting(blocks, n, k, min_sim, limit).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
     nearest = stage(nearest.drop("n"), "grams-nearest")

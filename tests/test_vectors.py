@@ -325,8 +325,8 @@ def test_gram_join_equals_all_pairs(spark, tau, limit):
 def test_gram_index_is_stored_once_and_blocks_meet_without_a_shuffle(spark, monkeypatch):
     stored = {}
 
-    def keep(df, name):
-        out, path = stages.stage_at(df, name)
+    def keep(df, name, **options):
+        out, path = stages.stage_at(df, name, **options)
         stored[name] = df._jdf.queryExecution().executedPlan().toString(), out.collect() if "blocks" in name else []
         return out, path
 
