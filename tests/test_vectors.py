@@ -345,6 +345,43 @@ def test_gram_index_is_stored_once_and_blocks_meet_without_a_shuffle(spark, monk
     assert "Exchange hash" not in met and ("CartesianProduct" in met or "BroadcastNestedLoopJoin" in met)
 
 
+def test_gram_blocks_hold_texts_of_one_size_and_others_do_not_meet(spark, monkeypatch):
+    stored, met = {}, []
+
+    def keep(df, name, **options):
+        out, path = stages.stage_at(df, name, **options)
+        stored[name] = out.collect() if "blocks" in name else []
+        return out, path
+
+    meeting = grams._meeting
+    monkeypatch.setattr(grams, "stage_at", keep)
+    monkeypatch.setattr(grams, "_meeting", lambda *args: met.append(args) or meeting(*args))
+    rng = random.Random(11)
+    rows = []
+    for size in [8, 40, 160] * 10:  # near pairs of three sizes, dealt in turn; some repeat themselves
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(size)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words, "x"]) * rng.choice([1, 1, 4]))]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    found = {}
+    for r in grams.gram_join(df, "id", "t", k=4, min_sim=0.9, block_rows=8).orderBy("id", "rank").collect():
+        found.setdefault(r.id, []).append(r.neighbour)
+    assert found == {i: [j for j, _ in near] for i, near in brute_grams(rows, 3, 4, 0.9).items()}
+    blocks = stored["grams-blocks"]
+    pairs = [(a, b) for a in blocks for b in blocks if a.block <= b.block]
+    near = [(a, b) for a, b in pairs if a.least <= b.most and b.least <= a.most]
+    assert len(met) == 1 and len(near) < 0.6 * len(pairs)
+
+
+def test_support_is_the_least_that_a_near_text_needs():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        counts = rng.integers(1, rng.integers(2, 40), rng.integers(1, 60))
+        tau = rng.choice([0.3, 0.7, 0.92, 1.0])
+        held = np.sqrt(np.cumsum(np.sort(counts.astype(float))[::-1] ** 2) / (counts.astype(float) ** 2).sum())
+        support, least = grams._support(counts, tau)
+        assert support == len(counts) and (least == 1 or held[least - 2] < tau) and held[least - 1] >= tau - 1e-8
+
+
 def test_gram_join_of_nothing(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "id long, t string")
     assert grams.gram_join(df, "id", "t").count() == 0 and grams.gram_join(df.limit(0), "id", "t").count() == 0
