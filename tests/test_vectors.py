@@ -272,6 +272,22 @@ def test_cluster_order(spark):
     assert got == {"cluster_0000": ["n1", "n5", "n3"], "cluster_0001": ["n7", "n9", "n8"]}
 
 
+def test_single_precision_decides_nothing(monkeypatch):
+    monkeypatch.setattr(vectors, "_PRECISE", 7)
+    rng = np.random.default_rng(6)
+    # Similarities that differ by less than single precision can tell, around the threshold and among the best.
+    base = unit(rng.normal(size=(1, 40)))
+    across = unit(rng.normal(size=(400, 40)) * [0.0, *[1.0] * 39])
+    across = unit(across - (across @ base.T) * base)
+    cos = np.concatenate([0.92 + rng.integers(-20, 20, 200) * 4e-9, 0.97 + rng.integers(0, 20, 200) * 4e-9])
+    right = cos[:, None] * base + np.sqrt(1 - cos**2)[:, None] * across
+    for rows, k in ((right, 10), (right[:200], 300)):
+        row, other, sim = vectors._merged_top_k(k, 0.92)(vectors._NOTHING, base, np.arange(1), np.arange(len(rows)), rows)
+        exact = np.round((base @ rows.T)[0], vectors.DIGITS)
+        best = [j for j in np.lexsort((np.arange(len(rows)), -exact)) if exact[j] >= 0.92][:k]
+        assert other.tolist() == best and sim.tolist() == exact[best].tolist()
+
+
 # --- the join over n-grams
 
 def gram_vectors(text, n):
